@@ -7,8 +7,17 @@ from ..functions.calendar import month_key, year_key
 from ..functions.labels import issuer_key, owner_key
 from ..functions.numeric import abs_value, count_if, exact, r2, r4, total
 
-BUY, SELL = F.col("code") == "P", F.col("code") == "S"
-ORDER = F.struct("fd", "td", "acc", "pos")
+
+def _buy():
+    return F.col("code") == "P"
+
+
+def _sell():
+    return F.col("code") == "S"
+
+
+def _order():
+    return F.struct("fd", "td", "acc", "pos")
 
 
 def _v():
@@ -23,12 +32,12 @@ def _last(value, ok=None):
     """Latest non-blank value in filing order (explicit, not file order)."""
     v = _blank(F.col(value))
     ok = v.isNotNull() if ok is None else v.isNotNull() & ok
-    return F.coalesce(F.max_by(v, F.when(ok, ORDER)), F.lit(""))
+    return F.coalesce(F.max_by(v, F.when(ok, _order())), F.lit(""))
 
 
 def _first(value):
     v = _blank(F.col(value))
-    return F.coalesce(F.min_by(v, F.when(v.isNotNull(), ORDER)), F.lit(""))
+    return F.coalesce(F.min_by(v, F.when(v.isNotNull(), _order())), F.lit(""))
 
 
 def filing_window(trades: DataFrame, target_year: int | None = None, from_year: int | None = None) -> DataFrame:
@@ -49,8 +58,8 @@ def global_totals(trades: DataFrame) -> DataFrame:
     v = _v()
     return trades.agg(
         F.count(F.lit(1)).alias("trades"), F.count_distinct(_blank(F.col("acc"))).alias("filings"),
-        total(v).alias("total"), total(F.when(BUY, v)).alias("buy"), total(F.when(SELL, v)).alias("sell"),
-        count_if(BUY).alias("buys"), count_if(SELL).alias("sells"),
+        total(v).alias("total"), total(F.when(_buy(), v)).alias("buy"), total(F.when(_sell(), v)).alias("sell"),
+        count_if(_buy()).alias("buys"), count_if(_sell()).alias("sells"),
         count_if(_blank(F.col("tk")).isNotNull()).alias("with_ticker"),
         count_if(F.col("px") != 0).alias("with_price"), count_if(F.col("px").isNotNull()).alias("with_reported_price"),
         count_if(F.col("der") != 0).alias("derivative"),
@@ -95,8 +104,8 @@ def code_share(trades: DataFrame) -> DataFrame:
 def _flow(trades, period):
     v = _v()
     return trades.where(F.col("fd").isNotNull()).groupBy(period).agg(
-        F.count(F.lit(1)).alias("n"), count_if(BUY).alias("buy_n"), count_if(SELL).alias("sell_n"),
-        total(F.when(BUY, v)).alias("buy"), total(F.when(SELL, v)).alias("sell"))
+        F.count(F.lit(1)).alias("n"), count_if(_buy()).alias("buy_n"), count_if(_sell()).alias("sell_n"),
+        total(F.when(_buy(), v)).alias("buy"), total(F.when(_sell(), v)).alias("sell"))
 
 
 def monthly_flow(trades: DataFrame) -> DataFrame:
@@ -117,8 +126,8 @@ def daily_flow(trades: DataFrame, asof: str | None = None, days: int | None = No
 def _flows():
     v = exact(_v())
     zero = F.lit(0)
-    buy, sell = F.coalesce(F.sum(F.when(BUY, v)), zero), F.coalesce(F.sum(F.when(SELL, v)), zero)
-    return [F.count(F.lit(1)).alias("n"), count_if(BUY).alias("buy_n"), count_if(SELL).alias("sell_n"),
+    buy, sell = F.coalesce(F.sum(F.when(_buy(), v)), zero), F.coalesce(F.sum(F.when(_sell(), v)), zero)
+    return [F.count(F.lit(1)).alias("n"), count_if(_buy()).alias("buy_n"), count_if(_sell()).alias("sell_n"),
             r2(buy.cast("double")).alias("buy_v"), r2(sell.cast("double")).alias("sell_v"),
             r2((buy - sell).cast("double")).alias("net_v"), r2(F.sum(v).cast("double")).alias("val")]
 
@@ -169,7 +178,7 @@ def with_pair(trades: DataFrame) -> DataFrame:
 
 def insider_issuer_activity(trades: DataFrame) -> DataFrame:
     """One row per (owner, issuer): counts, shares, values, dates per side and the overlap flag."""
-    v, other = _v(), ~(BUY | SELL)
+    v, other = _v(), ~(_buy() | _sell())
     sh = F.coalesce("sh", F.lit(0.0))
     out = with_pair(trades).groupBy("owner", "issuer").agg(
         _last("insider").alias("insider"), _last("co").alias("co"), F.upper(_first("tk")).alias("tk"),
@@ -177,14 +186,14 @@ def insider_issuer_activity(trades: DataFrame) -> DataFrame:
         F.coalesce(F.nullif(_last("rel", F.col("rel") != fv.NO_RELATIONSHIP), F.lit("")),
                    F.lit(fv.NO_RELATIONSHIP)).alias("rel"),
         _first("title").alias("title"),
-        F.count(F.lit(1)).alias("n"), count_if(BUY).alias("buy_n"), count_if(SELL).alias("sell_n"),
+        F.count(F.lit(1)).alias("n"), count_if(_buy()).alias("buy_n"), count_if(_sell()).alias("sell_n"),
         count_if(F.coalesce(other, F.lit(True))).alias("other_n"),
-        total(F.when(BUY, sh)).alias("buy_sh"), total(F.when(SELL, sh)).alias("sell_sh"),
-        total(F.when(BUY, v)).alias("buy_v"), total(F.when(SELL, v)).alias("sell_v"),
+        total(F.when(_buy(), sh)).alias("buy_sh"), total(F.when(_sell(), sh)).alias("sell_sh"),
+        total(F.when(_buy(), v)).alias("buy_v"), total(F.when(_sell(), v)).alias("sell_v"),
         total(F.when(F.coalesce(other, F.lit(True)), v)).alias("other_v"),
         F.min("fd").alias("first"), F.max("fd").alias("last"),
-        F.min(F.when(BUY, F.col("fd"))).alias("first_buy"), F.max(F.when(BUY, F.col("fd"))).alias("last_buy"),
-        F.min(F.when(SELL, F.col("fd"))).alias("first_sell"), F.max(F.when(SELL, F.col("fd"))).alias("last_sell"))
+        F.min(F.when(_buy(), F.col("fd"))).alias("first_buy"), F.max(F.when(_buy(), F.col("fd"))).alias("last_buy"),
+        F.min(F.when(_sell(), F.col("fd"))).alias("first_sell"), F.max(F.when(_sell(), F.col("fd"))).alias("last_sell"))
     return (out.withColumn("buy_sh", r4(F.col("buy_sh"))).withColumn("sell_sh", r4(F.col("sell_sh")))
             .withColumn("net_v", r2(F.col("buy_v") - F.col("sell_v")))
             .withColumn("overlap", (F.col("buy_n") > 0) & (F.col("sell_n") > 0)))

@@ -37,7 +37,7 @@ def amend_flag(doc_type: Column) -> Column:
 
 def strip_cik(cik: Column) -> Column:
     s = F.trim(cik)
-    return F.coalesce(F.nullif(F.regexp_replace(s, "^0+", ""), F.lit("")), s)
+    return F.coalesce(F.nullif(F.ltrim(s, F.lit("0")), F.lit("")), s)
 
 
 def relationship_label(flags: Column, note: Column) -> Column:

@@ -9,8 +9,7 @@ def _parts(acc: Column, icik: Column | None):
     a = F.regexp_replace(F.coalesce(acc, F.lit("")), "[^0-9-]", "")
     plain = F.translate(a, "-", "")
     given = F.regexp_replace(F.coalesce(icik, F.lit("")) if icik is not None else F.lit(""), "[^0-9]", "")
-    cik = F.coalesce(F.nullif(F.regexp_replace(given, "^0+", ""), F.lit("")),
-                     F.regexp_replace(F.substring(plain, 1, 10), "^0+", ""))
+    cik = F.coalesce(F.nullif(F.ltrim(given, F.lit("0")), F.lit("")), F.ltrim(F.substring(plain, 1, 10), F.lit("0")))
     return a, plain, cik
 
 

@@ -5,8 +5,7 @@ from ..fixed_values import NULL_WORDS
 
 
 def _grid(x: Column, scale: float) -> Column:
-    y = F.rint(x * F.lit(scale)) / F.lit(scale)
-    return F.when(y == 0, F.lit(0.0)).otherwise(y)      # no negative zero in published numbers
+    return F.rint(x * F.lit(scale)) / F.lit(scale) + F.lit(0.0)     # + 0.0 turns a negative zero into zero
 
 
 def r2(x: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window as W
 from .. import fixed_values as fv
 from ..functions.labels import issuer_key, owner_key
 from ..functions.links import evidence_text, filing_url, money_text, shares_text
-from ..functions.numeric import abs_value, count_if, r2, r4, total
+from ..functions.numeric import abs_value, count_if, exact, r2, r4
 from .merge import dedupe_flags
 
 
@@ -45,23 +45,34 @@ _MEASURES = ["total_shares", "total_value", "row_n", "filing_n", "insider_n", "t
 
 
 def flag_item(members: DataFrame) -> DataFrame:
-    """One row per ``flag_key`` with the common shape. Distinct counts and the filing fingerprint are
-    partially aggregated per (flag, value) before they meet, so hot flags stay spread out."""
-    v, sh = abs_value(F.col("val")), F.abs(F.coalesce("sh", F.lit(0.0)))
+    """One row per ``flag_key`` with the common shape.
+
+    First a hash aggregate per (flag, filing, owner, issuer) with fixed-width sums and day ranges, combined
+    map-side; the distinct counts and the filing fingerprint then see one row per such group, spread over
+    the filings, so a hot flag is not a hot task.
+    """
+    v, sh = exact(abs_value(F.col("val"))), exact(F.abs(F.coalesce("sh", F.lit(0.0))))
     blank = F.lit("")
-    acc = F.nullif(F.col("acc"), blank)
-    code = _code()
-    g = members.groupBy("flag_key", "kind").agg(
-        F.min(F.nullif(F.col("tk"), blank)).alias("tk"), F.min(F.nullif(F.col("co"), blank)).alias("co"),
-        F.min(F.nullif(F.col("icik"), blank)).alias("i0"), F.max(F.nullif(F.col("icik"), blank)).alias("i1"),
-        F.min("fd").alias("f0"), F.max("fd").alias("f1"), F.min("td").alias("t0"), F.max("td").alias("t1"),
-        r4(total(sh)).alias("total_shares"), r2(total(v)).alias("total_value"), F.count(F.lit(1)).alias("row_n"),
-        F.count_distinct(acc).alias("filing_n"), F.count_distinct(_owner()).alias("insider_n"),
-        F.count_distinct(F.nullif(F.col("tk"), blank)).alias("ticker_n"),
-        F.sum_distinct(F.xxhash64(acc).cast("decimal(38,0)")).alias("filing_set"),
-        r2(total(F.when(code == "P", v))).alias("buy_value"), r2(total(F.when(code == "S", v))).alias("sell_value"),
-        count_if(code == "S").alias("sale_rows"),
-        count_if(~_table_one() | code.isin("M", "C", "X", "O")).alias("exercise_rows"))
+    text = lambda c: F.nullif(F.col(c), blank).alias(c)
+    keyed = members.select("flag_key", "kind", text("acc"), text("tk"), text("co"), text("icik"), _owner().alias("who"),
+                           _code().alias("c"), (~_table_one()).alias("two"), "fd", "td", v.alias("v"), sh.alias("s"))
+    c = F.col("c")
+    part = keyed.groupBy("flag_key", "kind", "acc", "tk", "co", "icik", "who").agg(
+        F.sum("s").alias("s"), F.sum("v").alias("v"), F.count(F.lit(1)).alias("n"), F.min("fd").alias("f0"),
+        F.max("fd").alias("f1"), F.min("td").alias("t0"), F.max("td").alias("t1"),
+        F.sum(F.when(c == "P", F.col("v"))).alias("bv"), F.sum(F.when(c == "S", F.col("v"))).alias("sv"),
+        count_if(c == "S").alias("sn"), count_if(F.col("two") | c.isin("M", "C", "X", "O")).alias("en"))
+    def value(name):
+        return F.coalesce(F.sum(name), F.lit(0)).cast("double")
+    g = part.groupBy("flag_key", "kind").agg(
+        F.min("tk").alias("tk"), F.min("co").alias("co"), F.min("icik").alias("i0"), F.max("icik").alias("i1"),
+        F.min("f0").alias("f0"), F.max("f1").alias("f1"), F.min("t0").alias("t0"), F.max("t1").alias("t1"),
+        r4(value("s")).alias("total_shares"), r2(value("v")).alias("total_value"), F.sum("n").alias("row_n"),
+        F.count_distinct("acc").alias("filing_n"), F.count_distinct("who").alias("insider_n"),
+        F.count_distinct("tk").alias("ticker_n"),
+        F.sum_distinct(F.xxhash64("acc").cast("decimal(38,0)")).alias("filing_set"),
+        r2(value("bv")).alias("buy_value"), r2(value("sv")).alias("sell_value"), F.sum("sn").alias("sale_rows"),
+        F.sum("en").alias("exercise_rows"))
     kinds = list(fv.FLAG_KINDS.items())
     def named(i):
         return F.create_map(*[F.lit(x) for k, t in kinds for x in (k, t[i])])[F.col("kind")]

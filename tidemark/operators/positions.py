@@ -151,7 +151,7 @@ def performance_factors(positions: DataFrame) -> DataFrame:
         item("observed_holding_sessions", F.col("hold").isNotNull(), F.col("hold")),
         item("entry_to_last_close_return", F.col("roi").isNotNull(), F.col("roi")),
         item("long_horizon_not_available", F.col("r252_d").isNull()))
-    return positions.select("id", F.explode(F.array_compact(items)).alias("f")).select("id", "f.*")
+    return positions.select("id", F.explode(items).alias("f")).where("f IS NOT NULL").select("id", "f.*")
 
 
 def round_trip_backtest(signals: DataFrame, bars: DataFrame, asof: str, full_history: bool = True) -> DataFrame:

@@ -12,52 +12,63 @@ def _blank(name):
     return F.coalesce(F.trim(F.col(name)), F.lit("")) == ""
 
 
-def issue_array():
-    """All checks of one row as an array of (issue, severity, message); stateless, so batch and stream share it."""
+def _checks():
+    """(issue, severity, condition, message) of every row check."""
     code = F.upper(F.substring(F.coalesce("code", F.lit("")), 1, 1))
     market = code.isin("P", "S")
     fd, td, sh, px, val = (F.col(c) for c in ("fd", "td", "sh", "px", "val"))
-    calc = r2(sh * px)
     lag = business_days_between(td, fd)
     tk = F.upper(F.trim(F.coalesce("tk", F.lit(""))))
     t = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-    checks = [
-        (_blank("acc"), "MISSING_ACCESSION", "high", F.lit("No accession number.")),
-        (~_blank("acc") & ~F.col("acc").rlike(fv.ACCESSION_PATTERN), "BAD_ACCESSION_FORMAT", "medium",
+    return [
+        ("MISSING_ACCESSION", "high", _blank("acc"), F.lit("No accession number.")),
+        ("BAD_ACCESSION_FORMAT", "medium", ~_blank("acc") & ~F.col("acc").rlike(fv.ACCESSION_PATTERN),
          t("Unexpected accession format: ", F.col("acc"))),
-        (fd.isNull(), "BAD_FILING_DATE", "high", F.lit("Filing date missing or unreadable.")),
-        (td.isNull() & (code != ""), "BAD_TRANSACTION_DATE", "medium", F.lit("Transaction date missing or unreadable.")),
-        ((td > fd) & F.col("form").isin("4", "5"), "TRANSACTION_AFTER_FILING", "high",
+        ("BAD_FILING_DATE", "high", fd.isNull(), F.lit("Filing date missing or unreadable.")),
+        ("BAD_TRANSACTION_DATE", "medium", td.isNull() & (code != ""), F.lit("Transaction date missing or unreadable.")),
+        ("TRANSACTION_AFTER_FILING", "high", (td > fd) & F.col("form").isin("4", "5"),
          F.lit("Transaction date is later than the filing date.")),
-        (tk == "", "MISSING_TICKER", "medium", F.lit("No trading symbol; check whether the issuer is listed.")),
-        ((tk != "") & ~valid_ticker(tk, "audit"), "SUSPICIOUS_TICKER", "low", t("Unusual trading symbol: ", tk)),
-        (code == "", "MISSING_TRANSACTION_CODE", "high", F.lit("No transaction code.")),
-        ((code != "") & ~code.isin(list(fv.AUDITED_CODES)), "UNKNOWN_TRANSACTION_CODE", "medium",
+        ("MISSING_TICKER", "medium", tk == "", F.lit("No trading symbol; check whether the issuer is listed.")),
+        ("SUSPICIOUS_TICKER", "low", (tk != "") & ~valid_ticker(tk, "audit"), t("Unusual trading symbol: ", tk)),
+        ("MISSING_TRANSACTION_CODE", "high", code == "", F.lit("No transaction code.")),
+        ("UNKNOWN_TRANSACTION_CODE", "medium", (code != "") & ~code.isin(list(fv.AUDITED_CODES)),
          t("Transaction code is not in the official list: ", code)),
-        (sh < 0, "NEGATIVE_SHARES", "medium", F.lit("Share count below zero.")),
-        (px < 0, "NEGATIVE_PRICE", "medium", F.lit("Price below zero.")),
-        (market & ~F.coalesce(sh > 0, F.lit(False)), "MISSING_OPEN_MARKET_SHARES", "high",
+        ("NEGATIVE_SHARES", "medium", sh < 0, F.lit("Share count below zero.")),
+        ("NEGATIVE_PRICE", "medium", px < 0, F.lit("Price below zero.")),
+        ("MISSING_OPEN_MARKET_SHARES", "high", market & ~F.coalesce(sh > 0, F.lit(False)),
          t("Code ", code, " without a positive share count.")),
-        (market & ~F.coalesce(px >= 0, F.lit(False)), "MISSING_OPEN_MARKET_PRICE", "medium",
+        ("MISSING_OPEN_MARKET_PRICE", "medium", market & ~F.coalesce(px >= 0, F.lit(False)),
          t("Code ", code, " without a price.")),
-        (F.abs(calc - val) > fv.VALUE_TOLERANCE, "VALUE_MISMATCH", "high", F.lit("Value differs from shares times price.")),
-        ((F.col("form") == "4") & (lag > fv.LATE_FORM4_DAYS), "POSSIBLE_LATE_FORM4", "medium",
+        ("VALUE_MISMATCH", "high", F.abs(r2(sh * px) - val) > fv.VALUE_TOLERANCE,
+         F.lit("Value differs from shares times price.")),
+        ("POSSIBLE_LATE_FORM4", "medium", (F.col("form") == "4") & (lag > fv.LATE_FORM4_DAYS),
          t("Filed ", lag, " business days after the transaction.")),
     ]
-    items = [F.when(F.coalesce(cond, F.lit(False)),
-                    F.struct(F.lit(name).alias("issue"), F.lit(sev).alias("severity"), msg.alias("message")))
-             for cond, name, sev, msg in checks]
-    return F.array_compact(F.array(*items))
 
 
 def row_issues(trades: DataFrame, target_year: int | None = None) -> DataFrame:
-    """Long table of issues, one pass and no shuffle. With ``target_year``: only that year's rows and rows
-    without a filing date."""
+    """Long table of issues, one pass and no shuffle; stateless, so batch and stream share it.
+
+    Each row first gets a bit mask of its failed checks; clean rows stop there, and names and messages are
+    only built for the bits that are set. With ``target_year``: only that year's rows and undated rows.
+    """
     if target_year:
         trades = trades.where(F.col("fd").isNull() | (F.year("fd") == target_year))
-    return (trades.withColumn("x", F.explode(issue_array()))
-            .select("x.*", "fd", "td", "tk", "co", "insider", "acc", "pos", "icik",
-                    filing_url(F.col("acc"), F.col("icik")).alias("source_url")))
+    checks = _checks()
+    mask = F.lit(0)
+    for i, (_, _, cond, _) in enumerate(checks):
+        mask = mask + F.when(cond, F.lit(1 << i)).otherwise(F.lit(0))
+    bit = F.col("bit")
+    hit = (trades.withColumn("mask", mask).where("mask <> 0")
+           .withColumn("bit", F.explode(F.array(*[F.lit(i) for i in range(len(checks))])))
+           .where("(shiftright(mask, bit) & 1) = 1"))
+    names, severities = (F.array(*[F.lit(c[j]) for c in checks]) for j in (0, 1))
+    message = F.lit(None).cast("string")
+    for i, (_, _, _, text) in reversed(list(enumerate(checks))):
+        message = F.when(bit == i, text).otherwise(message)
+    return hit.select(F.get(names, bit).alias("issue"), F.get(severities, bit).alias("severity"), message.alias("message"),
+                      "fd", "td", "tk", "co", "insider", "acc", "pos", "icik",
+                      filing_url(F.col("acc"), F.col("icik")).alias("source_url"))
 
 
 def issue_counts(trades: DataFrame, target_year: int | None = None) -> DataFrame:

@@ -16,10 +16,6 @@ def _sell():
     return F.col("code") == "S"
 
 
-def _order():
-    return F.struct("fd", "td", "acc", "pos")
-
-
 def _v():
     return abs_value(F.col("val"))
 
@@ -28,16 +24,39 @@ def _blank(c):
     return F.nullif(F.trim(c), F.lit(""))
 
 
-def _last(value, ok=None):
-    """Latest non-blank value in filing order (explicit, not file order)."""
-    v = _blank(F.col(value))
-    ok = v.isNotNull() if ok is None else v.isNotNull() & ok
-    return F.coalesce(F.max_by(v, F.when(ok, _order())), F.lit(""))
+def _latest(value, known=None):
+    """Name on the latest filing day (ties: last in text order), blank when there is none."""
+    ok = F.col(value) != "" if known is None else known
+    return F.coalesce(F.max_by(value, F.when(ok, F.struct("last", value))), F.lit(""))
+
+
+def _earliest(value):
+    return F.coalesce(F.min_by(value, F.when(F.col(value) != "", F.struct("first", value))), F.lit(""))
 
 
-def _first(value):
-    v = _blank(F.col(value))
-    return F.coalesce(F.min_by(v, F.when(v.isNotNull(), _order())), F.lit(""))
+def activity_grain(trades: DataFrame) -> DataFrame:
+    """The one pass behind every issuer and insider roll-up: counts, sums and date ranges per
+    (owner, issuer) and the labels they were filed under.
+
+    Labels are grouping keys and every measure has a fixed-width buffer, so the big scan is a hash
+    aggregate combined map-side; picking the latest label happens later, on the far smaller result.
+    """
+    v, sh = exact(_v()), exact(F.coalesce("sh", F.lit(0.0)))
+    text = lambda c: F.coalesce(F.trim(F.col(c)), F.lit("")).alias(c)
+    keyed = trades.select(
+        owner_key(F.col("pcik"), F.col("insider")).alias("owner"),
+        issuer_key(F.col("icik"), F.col("tk"), F.col("co")).alias("issuer"),
+        text("insider"), text("co"), F.upper(F.coalesce(F.trim("tk"), F.lit(""))).alias("tk"), text("icik"), text("rel"),
+        text("title"), "code", "fd", v.alias("v"), sh.alias("sh"))
+    other = F.coalesce(~(_buy() | _sell()), F.lit(True))
+    return keyed.groupBy("owner", "issuer", "insider", "co", "tk", "icik", "rel", "title").agg(
+        F.count(F.lit(1)).alias("n"), count_if(_buy()).alias("buy_n"), count_if(_sell()).alias("sell_n"),
+        count_if(other).alias("other_n"), F.sum(F.when(_buy(), F.col("sh"))).alias("buy_sh"),
+        F.sum(F.when(_sell(), F.col("sh"))).alias("sell_sh"), F.sum(F.when(_buy(), F.col("v"))).alias("buy_v"),
+        F.sum(F.when(_sell(), F.col("v"))).alias("sell_v"), F.sum(F.when(other, F.col("v"))).alias("other_v"),
+        F.sum("v").alias("val"), F.min("fd").alias("first"), F.max("fd").alias("last"),
+        F.min(F.when(_buy(), F.col("fd"))).alias("first_buy"), F.max(F.when(_buy(), F.col("fd"))).alias("last_buy"),
+        F.min(F.when(_sell(), F.col("fd"))).alias("first_sell"), F.max(F.when(_sell(), F.col("fd"))).alias("last_sell"))
 
 
 def filing_window(trades: DataFrame, target_year: int | None = None, from_year: int | None = None) -> DataFrame:
@@ -83,8 +102,8 @@ def by_form(trades: DataFrame) -> DataFrame:
 
 
 def split_relationships(trades: DataFrame) -> DataFrame:
-    parts = F.filter(F.transform(F.split(F.coalesce("rel", F.lit("")), "/"), lambda p: F.trim(p)), lambda p: p != "")
-    return trades.withColumn("relationship", F.explode(parts))
+    return (trades.withColumn("relationship", F.explode(F.split(F.coalesce("rel", F.lit("")), "/")))
+            .withColumn("relationship", F.trim("relationship")).where("relationship <> ''"))
 
 
 def by_relationship(trades: DataFrame) -> DataFrame:
@@ -123,38 +142,42 @@ def daily_flow(trades: DataFrame, asof: str | None = None, days: int | None = No
     return _flow(trades, F.col("fd").alias("d")).withColumn("net", F.col("buy") - F.col("sell"))
 
 
+def _sum(name):
+    return F.coalesce(F.sum(name), F.lit(0)).cast("double")
+
+
 def _flows():
-    v = exact(_v())
-    zero = F.lit(0)
-    buy, sell = F.coalesce(F.sum(F.when(_buy(), v)), zero), F.coalesce(F.sum(F.when(_sell(), v)), zero)
-    return [F.count(F.lit(1)).alias("n"), count_if(_buy()).alias("buy_n"), count_if(_sell()).alias("sell_n"),
-            r2(buy.cast("double")).alias("buy_v"), r2(sell.cast("double")).alias("sell_v"),
-            r2((buy - sell).cast("double")).alias("net_v"), r2(F.sum(v).cast("double")).alias("val")]
+    net = F.coalesce(F.sum("buy_v"), F.lit(0)) - F.coalesce(F.sum("sell_v"), F.lit(0))
+    return [*[F.sum(c).alias(c) for c in ("n", "buy_n", "sell_n")], r2(_sum("buy_v")).alias("buy_v"),
+            r2(_sum("sell_v")).alias("sell_v"), r2(net.cast("double")).alias("net_v"), r2(_sum("val")).alias("val")]
+
+
+def _known_relationship():
+    return F.coalesce(F.nullif(_latest("rel", ~F.col("rel").isin("", fv.NO_RELATIONSHIP)), F.lit("")),
+                      F.lit(fv.NO_RELATIONSHIP))
 
 
-def company_summary(trades: DataFrame) -> DataFrame:
-    """One row per issuer. Distinct insiders and filings come from one pass; Spark aggregates
-    (issuer, insider) partially first, so a hot issuer is spread over its insiders."""
+def company_summary(trades: DataFrame, filings: bool = True) -> DataFrame:
+    """One row per issuer. ``filings`` adds the distinct filing count (a second, key-only aggregate)."""
+    out = activity_grain(trades).where("issuer IS NOT NULL").groupBy("issuer").agg(
+        _latest("co").alias("co"), _earliest("tk").alias("tk"), *_flows(),
+        F.count_distinct(F.nullif(F.col("insider"), F.lit(""))).alias("insiders"),
+        F.min("first").alias("first"), F.max("last").alias("last"))
+    if not filings:
+        return out
     key = issuer_key(F.col("icik"), F.col("tk"), F.col("co"))
-    return (trades.withColumn("issuer", key).where("issuer IS NOT NULL").groupBy("issuer").agg(
-        _last("co").alias("co"), _first("tk").alias("tk"), *_flows(),
-        F.count_distinct(_blank(F.col("insider"))).alias("insiders"),
-        F.count_distinct(_blank(F.col("acc"))).alias("filings"),
-        F.min("fd").alias("first"), F.max("fd").alias("last")))
+    counts = (trades.select(key.alias("issuer"), _blank(F.col("acc")).alias("acc")).where("issuer IS NOT NULL").distinct()
+              .groupBy("issuer").agg(F.count("acc").alias("filings")))
+    return out.join(counts, "issuer")
 
 
 def insider_summary(trades: DataFrame, limit: int | None = None) -> DataFrame:
     """One row per reporting owner; ``limit`` keeps the published list (most active first)."""
-    rows = (trades.withColumn("owner", owner_key(F.col("pcik"), F.col("insider")))
-            .where((F.col("owner").isNotNull()) & (F.coalesce("insider", F.lit("")) != "")))
-    company = F.when(F.coalesce("co", F.lit("")) != "",
-                     F.coalesce(F.upper(_blank(F.col("tk"))), F.col("co")))
-    out = rows.groupBy("owner").agg(
-        _last("insider").alias("insider"),
-        F.coalesce(F.nullif(_last("rel", F.col("rel") != fv.NO_RELATIONSHIP), F.lit("")),
-                   F.lit(fv.NO_RELATIONSHIP)).alias("rel"),
-        _first("title").alias("title"), *_flows(), F.count_distinct(company).alias("companies"),
-        F.min("fd").alias("first"), F.max("fd").alias("last"))
+    company = F.when(F.col("co") != "", F.coalesce(F.nullif(F.col("tk"), F.lit("")), F.col("co")))
+    out = activity_grain(trades).where("owner IS NOT NULL AND insider <> ''").groupBy("owner").agg(
+        _latest("insider").alias("insider"), _known_relationship().alias("rel"), _earliest("title").alias("title"),
+        *_flows(), F.count_distinct(company).alias("companies"),
+        F.min("first").alias("first"), F.max("last").alias("last"))
     return out.orderBy(F.desc("n"), "owner").limit(limit) if limit else out
 
 
@@ -178,24 +201,14 @@ def with_pair(trades: DataFrame) -> DataFrame:
 
 def insider_issuer_activity(trades: DataFrame) -> DataFrame:
     """One row per (owner, issuer): counts, shares, values, dates per side and the overlap flag."""
-    v, other = _v(), ~(_buy() | _sell())
-    sh = F.coalesce("sh", F.lit(0.0))
-    out = with_pair(trades).groupBy("owner", "issuer").agg(
-        _last("insider").alias("insider"), _last("co").alias("co"), F.upper(_first("tk")).alias("tk"),
-        _first("icik").alias("icik"),
-        F.coalesce(F.nullif(_last("rel", F.col("rel") != fv.NO_RELATIONSHIP), F.lit("")),
-                   F.lit(fv.NO_RELATIONSHIP)).alias("rel"),
-        _first("title").alias("title"),
-        F.count(F.lit(1)).alias("n"), count_if(_buy()).alias("buy_n"), count_if(_sell()).alias("sell_n"),
-        count_if(F.coalesce(other, F.lit(True))).alias("other_n"),
-        total(F.when(_buy(), sh)).alias("buy_sh"), total(F.when(_sell(), sh)).alias("sell_sh"),
-        total(F.when(_buy(), v)).alias("buy_v"), total(F.when(_sell(), v)).alias("sell_v"),
-        total(F.when(F.coalesce(other, F.lit(True)), v)).alias("other_v"),
-        F.min("fd").alias("first"), F.max("fd").alias("last"),
-        F.min(F.when(_buy(), F.col("fd"))).alias("first_buy"), F.max(F.when(_buy(), F.col("fd"))).alias("last_buy"),
-        F.min(F.when(_sell(), F.col("fd"))).alias("first_sell"), F.max(F.when(_sell(), F.col("fd"))).alias("last_sell"))
-    return (out.withColumn("buy_sh", r4(F.col("buy_sh"))).withColumn("sell_sh", r4(F.col("sell_sh")))
-            .withColumn("net_v", r2(F.col("buy_v") - F.col("sell_v")))
+    out = activity_grain(trades).where("owner IS NOT NULL AND issuer IS NOT NULL").groupBy("owner", "issuer").agg(
+        _latest("insider").alias("insider"), _latest("co").alias("co"), _earliest("tk").alias("tk"),
+        _earliest("icik").alias("icik"), _known_relationship().alias("rel"), _earliest("title").alias("title"),
+        *[F.sum(c).alias(c) for c in ("n", "buy_n", "sell_n", "other_n")],
+        *[r4(_sum(c)).alias(c) for c in ("buy_sh", "sell_sh")], *[_sum(c).alias(c) for c in ("buy_v", "sell_v", "other_v")],
+        *[F.min(c).alias(c) for c in ("first", "first_buy", "first_sell")],
+        *[F.max(c).alias(c) for c in ("last", "last_buy", "last_sell")])
+    return (out.withColumn("net_v", r2(F.col("buy_v") - F.col("sell_v")))
             .withColumn("overlap", (F.col("buy_n") > 0) & (F.col("sell_n") > 0)))
 
 

@@ -17,7 +17,7 @@ def _long(df, checks):
     items = [F.when(F.coalesce(applies, F.lit(False)),
                     F.struct(F.lit(name).alias("check"), F.coalesce(holds, F.lit(False)).alias("ok")))
              for name, applies, holds in checks]
-    return df.select("id", F.explode(F.array_compact(F.array(*items))).alias("x")).select("id", "x.*")
+    return df.select("id", F.explode(F.array(*items)).alias("x")).where("x IS NOT NULL").select("id", "x.*")
 
 
 def verify_positions(positions: DataFrame) -> DataFrame:

@@ -71,9 +71,10 @@ def sample_rows(trades: DataFrame, top: int = 2, strides: int = 3, per_month: in
     rows = trades.where("fd IS NOT NULL").withColumn("m", month_key(F.col("fd")))
     n = rows.groupBy("m").agg(F.count(F.lit(1)).alias("n"))
     step = F.greatest(F.lit(1), F.floor(F.col("n") / per_month))
-    tops = n.select("m", F.explode(F.sequence(F.lit(0), F.lit(top - 1))).cast("long").alias("t"), "n")
-    every = n.select("m", (F.explode(F.sequence(F.lit(0), F.lit(strides - 1))) * step).cast("long").alias("t"), "n")
-    wanted = (tops.select("m", "t", "n", F.lit("top").alias("pick"))
+    tops = n.select("m", F.explode(F.sequence(F.lit(0), F.lit(top - 1))).alias("t"), "n")
+    every = (n.select("m", F.explode(F.sequence(F.lit(0), F.lit(strides - 1))).alias("j"), "n")
+             .select("m", (F.col("j") * step).alias("t"), "n"))
+    wanted = (tops.select("m", F.col("t").cast("long").alias("t"), "n", F.lit("top").alias("pick"))
               .unionByName(every.select("m", "t", "n", F.lit("stride").alias("pick"))).where("t < n"))
     # value first (largest first), then days and names, so that equal values do not form one big slice
     cents = F.rint(F.coalesce(F.col("val"), F.lit(0.0)) * 100).cast("long")

@@ -251,9 +251,8 @@ add("write_positions", f"SELECT status, entry_rule_status, exit_status, count(*)
 add("write_activity", "SELECT owner, issuer, n, net_v, valuation_status FROM priced")
 add("write_portfolios", "SELECT owner, insider, issuer_n, priced_value, overlap = 1 AS overlap FROM portfolio")
 add("export_view", "SELECT acc, pos, tk, insider, nature, sh FROM trades WHERE side = 'buy' AND contains(lower(tk || ' ' || co || ' ' || insider), 'owner 1')")
-_ALWAYS = 13  # fields of the test rows that are never blank
 add("compact_row", """SELECT acc, pos, CAST(fd AS VARCHAR) AS fd, nullif(tk, '') AS tk, nullif(title, '') AS title, px, nullif(der, 0) AS der, nullif(amend, 0) AS amend,
-  CAST(14 + (tk <> '')::INT + (title <> '')::INT + (px IS NOT NULL)::INT + (val IS NOT NULL)::INT + (af IS NOT NULL)::INT + (der <> 0)::INT + (amend <> 0)::INT
+  CAST(15 + (tk <> '')::INT + (title <> '')::INT + (px IS NOT NULL)::INT + (val IS NOT NULL)::INT + (af IS NOT NULL)::INT + (der <> 0)::INT + (amend <> 0)::INT
     + (sh <> 0)::INT AS INT) AS fields FROM trades""")
 add("read_bars_yahoo_json", f"SELECT tk, {iso('d')}, {r4('CASE WHEN v <> 2 THEN o ELSE c END')} AS o, {r4('c')} AS c, v, 'yahoo' AS src FROM bars")
 add("read_splits", f"SELECT tk, {iso('d')}, num, den, den / num AS ratio FROM splits")
@@ -298,7 +297,7 @@ add("month_and_year_keys", "SELECT strftime(fd, '%Y-%m') AS m, strftime(fd, '%Y'
 _MONEY = "'$' || format('{{:,.2f}}', {x})"
 add("evidence_text", f"""SELECT acc, pos, acc || ': ' || fd || ' filing; ' || td || ' transaction; ' || CASE WHEN tk = '' THEN 'no ticker' ELSE tk END || ' ' || co || '; ' || insider || '; ' ||
   CASE WHEN der = 1 THEN 'Table II derivative' ELSE 'Table I non-derivative' END || '; code ' || code || '; ' || format('{{:,}}', CAST(sh AS BIGINT)) || ' shares @ ' ||
-  CASE WHEN px IS NULL THEN 'no reported price' ELSE {_MONEY.format(x='CAST(px AS DECIMAL(18,2))::DOUBLE')} END || '; value ' || CASE WHEN val IS NULL THEN 'no reported value' ELSE {_MONEY.format(x='val')} END || '.' AS evidence,
+  CASE WHEN px IS NULL THEN 'no reported price' ELSE {_MONEY.format(x='px')} END || '; value ' || CASE WHEN val IS NULL THEN 'no reported value' ELSE {_MONEY.format(x='val')} END || '.' AS evidence,
   CASE WHEN sh % 8 = 0 THEN format('{{:,}}', CAST(sh / 8 AS BIGINT)) ELSE rtrim(format('{{:,.4f}}', sh / 8), '0') END AS eighth,
   CASE WHEN val IS NULL THEN 'not reported' ELSE '$-' || format('{{:,.2f}}', val) END AS outflow FROM trades""")
 add("abs_value", f"SELECT acc, pos, {V} AS v FROM trades")
@@ -504,7 +503,7 @@ add("row_issues_rare", f"""SELECT issue, severity, count(*) AS n FROM (SELECT un
     CASE WHEN tk = '?bad' THEN 'SUSPICIOUS_TICKER|low' END, CASE WHEN code = '' THEN 'MISSING_TRANSACTION_CODE|high' END, CASE WHEN upper(code) = 'Q' THEN 'UNKNOWN_TRANSACTION_CODE|medium' END,
     CASE WHEN sh < 0 THEN 'NEGATIVE_SHARES|medium' END, CASE WHEN px < 0 THEN 'NEGATIVE_PRICE|medium' END, CASE WHEN code IN ('P', 'S') AND sh < 0 THEN 'MISSING_OPEN_MARKET_SHARES|high' END,
     CASE WHEN code IN ('P', 'S') AND (px IS NULL OR px < 0) THEN 'MISSING_OPEN_MARKET_PRICE|medium' END, CASE WHEN abs({r2('sh * px')} - val) > 0.05 THEN 'VALUE_MISMATCH|high' END,
-    CASE WHEN form = '4' AND {_BDAYS.format(a='td', b='fd')} > 2 THEN 'POSSIBLE_LATE_FORM4|medium' END], x -> x IS NOT NULL)) AS z, split_part(z, '|', 1) AS issue, split_part(z, '|', 2) AS severity
+    CASE WHEN form = '4' AND {_BDAYS.format(a='td', b='fd')} > 2 THEN 'POSSIBLE_LATE_FORM4|medium' END], lambda x: x IS NOT NULL)) AS z, split_part(z, '|', 1) AS issue, split_part(z, '|', 2) AS severity
   FROM (SELECT form, fd, val, CASE WHEN amend = 1 AND code = 'A' THEN '' WHEN amend = 1 AND code = 'G' THEN '12-3' ELSE acc END AS acc, CASE WHEN amend = 1 AND code = 'S' THEN '?bad' ELSE tk END AS tk,
     CASE WHEN amend = 1 AND sec = 'Warrant' THEN -sh ELSE sh END AS sh, CASE WHEN amend = 1 AND di = 'I' THEN -px ELSE px END AS px,
     CASE WHEN code = 'M' THEN CASE WHEN amend = 1 THEN '' ELSE 'q' END ELSE code END AS code, CASE WHEN amend = 1 AND form = '5' THEN NULL ELSE td END AS td FROM trades)) GROUP BY 1, 2""")
@@ -610,7 +609,7 @@ add("verify_activity", checked("priced", [("overlap_consistent", "true", "overla
                                           ("shares_match_holdings", "reported_shares IS NOT NULL", "true"),
                                           ("value_is_shares_times_mark", "holding_value IS NOT NULL", "abs(holding_value - reported_shares * mark_px) <= 0.01")]))
 add("flag_evidence", f"""SELECT 'sync_sales|' || icik || '|' || td AS flag_key, CAST(line AS INT) AS line, acc || ': ' || fd || ' filing; ' || td || ' transaction; ' || CASE WHEN tk = '' THEN 'no ticker' ELSE tk END || ' ' || co || '; '
-    || insider || '; Table I non-derivative; code S; ' || CAST(CAST(sh AS BIGINT) AS VARCHAR) || ' shares @ ' || {_MONEY.format(x='CAST(px AS DECIMAL(18,2))::DOUBLE')} || '; value ' || {_MONEY.format(x='val')} || '.' AS evidence
+    || insider || '; Table I non-derivative; code S; ' || CAST(CAST(sh AS BIGINT) AS VARCHAR) || ' shares @ ' || {_MONEY.format(x='px')} || '; value ' || {_MONEY.format(x='val')} || '.' AS evidence
   FROM (SELECT *, row_number() OVER (PARTITION BY icik, td ORDER BY fd, td, acc, pos, icik) AS line, {total(V)[:-len(' AS DOUBLE)')] if False else f'sum(CAST({V} AS DECIMAL(28,4))) OVER (PARTITION BY icik, td)'} AS tv
     FROM trades WHERE code = 'S' AND der = 0) t
   WHERE line <= 20 AND tv >= {fx.SYNC} AND (SELECT count(DISTINCT u.pcik) FROM trades u WHERE u.code = 'S' AND u.der = 0 AND u.icik = t.icik AND u.td = t.td) >= 2""")

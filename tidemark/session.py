@@ -17,7 +17,9 @@ def build_session(app="tidemark", master=None, shuffle_partitions=None, memory="
          .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
          .config("spark.ui.enabled", "false"))
     if master:
-        b = b.master(master).config("spark.driver.memory", memory)
+        # small local files: let a few megabytes still fill every core
+        b = (b.master(master).config("spark.driver.memory", memory).config("spark.sql.files.openCostInBytes", "262144")
+             .config("spark.ui.showConsoleProgress", "false"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return b.getOrCreate()

@@ -49,8 +49,8 @@ def parse_search_hits(pages: DataFrame) -> DataFrame:
     kept = (hit.withColumn("acc", acc).withColumn("form0", form)
             .where(F.concat("acc", F.lit(".txt")).rlike(_ACC) & F.col("form0").isin(list(INDEX_FORMS))))
     first = F.get(src["ciks"], 0)
-    cik = F.when(first.isNotNull(), F.coalesce(F.nullif(F.regexp_replace(first, "^0+", ""), F.lit("")), F.lit("0"))
-                 ).otherwise(F.regexp_replace(F.substring_index("acc", "-", 1), "^0+", ""))
+    cik = F.when(first.isNotNull(), F.coalesce(F.nullif(F.ltrim(first, F.lit("0")), F.lit("")), F.lit("0"))
+                 ).otherwise(F.ltrim(F.substring_index("acc", "-", 1), F.lit("0")))
     path = F.concat(F.lit("edgar/data/"), cik, F.lit("/"), F.translate("acc", "-", ""), F.lit("/"), F.col("acc"),
                     F.lit(".txt"))
     return (dedupe_by_accession(kept, "line_no", "n")

@@ -44,24 +44,37 @@ def calendar_delays(fd, td, entry_d):
     return F.date_diff(fd, td).alias("delay_td_fd"), F.date_diff(entry_d, fd).alias("delay_fd_entry")
 
 
+def settle(df: DataFrame, **columns) -> DataFrame:
+    """Add columns that are computed once here. Plain projections would be merged into every later
+    expression and filter that mentions them; a one-row generator keeps its output as it is."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def _opened(signals, facts):
-    """Signals with entry columns; ``bar``/``split`` are NULL unless the entry rule is verified."""
+    """Signals with status and, where the entry rule is verified, everything the entry session knows."""
     j = signals.join(facts.select("tk", "fd", "bar", "series", "split"), ["tk", "fd"], "left")
     status, rule = classify_position_status(F.col("bar"), F.col("series"), F.col("fd"))
-    j = j.withColumn("status", status).withColumn("entry_rule_status", rule)
-    is_open = F.col("status") == "open"
-    gap_days = F.when(F.col("entry_rule_status") == "entry_window_missing", F.date_diff(F.col("bar.d"), F.col("fd")))
-    return (j.withColumn("entry_gap_days", gap_days)
-            .withColumn("bar", F.when(is_open, F.col("bar"))).withColumn("split", F.when(is_open, F.col("split")))
-            .withColumn("epx", F.col("bar.o")).withColumn("raw_shares", F.lit(STAKE) / F.col("bar.o"))
-            .withColumn("stake", F.lit(STAKE)))
+    j = settle(j, status=status, entry_rule_status=rule)
+    shown = F.col("status") == "open"
+    bar, last, close = F.col("bar"), F.col("bar.last"), F.col("bar.last_close")
+    def seen(c):
+        return F.when(shown, c)
+    horizon = {}
+    for n in fv.HORIZONS:
+        horizon[f"c{n}"], horizon[f"d{n}"] = seen(bar[f"c{n}"]), seen(bar[f"d{n}"])
+    gap = F.when(F.col("entry_rule_status") == "entry_window_missing", F.date_diff(bar["d"], F.col("fd")))
+    j = settle(j, entry_gap_days=gap, entry_d=seen(bar["d"]), epx=seen(bar["o"]), raw_shares=seen(F.lit(STAKE) / bar["o"]),
+               lpx=seen(F.when(last["c"] > 0, last["c"])), last_seen=seen(last["d"]), sessions=seen(last["i"] - bar["i"]),
+               kept_px=seen(F.when(close["i"] > bar["i"], close["c"])), kept_d=seen(close["d"]),
+               next_jump=seen(bar["next_jump"]), crossed=seen(F.col("split")), stake=F.lit(STAKE), **horizon)
+    return j.drop("bar", "series", "split")
 
 
 def _horizons(blank_from=None):
     """{name: column} for r1..r252 with their days and prices; ``blank_from``: NULL from that day on."""
     out = {}
     for n in fv.HORIZONS:
-        px, day = F.col(f"bar.c{n}"), F.col(f"bar.d{n}")
+        px, day = F.col(f"c{n}"), F.col(f"d{n}")
         seen = px.isNotNull() & F.col("epx").isNotNull()
         if blank_from is not None:
             seen = seen & (blank_from.isNull() | (day < blank_from))
@@ -79,42 +92,40 @@ def simulate_positions(signals: DataFrame, bars: DataFrame, asof: str | None = N
     observed numbers in ``*_reported`` while the headline columns go blank.
     """
     p = _opened(signals, entry_facts(signals, bars, asof, splits))
-    roi_status = position_split_status(F.col("split"))
-    last = F.col("bar.last")
-    p = (p.withColumn("roi_status", roi_status)
-         .withColumn("split_flag", F.col("split").isNotNull())
-         .withColumn("lpx", F.when(last["c"] > 0, last["c"]))
-         .withColumn("mixed", F.coalesce(F.col("roi_status") == "mixed_pre_post_split", F.lit(False))))
+    status = position_split_status(F.col("crossed"))
+    p = p.withColumns({"roi_status": status, "split_flag": F.col("crossed").isNotNull(),
+                       "mixed": F.coalesce(status == "mixed_pre_post_split", F.lit(False)),
+                       "hold": F.when(F.col("lpx").isNotNull(), F.col("sessions"))})
     p = adjust_for_splits(p)
-    p = p.withColumns(_horizons(F.when(F.col("mixed"), F.col("split.first_mixed"))))
-    p = (p.withColumn("mark", F.col("eff_shares") * F.col("lpx"))
-         .withColumn("hold", F.when(F.col("lpx").isNotNull(), last["i"] - F.col("bar.i"))))
-    exit_value = F.col("raw_shares") * F.col("r252_px")
-    p = (p.withColumn("exit_d", F.when(F.col("r252_px").isNotNull(), F.col("r252_d"))).withColumn("exit_px", F.col("r252_px"))
-         .withColumn("exit_pnl", r2(exit_value - STAKE)).withColumn("exit_roi", F.col("r252"))
-         .withColumn("exit_status", F.when(F.col("r252_px").isNotNull(), F.lit("exited_252")).otherwise(F.lit("open"))))
+    marked = {"mark": F.col("eff_shares") * F.col("lpx")}
+    p = settle(p, **marked, **_horizons(F.when(F.col("mixed"), F.col("crossed.first_mixed"))))
     p = withhold_suspicious_returns(p)
+    exited = F.col("r252_px").isNotNull()
+    exit_value = F.col("raw_shares") * F.col("r252_px")
     gap = F.when(~F.col("split_flag") & (F.col("insider_px") != 0), r4(F.col("epx") / F.col("insider_px") - 1.0))
-    delays = calendar_delays(F.col("fd"), F.col("td"), F.col("bar.d"))
+    delays = calendar_delays(F.col("fd"), F.col("td"), F.col("entry_d"))
     src = ["price_src"] if "price_src" in signals.columns else []
+    has_mark = F.col("lpx").isNotNull()
     return p.select(
         "id", "acc", "tk", "form", "amend", "fd", "td", "co", "icik", "pcik", "insider", "rel", "title", "sec",
         "insider_sh", "insider_val", "insider_px", "lots", *src, "status", "entry_rule_status", "entry_gap_days",
-        "stake", F.col("bar.d").alias("entry_d"), r4(F.col("epx")).alias("entry_px"),
-        r4(F.col("raw_shares")).alias("shares"), F.when(F.col("lpx").isNotNull(), last["d"]).alias("last_d"),
-        r4(F.col("lpx")).alias("last_px"), "mtm", "pnl", "roi", gap.alias("gap"), "hold", *delays,
-        "split_flag", "roi_status", F.when(F.col("mixed") & F.col("lpx").isNotNull(), r4(F.col("eff_shares"))).alias("shares_after_split"),
+        "stake", "entry_d", r4(F.col("epx")).alias("entry_px"), r4(F.col("raw_shares")).alias("shares"),
+        F.when(has_mark, F.col("last_seen")).alias("last_d"), r4(F.col("lpx")).alias("last_px"), "mtm", "pnl", "roi",
+        gap.alias("gap"), "hold", *delays, "split_flag", "roi_status",
+        F.when(F.col("mixed") & has_mark, r4(F.col("eff_shares"))).alias("shares_after_split"),
         F.when(F.col("mixed"), F.col("roi_observed")).alias("roi_corrected"),
         "roi_review", "roi_reported", "pnl_reported",
         *[f"r{n}{tail}" for n in fv.HORIZONS for tail in ("", "_d", "_px")],
-        "exit_d", "exit_px", "exit_pnl", "exit_roi", "exit_status",
+        F.when(exited, F.col("r252_d")).alias("exit_d"), F.col("r252_px").alias("exit_px"),
+        r2(exit_value - STAKE).alias("exit_pnl"), F.col("r252").alias("exit_roi"),
+        F.when(exited, F.lit("exited_252")).otherwise(F.lit("open")).alias("exit_status"),
         filing_url(F.col("acc"), F.col("icik")).alias("filing_url"), history_url(F.col("tk")).alias("history_url"),
         second_history_url(F.col("tk")).alias("second_history_url"))
 
 
 def adjust_for_splits(p: DataFrame) -> DataFrame:
     """Shares on today's basis: divided by the price ratios of the mixed events since entry."""
-    return p.withColumn("eff_shares", F.when(F.col("mixed"), F.col("raw_shares") / F.col("split.ratio"))
+    return p.withColumn("eff_shares", F.when(F.col("mixed"), F.col("raw_shares") / F.col("crossed.ratio"))
                         .otherwise(F.col("raw_shares")))
 
 
@@ -123,18 +134,17 @@ def withhold_suspicious_returns(p: DataFrame) -> DataFrame:
 
     Unclear split events keep their raw return but are marked for review. Without split metadata a price
     jump during the hold or an implausible return blanks the headline columns."""
-    roi, pnl = r4(F.col("mark") / STAKE - 1.0), r2(F.col("mark") - STAKE)
-    jumped = F.col("lpx").isNotNull() & (F.col("bar.next_jump") <= F.col("bar.last.d"))
+    roi, pnl = F.col("roi_observed"), r2(F.col("mark") - STAKE)
+    p = p.withColumn("roi_observed", r4(F.col("mark") / STAKE - 1.0))
+    jumped = F.col("lpx").isNotNull() & (F.col("next_jump") <= F.col("last_seen"))
     wild = (((roi > 2.0) | (roi < -0.80)) & (F.col("hold") <= 90)) | (roi > 5.0)
     held_back = ~F.col("split_flag") & (F.coalesce(jumped, F.lit(False)) | F.coalesce(wild, F.lit(False)))
-    review = held_back | F.coalesce(F.col("roi_status") == "split_event_review", F.lit(False))
-    shown = ~F.col("held_back")
-    return (p.withColumn("held_back", held_back).withColumn("roi_review", review)
-            .withColumn("roi_observed", roi)
-            .withColumn("roi_reported", F.when(F.col("held_back"), roi))
-            .withColumn("pnl_reported", F.when(F.col("held_back"), pnl))
-            .withColumn("mtm", F.when(shown, r2(F.col("mark")))).withColumn("pnl", F.when(shown, pnl))
-            .withColumn("roi", F.when(shown, roi)))
+    p = settle(p, held_back=held_back)
+    held, shown = F.col("held_back"), ~F.col("held_back")
+    review = held | F.coalesce(F.col("roi_status") == "split_event_review", F.lit(False))
+    return p.withColumns({
+        "roi_review": review, "roi_reported": F.when(held, roi), "pnl_reported": F.when(held, pnl),
+        "mtm": F.when(shown, r2(F.col("mark"))), "pnl": F.when(shown, pnl), "roi": F.when(shown, roi)})
 
 
 def performance_factors(positions: DataFrame) -> DataFrame:
@@ -158,38 +168,32 @@ def round_trip_backtest(signals: DataFrame, bars: DataFrame, asof: str, full_his
     """The historical book: exit at the +252-session close; a mature position whose complete series ended
     early leaves at its last close; everything else stays open."""
     p = _opened(signals, entry_facts(signals, bars, asof))
-    day = F.lit(asof).cast("date")
-    last, lc = F.col("bar.last"), F.col("bar.last_close")
-    lpx = F.when(last["c"] > 0, last["c"])
-    sessions = last["i"] - F.col("bar.i")
-    at_252 = F.when(F.col("bar.c252") > 0, F.col("bar.c252"))
-    mature = F.date_diff(day, F.col("bar.d")) >= fv.MATURE_DAYS
-    ended = (F.lit(full_history) & mature & (sessions < fv.EXIT_SESSIONS) & (last["d"] < day)
-             & (lc["i"] > F.col("bar.i")))
-    is_open = F.col("status") == "open"
-    p = (p.withColumn("exit_status", F.when(~is_open, F.lit(None)).when(at_252.isNotNull(), F.lit("exited_252"))
-                      .when(ended, F.lit("exit_last_observed")).otherwise(F.lit("open")))
-         .withColumn("xpx", F.when(F.col("exit_status") == "exited_252", at_252)
-                     .when(F.col("exit_status") == "exit_last_observed", lc["c"]))
-         .withColumn("xd", F.when(F.col("exit_status") == "exited_252", F.col("bar.d252"))
-                     .when(F.col("exit_status") == "exit_last_observed", lc["d"]))
-         .withColumn("exit_sessions", F.when(F.col("exit_status") == "exited_252", F.lit(fv.EXIT_SESSIONS))
-                     .when(is_open, sessions)))
-    roi_open = r4(F.col("raw_shares") * lpx / STAKE - 1.0)
-    exit_roi = r4(F.col("raw_shares") * F.col("xpx") / STAKE - 1.0)
-    wild = ((roi_open > 2.0) | (roi_open < -0.80)) & (sessions <= 90)
-    wild_exit = (F.col("exit_status") == "exit_last_observed") & ((exit_roi > 3.0) | (exit_roi < -0.90))
+    day, c = F.lit(asof).cast("date"), F.col
+    is_open = c("status") == "open"
+    mature = F.date_diff(day, c("entry_d")) >= fv.MATURE_DAYS
+    ended = (F.lit(full_history) & mature & (c("sessions") < fv.EXIT_SESSIONS) & (c("last_seen") < day)
+             & c("kept_px").isNotNull())
+    how = (F.when(~is_open, F.lit(None)).when(c("c252") > 0, F.lit("exited_252"))
+           .when(ended, F.lit("exit_last_observed")).otherwise(F.lit("open")))
+    p = settle(p, exit_status=how)
+    at_252, at_last = c("exit_status") == "exited_252", c("exit_status") == "exit_last_observed"
+    p = settle(p, xpx=F.when(at_252, c("c252")).when(at_last, c("kept_px")),
+               exit_d=F.when(at_252, c("d252")).when(at_last, c("kept_d")),
+               exit_sessions=F.when(at_252, F.lit(fv.EXIT_SESSIONS)).when(is_open, c("sessions")),
+               roi_open=r4(c("raw_shares") * c("lpx") / STAKE - 1.0))
+    p = settle(p, exit_roi=r4(c("raw_shares") * c("xpx") / STAKE - 1.0))
+    wild = ((c("roi_open") > 2.0) | (c("roi_open") < -0.80)) & (c("sessions") <= 90)
+    wild_exit = at_last & ((c("exit_roi") > 3.0) | (c("exit_roi") < -0.90))
     return p.select(
         "id", "acc", "tk", "fd", "td", "co", "icik", "insider", "rel", "title", "insider_sh", "insider_val",
-        "insider_px", "stake", "status", "entry_rule_status", F.col("bar.d").alias("entry_d"),
-        r4(F.col("epx")).alias("entry_px"), r4(F.col("raw_shares")).alias("shares"),
-        F.when(F.col("insider_px") != 0, r4(F.col("epx") / F.col("insider_px") - 1.0)).alias("gap"),
-        F.when(lpx.isNotNull(), last["d"]).alias("last_d"), r4(lpx).alias("last_px"), roi_open.alias("roi_open"),
-        r2(F.col("raw_shares") * lpx - STAKE).alias("pnl_open"), "exit_status", F.col("xd").alias("exit_d"),
-        r4(F.col("xpx")).alias("exit_px"), exit_roi.alias("exit_roi"),
-        r2(F.col("raw_shares") * F.col("xpx") - STAKE).alias("exit_pnl"), "exit_sessions",
+        "insider_px", "stake", "status", "entry_rule_status", "entry_d", r4(c("epx")).alias("entry_px"),
+        r4(c("raw_shares")).alias("shares"),
+        F.when(c("insider_px") != 0, r4(c("epx") / c("insider_px") - 1.0)).alias("gap"),
+        F.when(c("lpx").isNotNull(), c("last_seen")).alias("last_d"), r4(c("lpx")).alias("last_px"), "roi_open",
+        r2(c("raw_shares") * c("lpx") - STAKE).alias("pnl_open"), "exit_status", "exit_d", r4(c("xpx")).alias("exit_px"),
+        "exit_roi", r2(c("raw_shares") * c("xpx") - STAKE).alias("exit_pnl"), "exit_sessions",
         F.when(is_open, F.coalesce(wild, F.lit(False)) | F.coalesce(wild_exit, F.lit(False))).alias("roi_review"),
-        filing_url(F.col("acc"), F.col("icik")).alias("filing_url"), history_url(F.col("tk")).alias("history_url"))
+        filing_url(c("acc"), c("icik")).alias("filing_url"), history_url(c("tk")).alias("history_url"))
 
 
 def price_source_counts(positions: DataFrame, src: str = "price_src") -> DataFrame:

@@ -1,9 +1,9 @@
 """Distribution statistics, capital, curves, findings.
 
 Returns are published on a 1e-4 grid, so a bucket's distribution is its histogram on that grid: one
-map-side-combining aggregate whose size depends on the distinct values, not on the number of positions.
-Exact order statistics come from running counts over that histogram (coarse bins first, then inside the
-bins), so no task ever sorts or collects the values of a bucket.
+map-side-combining aggregate. Exact order statistics come from running counts over the histogram. What one
+task sees of a bucket is bounded by the grid between its smallest and largest return (1e4 steps per 100%),
+not by the number of positions.
 """
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window as W
@@ -15,7 +15,6 @@ from ..functions.numeric import count_if, r2, r4, total
 from .asof import asof_clip
 
 GRID = 10_000
-_BIN = 1_000
 
 
 def _ranks(method, n):
@@ -48,35 +47,20 @@ def histogram(df: DataFrame, keys, value: str) -> DataFrame:
 def stats_from_histogram(hist: DataFrame, keys, method: str = "linear") -> DataFrame:
     """n, mean, median, win rate, p25, p75, min and max per ``keys`` from (keys, k, n)."""
     keys = list(keys)
-    bins = hist.groupBy(*keys, F.floor(F.col("k") / _BIN).alias("bin")).agg(
-        F.sum("n").alias("bn"), F.sum(F.col("k").cast("decimal(38,0)") * F.col("n")).alias("ks"),
-        F.sum(F.when(F.col("k") > 0, F.col("n")).otherwise(F.lit(0))).alias("wins"),
-        F.min("k").alias("lo"), F.max("k").alias("hi"))
-    seen = W.partitionBy(*keys).orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
-    all_ = W.partitionBy(*keys)
-    bins = (bins.withColumn("before", F.coalesce(F.sum("bn").over(seen), F.lit(0)))
-            .withColumn("total", F.sum("bn").over(all_)).withColumn("ksum", F.sum("ks").over(all_))
-            .withColumn("won", F.sum("wins").over(all_)).withColumn("kmin", F.min("lo").over(all_))
-            .withColumn("kmax", F.max("hi").over(all_)))
-    wanted = [r for pair in _ranks(method, F.col("total")) for r in pair[:2]]
-    needed = F.lit(False)
-    for r in wanted:
-        needed = needed | ((r >= F.col("before")) & (r < F.col("before") + F.col("bn")))
-    picked = bins.where(needed).select(*keys, "bin", "before", "total", "ksum", "won", "kmin", "kmax")
-    fine = hist.withColumn("bin", F.floor(F.col("k") / _BIN))
-    cond = [F.col(f"f.{c}").eqNullSafe(F.col(f"p.{c}")) for c in keys + ["bin"]]
-    rows = fine.alias("f").join(picked.alias("p"), cond).select(
-        *[F.col(f"f.{c}").alias(c) for c in keys + ["bin", "k", "n"]],
-        *[F.col(f"p.{c}").alias(c) for c in ("before", "total", "ksum", "won", "kmin", "kmax")])
-    inside = W.partitionBy(*keys, "bin").orderBy("k").rowsBetween(W.unboundedPreceding, -1)
-    rows = rows.withColumn("start", F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    whole = W.partitionBy(*keys)
+    below = W.partitionBy(*keys).orderBy("k").rowsBetween(W.unboundedPreceding, -1)
+    rows = (hist.withColumn("start", F.coalesce(F.sum("n").over(below), F.lit(0)))
+            .withColumn("total", F.sum("n").over(whole)))
     def at(rank):
         return F.max(F.when((rank >= F.col("start")) & (rank < F.col("start") + F.col("n")), F.col("k"))) / float(GRID)
-    parts, weights = [], []
+    parts = []
     for name, (lo, hi, w) in zip(("p25", "median", "p75"), _ranks(method, F.col("total"))):
         parts += [at(lo).alias(f"{name}_lo"), at(hi).alias(f"{name}_hi"), F.max(w).alias(f"{name}_w")]
-    out = rows.groupBy(*keys).agg(F.max("total").alias("n"), F.max("ksum").alias("ksum"), F.max("won").alias("won"),
-                                  F.max("kmin").alias("kmin"), F.max("kmax").alias("kmax"), *parts)
+    # the window has already placed each bucket in one partition, so this aggregate needs no shuffle
+    out = rows.groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.sum(F.col("k").cast("decimal(20,0)") * F.col("n").cast("decimal(18,0)")).alias("ksum"),
+        F.sum(F.when(F.col("k") > 0, F.col("n")).otherwise(F.lit(0))).alias("won"),
+        F.min("k").alias("kmin"), F.max("k").alias("kmax"), *parts)
     def mix(name):
         lo, hi, w = F.col(f"{name}_lo"), F.col(f"{name}_hi"), F.col(f"{name}_w")
         return r4(lo + (hi - lo) * w).alias(name)

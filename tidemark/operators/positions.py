@@ -9,6 +9,7 @@ from .. import fixed_values as fv
 from ..functions.links import filing_url, history_url, second_history_url
 from ..functions.numeric import r2, r4
 from .asof import asof_keys, asof_lookup, enrich_bars, entry_candidates
+from .plan import settle
 from .splits import classify_splits, event_outlook, position_split_status
 
 STAKE = fv.STAKE
@@ -44,12 +45,6 @@ def calendar_delays(fd, td, entry_d):
     return F.date_diff(fd, td).alias("delay_td_fd"), F.date_diff(entry_d, fd).alias("delay_fd_entry")
 
 
-def settle(df: DataFrame, **columns) -> DataFrame:
-    """Add columns that are computed once here. Plain projections would be merged into every later
-    expression and filter that mentions them; a one-row generator keeps its output as it is."""
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
-
-
 def _opened(signals, facts):
     """Signals with status and, where the entry rule is verified, everything the entry session knows."""
     j = signals.join(facts.select("tk", "fd", "bar", "series", "split"), ["tk", "fd"], "left")

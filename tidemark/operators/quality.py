@@ -6,6 +6,11 @@ from ..functions.calendar import business_days_between, first_business_day, last
 from ..functions.labels import issuer_key, owner_key, valid_ticker
 from ..functions.links import filing_url
 from ..functions.numeric import abs_value, count_if, r2, total
+from .plan import settle
+
+
+def _code():
+    return F.upper(F.substring(F.coalesce("code", F.lit("")), 1, 1))
 
 
 def _blank(name):
@@ -13,36 +18,34 @@ def _blank(name):
 
 
 def _checks():
-    """(issue, severity, condition, message) of every row check."""
-    code = F.upper(F.substring(F.coalesce("code", F.lit("")), 1, 1))
+    """(issue, severity, message, condition) of every row check; a message ending in ':' takes a detail."""
+    code = _code()
     market = code.isin("P", "S")
     fd, td, sh, px, val = (F.col(c) for c in ("fd", "td", "sh", "px", "val"))
     lag = business_days_between(td, fd)
     tk = F.upper(F.trim(F.coalesce("tk", F.lit(""))))
-    t = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    no = F.lit(False)
     return [
-        ("MISSING_ACCESSION", "high", _blank("acc"), F.lit("No accession number.")),
-        ("BAD_ACCESSION_FORMAT", "medium", ~_blank("acc") & ~F.col("acc").rlike(fv.ACCESSION_PATTERN),
-         t("Unexpected accession format: ", F.col("acc"))),
-        ("BAD_FILING_DATE", "high", fd.isNull(), F.lit("Filing date missing or unreadable.")),
-        ("BAD_TRANSACTION_DATE", "medium", td.isNull() & (code != ""), F.lit("Transaction date missing or unreadable.")),
-        ("TRANSACTION_AFTER_FILING", "high", (td > fd) & F.col("form").isin("4", "5"),
-         F.lit("Transaction date is later than the filing date.")),
-        ("MISSING_TICKER", "medium", tk == "", F.lit("No trading symbol; check whether the issuer is listed.")),
-        ("SUSPICIOUS_TICKER", "low", (tk != "") & ~valid_ticker(tk, "audit"), t("Unusual trading symbol: ", tk)),
-        ("MISSING_TRANSACTION_CODE", "high", code == "", F.lit("No transaction code.")),
-        ("UNKNOWN_TRANSACTION_CODE", "medium", (code != "") & ~code.isin(list(fv.AUDITED_CODES)),
-         t("Transaction code is not in the official list: ", code)),
-        ("NEGATIVE_SHARES", "medium", sh < 0, F.lit("Share count below zero.")),
-        ("NEGATIVE_PRICE", "medium", px < 0, F.lit("Price below zero.")),
-        ("MISSING_OPEN_MARKET_SHARES", "high", market & ~F.coalesce(sh > 0, F.lit(False)),
-         t("Code ", code, " without a positive share count.")),
-        ("MISSING_OPEN_MARKET_PRICE", "medium", market & ~F.coalesce(px >= 0, F.lit(False)),
-         t("Code ", code, " without a price.")),
-        ("VALUE_MISMATCH", "high", F.abs(r2(sh * px) - val) > fv.VALUE_TOLERANCE,
-         F.lit("Value differs from shares times price.")),
-        ("POSSIBLE_LATE_FORM4", "medium", (F.col("form") == "4") & (lag > fv.LATE_FORM4_DAYS),
-         t("Filed ", lag, " business days after the transaction.")),
+        ("MISSING_ACCESSION", "high", "No accession number.", _blank("acc")),
+        ("BAD_ACCESSION_FORMAT", "medium", "Unexpected accession format:",
+         ~_blank("acc") & ~F.col("acc").rlike(fv.ACCESSION_PATTERN)),
+        ("BAD_FILING_DATE", "high", "Filing date missing or unreadable.", fd.isNull()),
+        ("BAD_TRANSACTION_DATE", "medium", "Transaction date missing or unreadable.", td.isNull() & (code != "")),
+        ("TRANSACTION_AFTER_FILING", "high", "Transaction date is later than the filing date.",
+         (td > fd) & F.col("form").isin("4", "5")),
+        ("MISSING_TICKER", "medium", "No trading symbol; check whether the issuer is listed.", tk == ""),
+        ("SUSPICIOUS_TICKER", "low", "Unusual trading symbol:", (tk != "") & ~valid_ticker(tk, "audit")),
+        ("MISSING_TRANSACTION_CODE", "high", "No transaction code.", code == ""),
+        ("UNKNOWN_TRANSACTION_CODE", "medium", "Transaction code is not in the official list:",
+         (code != "") & ~code.isin(list(fv.AUDITED_CODES))),
+        ("NEGATIVE_SHARES", "medium", "Share count below zero.", sh < 0),
+        ("NEGATIVE_PRICE", "medium", "Price below zero.", px < 0),
+        ("MISSING_OPEN_MARKET_SHARES", "high", "Purchase or sale without a positive share count.",
+         market & ~F.coalesce(sh > 0, no)),
+        ("MISSING_OPEN_MARKET_PRICE", "medium", "Purchase or sale without a price.", market & ~F.coalesce(px >= 0, no)),
+        ("VALUE_MISMATCH", "high", "Value differs from shares times price.", F.abs(r2(sh * px) - val) > fv.VALUE_TOLERANCE),
+        ("POSSIBLE_LATE_FORM4", "medium", "Business days from transaction to filing:",
+         (F.col("form") == "4") & (lag > fv.LATE_FORM4_DAYS)),
     ]
 
 
@@ -56,19 +59,21 @@ def row_issues(trades: DataFrame, target_year: int | None = None) -> DataFrame:
         trades = trades.where(F.col("fd").isNull() | (F.year("fd") == target_year))
     checks = _checks()
     mask = F.lit(0)
-    for i, (_, _, cond, _) in enumerate(checks):
-        mask = mask + F.when(cond, F.lit(1 << i)).otherwise(F.lit(0))
-    bit = F.col("bit")
-    hit = (trades.withColumn("mask", mask).where("mask <> 0")
+    for i, check in enumerate(checks):
+        mask = mask.bitwiseOR(F.when(check[3], F.lit(1 << i)).otherwise(F.lit(0)))
+    wanted = trades.select("fd", "td", "form", "tk", "co", "insider", "acc", "pos", "icik", "code", "sh", "px", "val")
+    hit = (settle(wanted, mask=mask).where("mask <> 0")
            .withColumn("bit", F.explode(F.array(*[F.lit(i) for i in range(len(checks))])))
            .where("(shiftright(mask, bit) & 1) = 1"))
-    names, severities = (F.array(*[F.lit(c[j]) for c in checks]) for j in (0, 1))
-    message = F.lit(None).cast("string")
-    for i, (_, _, _, text) in reversed(list(enumerate(checks))):
-        message = F.when(bit == i, text).otherwise(message)
-    return hit.select(F.get(names, bit).alias("issue"), F.get(severities, bit).alias("severity"), message.alias("message"),
-                      "fd", "td", "tk", "co", "insider", "acc", "pos", "icik",
-                      filing_url(F.col("acc"), F.col("icik")).alias("source_url"))
+    names, severities, texts = (F.get(F.array(*[F.lit(c[j]) for c in checks]), F.col("bit")) for j in (0, 1, 2))
+    issue = F.col("issue")
+    detail = (F.when(issue == "BAD_ACCESSION_FORMAT", F.col("acc")).when(issue == "SUSPICIOUS_TICKER", F.col("tk"))
+              .when(issue == "UNKNOWN_TRANSACTION_CODE", F.col("code"))
+              .when(issue == "POSSIBLE_LATE_FORM4", business_days_between(F.col("td"), F.col("fd")).cast("string")))
+    return hit.withColumn("issue", names).select(
+        "issue", severities.alias("severity"), F.concat_ws(" ", texts, detail).alias("message"),
+        "fd", "td", "tk", "co", "insider", "acc", "pos", "icik",
+        filing_url(F.col("acc"), F.col("icik")).alias("source_url"))
 
 
 def issue_counts(trades: DataFrame, target_year: int | None = None) -> DataFrame:

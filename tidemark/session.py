@@ -25,6 +25,9 @@ def build_session(app="tidemark", master=None, shuffle_partitions=None, memory="
     return b.getOrCreate()
 
 
+_LOCAL_ROOT = []
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
@@ -35,8 +38,9 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not _LOCAL_ROOT:
+            _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="tidemark-"))
+        root = _LOCAL_ROOT[0]
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 

@@ -49,6 +49,7 @@ def _unzip(batches):
                                                 encoding="utf-8", encoding_errors="replace"):
                             part = part.reindex(columns=_ALL_COLUMNS)
                             part.insert(0, "member", name)
+                            part = part.astype(object)
                             yield part.where(part.notna(), None)
 
 

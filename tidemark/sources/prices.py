@@ -47,8 +47,10 @@ def bars_from_charts(docs: DataFrame) -> DataFrame:
     """Chart documents (``file``, ``chart``): parallel arrays zipped by position; open and close fill each
     other; shorter arrays read as NULL."""
     q = F.get(F.col("r.indicators.quote"), 0)
-    zipped = F.arrays_zip(F.col("r.timestamp").alias("t"), q["open"].alias("o"), q["high"].alias("h"),
-                          q["low"].alias("l"), q["close"].alias("c"), q["volume"].alias("v"))
+    def series(name, kind="double"):
+        return F.coalesce(q[name], F.array().cast(f"array<{kind}>"))      # a missing array is an empty one
+    zipped = F.arrays_zip(F.col("r.timestamp").alias("t"), series("open").alias("o"), series("high").alias("h"),
+                          series("low").alias("l"), series("close").alias("c"), series("volume", "bigint").alias("v"))
     long = (_results(docs).select("tk", "off", F.posexplode(zipped).alias("pos", "b"))
             .where("b.t IS NOT NULL AND coalesce(b.o, b.c) IS NOT NULL"))
     return _one_per_session(long.select(

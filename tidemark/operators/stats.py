@@ -12,6 +12,7 @@ from .. import fixed_values as fv
 from ..functions.calendar import is_weekday, month_key, next_weekday
 from ..functions.labels import role_bucket, size_bucket
 from ..functions.numeric import count_if, r2, r4, total
+from ..session import materialize
 from .asof import asof_clip
 
 GRID = 10_000
@@ -201,14 +202,20 @@ def paper_verification_counts(positions: DataFrame) -> DataFrame:
 
 
 def findings(positions: DataFrame, min_n: int = fv.FINDING_MIN_N) -> DataFrame:
-    """(id, metric, value, n): headline facts, gated by group size. Texts are formatted from these rows."""
+    """(id, metric, value, n): headline facts, gated by group size. Texts are formatted from these rows.
+
+    The few position columns the facts need are written once and read back, so the book behind them is
+    computed once however many facts there are."""
+    slim = ["status", "entry_rule_status", "stake", "mtm", "roi", "gap", "split_flag", "roi_review", "rel", "title",
+            "insider_val", "fd", *[f"r{n}" for n in fv.HORIZONS]]
+    positions = materialize(positions.select(*slim), "findings")
     counts, capital = position_counts(positions), capital_summary(positions)
     def unpivot(df, prefix, names):
         items = F.array(*[F.struct(F.lit(prefix).alias("id"), F.lit(x).alias("metric"),
                                    F.col(x).cast("double").alias("value"), F.lit(None).cast("long").alias("n"))
                           for x in names])
         return df.select(F.explode(items).alias("x")).select("x.*")
-    cuts = stats_cuts(positions)
+    cuts = materialize(stats_cuts(positions), "cuts")
     overall = cuts.where("cut = 'all'").select(F.lit("roi").alias("id"), F.lit("median").alias("metric"),
                                                F.col("median").alias("value"), "n")
     big = cuts.where(F.col("n") >= min_n)

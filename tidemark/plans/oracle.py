@@ -622,3 +622,24 @@ add("stream_dedupe", f"SELECT DISTINCT acc, der, CAST(td AS VARCHAR) AS td, code
 add("stream_ingest_trades", f"SELECT acc, pos, code, sh FROM trades QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY pos DESC, icik DESC) = 1")
 add("stream_pending_entries", """SELECT s.id, s.tk, CAST(s.fd AS VARCHAR) AS fd, 'verified' AS entry_rule_status, CAST(min(b.d) AS VARCHAR) AS entry_d, arg_min(b.o, b.d) AS entry_px
   FROM signals s JOIN bars b ON s.tk = b.tk AND b.d > s.fd AND b.d <= s.fd + 10 GROUP BY s.id, s.tk, s.fd""")
+
+_COUNTS = ["open", "open_split_flagged", "entry_window_missing", "no_bars_after_filing", "awaiting_entry", "no_price"]
+_CAPITAL = ["deployed", "value", "pnl", "roi"]
+
+
+def unpivot(kind, names, source):
+    return (f"SELECT '{kind}' AS id, unnest([{quoted(names)}]) AS metric, unnest([{', '.join(f'CAST({n} AS DOUBLE)' for n in names)}]) AS value, "
+            f"NULL::BIGINT AS n FROM ({source})")
+
+
+def extreme(kind, cut, order):
+    return f"SELECT * FROM (SELECT '{kind}', bucket, median, n FROM ({SQL['stats_cuts']}) WHERE cut = '{cut}' AND n >= {fv.FINDING_MIN_N} ORDER BY {order} LIMIT 1)"
+
+
+SQL["findings"] = " UNION ALL ".join([
+    unpivot("counts", _COUNTS, SQL["position_counts"]),
+    unpivot("capital", _CAPITAL, f"SELECT * FROM ({SQL['capital_summary']}) WHERE basis = 'valued'"),
+    f"SELECT 'roi', 'median', median, n FROM ({SQL['stats_cuts']}) WHERE cut = 'all'",
+    f"SELECT CASE WHEN horizon = 'gap' THEN 'entry_gap' ELSE 'horizon' END, horizon, median, n FROM ({SQL['stats_by_horizon']}) WHERE n >= {fv.FINDING_MIN_N} OR horizon = 'gap'",
+    extreme("best_role", "role", "median DESC, bucket DESC"), extreme("worst_role", "role", "median, bucket"),
+    extreme("best_size", "size", "median DESC, bucket DESC")])

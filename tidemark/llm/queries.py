@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, line_dedup, mixing, url_filter
+from tidemark.llm import exact_dedup, line_dedup, mixing, simhash, url_filter
 from tidemark.session import table_path
 
 
@@ -19,6 +19,11 @@ def op2_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.simhash_dedup(_table(spark, folder, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.url_filter(_table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -28,7 +33,7 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_source_mixing, op4_url_filter, op9_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_source_mixing, op3_simhash, op4_url_filter, op9_line_dedup)}
 
 _SPACES = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"

@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, line_dedup, mixing, simhash, url_filter
+from tidemark.llm import decontaminate, exact_dedup, langid, line_dedup, mixing, simhash, url_filter
 from tidemark.session import table_path
 
 
@@ -28,12 +28,27 @@ def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.url_filter(_table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def _remainder(modulus: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
+
+
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    profiles = langid.learn_profiles(docs.where(_remainder(4) != 2).select("doc_id", "text", "lang"))
+    held_out = F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out")
+    return langid.predict(docs.select("doc_id", "text", held_out), profiles).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return line_dedup.line_dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_source_mixing, op3_simhash, op4_url_filter, op9_line_dedup)}
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_source_mixing, op3_simhash, op4_url_filter, op7_language_id, op9_line_dedup, op10_decontamination)}
 
 _SPACES = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"

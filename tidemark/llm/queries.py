@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact_dedup, langid, line_dedup, mixing, simhash, substring_dedup, url_filter
+from tidemark.llm import decontaminate, exact_dedup, langid, line_dedup, mixing, simhash, substring_dedup, toxicity, url_filter
 from tidemark.session import table_path
 
 
@@ -44,6 +44,13 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text", held_out), profiles).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, _table(spark, folder, "labels").where(_remainder(3) != 1))
+    held_out = F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out")
+    return toxicity.score(docs.select("doc_id", "text", held_out), model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return line_dedup.line_dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -53,7 +60,7 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_source_mixing, op3_simhash, op4_url_filter, op6_substring_dedup, op7_language_id, op9_line_dedup, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_source_mixing, op3_simhash, op4_url_filter, op6_substring_dedup, op7_language_id, op8_toxicity, op9_line_dedup, op10_decontamination)}
 
 _SPACES = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"

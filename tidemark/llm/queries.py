@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact_dedup, langid, line_dedup, mixing, simhash, substring_dedup, toxicity, url_filter
+from tidemark.llm import decontaminate, exact_dedup, langid, line_dedup, mixing, simhash, substring_dedup, suffix_array, toxicity, url_filter
 from tidemark.session import table_path
 
 
@@ -28,6 +28,11 @@ def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.url_filter(_table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_array.suffix_array_dedup(_table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.substring_dedup(_table(spark, folder, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -60,7 +65,7 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_source_mixing, op3_simhash, op4_url_filter, op6_substring_dedup, op7_language_id, op8_toxicity, op9_line_dedup, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_source_mixing, op3_simhash, op4_url_filter, op5_suffix_array, op6_substring_dedup, op7_language_id, op8_toxicity, op9_line_dedup, op10_decontamination)}
 
 _SPACES = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"

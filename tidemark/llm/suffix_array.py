@@ -188,56 +188,81 @@ def _hashed_starts(marked: DataFrame, gap: int, min_bytes: int) -> DataFrame:
     return marked.select("row", "text", "starts").mapInArrow(run, "inner long, outer long, row long, at long")
 
 
+#: What is asked about one start: its group, its position, whether it is open, whether its group is large.
+_ASKED = np.dtype([("inner", "<i8"), ("at", "<i8"), ("open", "?"), ("large", "?")])
+
+
+def _packed(judged: DataFrame) -> DataFrame:
+    """(row, asked): the starts of a row whose surroundings are wanted, packed."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = []
+            for asked in batch.column(1):
+                entries = np.empty(len(asked.values), _ASKED)
+                for name in _ASKED.names:
+                    entries[name] = asked.values.field(name).to_numpy(zero_copy_only=False)
+                packed.append(entries.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["row", "asked"])
+
+    wanted = judged.where("asked").groupBy("row").agg(F.collect_list(F.struct("inner", "at", "open", "large")).alias("asked"))
+    return wanted.mapInArrow(pack, "row long, asked binary")
+
+
 def _surroundings(marked: DataFrame, gap: int, min_bytes: int) -> DataFrame:
-    """Rows to compare. marked: row, text, asked (list of inner, at, open, large). Of a group of bearable size the bytes
-    around a start are sent under the group's key; of a large one a hash per string of MIN_BYTES bytes, each a key."""
+    """Rows to compare. marked: row, text, asked. Of a group of bearable size the bytes around a start are sent under
+    the group's key; of a large one a hash per string of MIN_BYTES bytes, each a key."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+
+        def flush() -> pa.RecordBatch:
+            columns = list(zip(*out)) or [()] * 5
+            out.clear()
+            return pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in columns[:4]), pa.array(columns[4], pa.binary())],
+                                              names=["key", "row", "start", "before", "around"])
+
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [])
             for row, text, asked in zip(batch.column(0).to_pylist(), byte_list(batch.column(1)), batch.column(2).to_pylist()):
-                for ask in asked:
-                    at, begin = ask["at"], max(0, ask["at"] - gap + 1)
+                for inner, at, is_open, large in np.frombuffer(asked, _ASKED).tolist():
+                    begin = max(0, at - gap + 1)
                     around = text[begin:at + min_bytes]
-                    if not ask["large"]:
-                        entries = [(ask["inner"], begin, around, at - begin)]
+                    mark = (lambda start: start) if is_open else (lambda start: -1 - start)
+                    if not large:
+                        out.append((inner, row, mark(begin), at - begin, around))
                     else:
-                        entries = [(xxhash.xxh3_64_intdigest(around[s:s + min_bytes], seed=at - begin - s) - (1 << 63), begin + s, None, at - begin - s)
-                                   for s in range(min(at - begin, len(around) - min_bytes) + 1)]
-                    for key, start, data, before in entries:
-                        for column, value in zip(out, (key, row, start if ask["open"] else -1 - start, before, data)):
-                            column.append(value)
-            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in out[:4]), pa.array(out[4], pa.binary())], names=["key", "row", "start", "before", "around"])
+                        out.extend((xxhash.xxh3_64_intdigest(around[s:s + min_bytes], seed=at - begin - s) - (1 << 63), row, mark(begin + s), at - begin - s, None)
+                                   for s in range(min(at - begin, len(around) - min_bytes) + 1))
+                if len(out) >= 8192:
+                    yield flush()
+        yield flush()
 
     return marked.select("row", "text", "asked").mapInArrow(run, "key long, row long, start long, before long, around binary")
 
 
 def _compare(min_bytes: int):
-    """Start positions (row, low, high) of strings that another entry of the group has as well. A negative start marks
-    an entry that is only there for the others."""
+    """(row, low, high): runs of start positions of strings that another entry of the group has as well. A negative
+    start marks an entry that is only there for the others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, ["key"], start=1 << 12):
+        for table in whole_groups(batches, ["key"], start=1 << 11):
             key, row, start, before = (table.column(i).to_numpy() for i in range(4))
-            hashes, entry, start_of = [], [], []
-            for i, around in enumerate(table.column("around").to_pylist()):
-                begin = start[i] if start[i] >= 0 else -1 - start[i]
-                if around is None:  # the key is the string's hash
-                    hashes.append(0)
-                    entry.append(i)
-                    start_of.append(begin)
-                    continue
-                for s in range(min(int(before[i]), len(around) - min_bytes) + 1):
-                    hashes.append(xxhash.xxh3_64_intdigest(around[s:s + min_bytes], seed=int(before[i]) - s))
-                    entry.append(i)
-                    start_of.append(begin + s)
-            if not entry:
-                continue
-            owner, value, at = np.array(entry), np.array(hashes, np.uint64), np.array(start_of, np.int64)
-            order = np.lexsort((value, key[owner]))
-            owner, value, at = owner[order], value[order], at[order]
-            new = np.r_[True, (key[owner][1:] != key[owner][:-1]) | (value[1:] != value[:-1])]
+            begin = np.where(start >= 0, start, -1 - start)
+            around = table.column("around").to_pylist()
+            # an entry without bytes is one string already, and its key is the string's hash
+            strings = np.array([1 if a is None else max(0, min(int(b), len(a) - min_bytes) + 1) for a, b in zip(around, before)], np.int64)
+            owner = np.repeat(np.arange(len(around)), strings)
+            step = np.arange(len(owner)) - np.repeat(np.r_[0, np.cumsum(strings)[:-1]], strings)
+            value = np.fromiter((0 if a is None else xxhash.xxh3_64_intdigest(a[s:s + min_bytes], seed=int(b) - s)
+                                 for a, b, n in zip(around, before, strings.tolist()) for s in range(n)), np.uint64, len(owner))
+            group = key[owner]
+            order = np.lexsort((value, group))
+            new = np.r_[True, (group[order][1:] != group[order][:-1]) | (value[order][1:] != value[order][:-1])][:len(order)]
             length = np.diff(np.r_[np.flatnonzero(new), len(new)])
-            hit = np.repeat(length > 1, length) & (start[owner] >= 0)
-            yield pa.RecordBatch.from_arrays([pa.array(row[owner[hit]]), pa.array(at[hit]), pa.array(at[hit])], names=["row", "low", "high"])
+            hit = np.zeros(len(owner), bool)
+            hit[order] = np.repeat(length > 1, length)
+            hit &= start[owner] >= 0
+            owner, at = owner[hit], begin[owner[hit]] + step[hit]
+            first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (at[1:] != at[:-1] + 1)][:len(owner)])
+            last = np.r_[first[1:], len(owner)][:len(first)] - 1
+            yield pa.RecordBatch.from_arrays([pa.array(row[owner[first]]), pa.array(at[first]), pa.array(at[last])], names=["row", "low", "high"])
     return run
 
 
@@ -257,27 +282,30 @@ def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = numbered.join(checked(materialize(copies.where(~F.col("speaks")).select("row"), "silent")), "row", "left_anti")
     candidates = materialize(repeated_starts(texts, depth, gap, min_bytes), "starts")
     starts = materialize(_hashed_starts(texts.join(checked(candidates), "row"), gap, min_bytes), "hashed_starts")
-    same = starts.groupBy("inner", "outer").agg(F.count("*").alias("n"), F.min(F.struct("row", "at")).alias("first"))
+    own = F.xxhash64("row", "at")  # the start that speaks for equal surroundings is the one with the least hash
+    same = starts.groupBy("inner", "outer").agg(F.count("*").alias("n"), F.min(own).alias("speaker"))
     groups = same.groupBy("inner").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), F.min("n").alias("least")).where("total > 1")
     judged = materialize(starts.join(same, ["inner", "outer"]).join(groups, "inner")
                          .select("row", "at", "inner", (F.col("n") == 1).alias("open"), (F.col("kinds") > GROUP).alias("large"),
-                                 ((F.col("least") == 1) & ((F.col("n") == 1) | (F.struct("row", "at") == F.col("first")))).alias("asked")), "judged")
-    asked = materialize(judged.where("asked").groupBy("row").agg(F.collect_list(F.struct("inner", "at", "open", "large")).alias("asked")), "asked")
+                                 ((F.col("least") == 1) & ((F.col("n") == 1) | (own == F.col("speaker")))).alias("asked")), "judged")
+    asked = materialize(_packed(judged), "asked")
     near = _surroundings(texts.join(checked(asked), "row"), gap, min_bytes)
     exact = near.repartition("key").sortWithinPartitions("key").mapInArrow(_compare(min_bytes), "row long, low long, high long")
-    wide = judged.where(~F.col("open")).select("row", F.greatest(F.lit(0), F.col("at") - (gap - 1)).alias("low"), F.col("at").alias("high"))
-    decided = materialize(exact.unionByName(wide).groupBy("row").agg(F.collect_list(F.struct("low", "high")).alias("gone")), "gone")
-    decided = materialize(decided.join(copies.select("row", F.lit(True).alias("whole")), "row", "full"), "decided")
-    marked = numbered.join(checked(decided), "row", "left").select("doc_id", "text", "gone", F.coalesce("whole", F.lit(False)).alias("whole"))
+    open_runs = exact.groupBy("row").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
+    certain = judged.where(~F.col("open")).groupBy("row").agg(F.collect_list(F.col("at").cast("int")).alias("certain"))
+    whole = copies.select("row", F.lit(True).alias("whole"))
+    decided = materialize(open_runs.join(certain, "row", "full").join(whole, "row", "full"), "decided")
+    marked = numbered.join(checked(decided), "row", "left").select("doc_id", "text", "runs", "certain", F.coalesce("whole", F.lit(False)).alias("whole"))
     kind = marked.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, total, gone, spans = [], [], [], []
-            for text, runs, whole in zip(byte_list(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for text, runs, certain, whole in zip(byte_list(batch.column(1)), *(batch.column(i).to_pylist() for i in (2, 3, 4))):
                 left, at, count = [], 0, 0
                 end = -1
-                for low, high in [(0, len(text) - min_bytes)] if whole else sorted((r["low"], r["high"]) for r in runs or ()):
+                found = [(r["low"], r["high"]) for r in runs or ()] + [(a - gap + 1, a) for a in certain or ()]
+                for low, high in [(0, len(text) - min_bytes)] if whole else sorted(found):
                     if low > end:
                         count += 1
                         left.append(text[at:low] if end < 0 else text[end:low])

@@ -230,16 +230,23 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = materialize(texts.join(F.broadcast(sample), "label_id").select("text", "toxic"), "labelled_texts")
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[str, int]] = set()
+
+        def flush() -> pa.RecordBatch:
+            columns = list(zip(*seen)) or [(), ()]
+            seen.clear()
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64())], names=["term", "context"])
+
         for batch in batches:
-            seen = set()
             for text in byte_list(batch.column(0)):
                 words = _WORD.findall(text.decode("utf-8", "replace").lower())
                 for before, word, after in zip(["", *words], words, [*words[1:], ""]):
                     if len(word) > 2:
                         context = xxhash.xxh64_intdigest(f"{before} {after}") >> 1
                         seen.update((form, context) for form in forms(word))
-            terms = list(zip(*seen)) or [[], []]
-            yield pa.RecordBatch.from_arrays([pa.array(terms[0], pa.string()), pa.array(terms[1], pa.int64())], names=["term", "context"])
+                        if len(seen) >= 1 << 16:
+                            yield flush()
+        yield flush()
 
     used = texts.where("toxic = 1").select("text").mapInArrow(contexts, "term string, context long").distinct().groupBy("term").agg(F.count("*").alias("toxic_uses"))
     used = materialize(used, "toxic_terms")

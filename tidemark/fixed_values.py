@@ -96,12 +96,12 @@ ENGINE_MIN_VALUE = 1.0
 JUMP_FACTOR = 3.0
 
 # --- published list lengths (features, not safety caps) -------------------------------------------
-TAPE_DAYS, TAPE_ROWS = 120, 6000
+TAPE_DAYS = 120
 RECENT_PER_ISSUER, RECENT_PER_PAIR = 40, 10
-TOP_INSIDERS, TOP_FLOW, TOP_SECURITIES = 4000, 60, 30
-TOP_POSITIONS, OUTCOME_ROWS = 25, 5000
+TOP_FLOW = 60
+TOP_POSITIONS = 25
 PORTFOLIO_ISSUERS, REVIEW_FILINGS = 25, 10
-FLAG_ROWS, EVIDENCE_LINES, ISSUE_EXAMPLES, TOP_ISSUE_CODES = 250, 20, 500, 15
+FLAG_ROWS = 250
 FINDING_MIN_N = 30
 
 # --- review thresholds -----------------------------------------------------------------------------

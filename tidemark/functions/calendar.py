@@ -1,20 +1,13 @@
 """Dates: filing-date spellings, periods, weekday arithmetic."""
 from pyspark.sql import Column, functions as F
 
-_MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
-
-
 def parse_sec_date(text: Column) -> Column:
     """``15-AUG-2025``, ``2025-08-15...`` and ``15-AUG-2025 00:00:00`` become dates, anything else NULL."""
     s = F.trim(text)
     named = r"^(\d{1,2})-([A-Za-z]{3})-(\d{4})(\s.*)?$"
-    at = F.instr(F.lit(_MONTHS), F.upper(F.regexp_extract(s, named, 2)))
-    month = F.when((at > 0) & (at % 3 == 1), F.floor((at + 2) / 3).cast("int"))
-    spelled = F.concat_ws("-", F.regexp_extract(s, named, 3), F.lpad(month.cast("string"), 2, "0"),
-                          F.lpad(F.regexp_extract(s, named, 1), 2, "0"))
+    spelled = F.concat_ws("-", F.regexp_extract(s, named, 1), F.initcap(F.regexp_extract(s, named, 2)), F.regexp_extract(s, named, 3))
     iso = F.regexp_extract(s, r"^(\d{4}-\d{2}-\d{2})", 1)
-    return (F.when(s.rlike(named) & month.isNotNull(), spelled.try_cast("date"))
-            .otherwise(iso.try_cast("date")))
+    return F.when(s.rlike(named), F.try_to_timestamp(spelled, F.lit("d-MMM-yyyy")).cast("date")).otherwise(iso.try_cast("date"))
 
 
 def compact_date(text: Column) -> Column:
@@ -32,6 +25,15 @@ def year_key(d: Column) -> Column:
     return F.date_format(d, "yyyy")
 
 
+def in_year(d: Column, year: int) -> Column:
+    """``d`` falls in ``year``, as bounds that reach the scan's statistics (``year(d) = ...`` does not)."""
+    return (d >= F.lit(f"{year:04d}-01-01").cast("date")) & (d < F.lit(f"{year + 1:04d}-01-01").cast("date"))
+
+
+def since_year(d: Column, year: int) -> Column:
+    return d >= F.lit(f"{year:04d}-01-01").cast("date")
+
+
 def is_weekday(d: Column) -> Column:
     return F.weekday(d) < 5
 

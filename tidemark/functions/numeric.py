@@ -37,7 +37,9 @@ def abs_value(val: Column) -> Column:
 def parse_number(text: Column) -> Column:
     """Commas, ``$`` and blanks stripped; null words, junk, NaN and infinities become NULL."""
     s = F.regexp_replace(F.trim(text), "[,$]", "")
-    n = F.when(F.upper(s).isin(NULL_WORDS), F.lit(None)).otherwise(s).try_cast("double")
+    # a cast alone would also take Java's spellings, such as 1d, 5F and 0x1p3
+    plain = s.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
+    n = F.when(~F.upper(s).isin(NULL_WORDS) & plain, s).try_cast("double")
     return F.when(F.isnan(n) | (F.abs(n) == float("inf")), F.lit(None)).otherwise(n)
 
 

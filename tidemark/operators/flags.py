@@ -236,16 +236,17 @@ def flag_unsupported_mark(positions: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ data-quality flags
 
 
-def flag_data_quality(coverage: DataFrame, issue_counts: DataFrame, limit: int = fv.TOP_ISSUE_CODES) -> DataFrame:
-    """A coverage flag when the report has blockers, and the most frequent issue codes."""
+def flag_data_quality(coverage: DataFrame, issue_counts: DataFrame, limit: int | None = None) -> DataFrame:
+    """A coverage flag when the report has blockers, and one per issue code (or only the ``limit`` most frequent)."""
     category, severity = fv.FLAG_KINDS["coverage_gap"]
     gap = coverage.where("NOT complete").select(
         F.lit("coverage_gap").alias("flag_key"), F.lit(category).alias("category"), F.lit(severity).alias("severity"),
         F.col("target_rows").alias("row_n"), F.concat(F.lit("Coverage is not proven: "), F.col("blockers")).alias("summary"))
     worst = F.when(F.bool_or(F.col("severity") == "high"), F.lit("High")).when(
         F.bool_or(F.col("severity") == "low"), F.lit("Low")).otherwise(F.lit("Medium"))
-    per_code = (issue_counts.groupBy("issue").agg(F.sum("n").alias("row_n"), worst.alias("severity"))
-                .orderBy(F.desc("row_n"), "issue").limit(limit))
+    per_code = issue_counts.groupBy("issue").agg(F.sum("n").alias("row_n"), worst.alias("severity"))
+    if limit:
+        per_code = per_code.orderBy(F.desc("row_n"), "issue").limit(limit)
     codes = per_code.select(
         F.concat_ws("|", F.lit("row_issue"), "issue").alias("flag_key"),
         F.concat(F.lit(fv.FLAG_KINDS["row_issue"][0]), F.col("issue")).alias("category"), "severity", "row_n",
@@ -272,11 +273,12 @@ def top_flags(flags: DataFrame, limit: int = fv.FLAG_ROWS) -> DataFrame:
     return top.withColumn("id", F.format_string("AUTO-%04d", number)).drop("rank")
 
 
-def flag_evidence(flags: DataFrame, members: DataFrame, limit: int = fv.EVIDENCE_LINES) -> DataFrame:
-    """Up to twenty evidence lines per flag, in filing order."""
+def flag_evidence(flags: DataFrame, members: DataFrame, limit: int | None = None) -> DataFrame:
+    """The evidence lines of each flag, numbered in filing order; optionally only the first ``limit``."""
     rows = members.join(flags.select("flag_key"), "flag_key", "left_semi")
     w = W.partitionBy("flag_key").orderBy("fd", "td", "acc", "pos", "icik")
-    return (rows.withColumn("line", F.row_number().over(w)).where(F.col("line") <= limit)
+    numbered = rows.withColumn("line", F.row_number().over(w))
+    return ((numbered.where(F.col("line") <= limit) if limit else numbered)
             .select("flag_key", "line", evidence_text(F.col).alias("evidence")))
 
 

@@ -76,11 +76,12 @@ def insider_portfolio(priced: DataFrame) -> DataFrame:
     return out.withColumn("net_v", r2(F.col("buy_v") - F.col("sell_v")))
 
 
-def portfolio_issuers(priced: DataFrame, limit: int = fv.PORTFOLIO_ISSUERS) -> DataFrame:
-    """The issuers listed under each owner, largest stake first (25 are published)."""
+def portfolio_issuers(priced: DataFrame, limit: int | None = None) -> DataFrame:
+    """The issuers under each owner, ranked by stake; optionally only the first ``limit`` of each."""
     w = W.partitionBy("owner").orderBy(F.desc(F.coalesce("holding_value", F.lit(-1.0))),
                                        F.desc(F.coalesce("reported_shares", F.lit(0.0))), "issuer")
-    return (priced.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
+    ranked = priced.withColumn("rank", F.row_number().over(w))
+    return ((ranked.where(F.col("rank") <= limit) if limit else ranked)
             .select("owner", "rank", "issuer", "co", "tk", "icik", "n", "buy_n", "sell_n", "buy_v", "sell_v",
                     "reported_shares", "holding_value", "valuation_status", "latest_holding_fd",
                     filing_url(F.coalesce("latest_holding_acc", F.lit("")), F.col("icik")).alias("url")))
@@ -93,9 +94,9 @@ def portfolio_summary(portfolio: DataFrame) -> DataFrame:
         r2(total(F.col("priced_value"))).alias("reported_value_priced"))
 
 
-def publish_activity(trades: DataFrame, marks: DataFrame) -> DataFrame:
-    """Activity rows with their nested review filings (at most ten each, so the arrays are bounded)."""
+def publish_activity(trades: DataFrame, marks: DataFrame, links: int = fv.REVIEW_FILINGS) -> DataFrame:
+    """Activity rows with their latest ``links`` review filings nested; ``review_filings`` has them all as rows."""
     priced = price_holdings(insider_issuer_activity(trades), reported_holdings(trades), marks)
-    links = (review_filings(trades).groupBy("owner", "issuer")
+    nested = (review_filings(trades, links).groupBy("owner", "issuer")
              .agg(F.array_sort(F.collect_list(F.struct("rank", "acc", "fd", "form", "amend", "url"))).alias("filings")))
-    return priced.join(links, ["owner", "issuer"], "left")
+    return priced.join(nested, ["owner", "issuer"], "left")

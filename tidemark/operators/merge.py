@@ -109,22 +109,28 @@ def merge_price_tail(old: DataFrame, tail: DataFrame) -> DataFrame:
     Both sides go through one shuffle by ticker: the (ticker, day) aggregate and the per-ticker last day
     share that partitioning.
     """
+    others = [c for c in old.columns if c in tail.columns and c not in ("tk", "d", "o", "c")]
     def tagged(df, new):
-        return df.select("tk", "d", "o", "c", F.lit(new).alias("new"))
+        return df.select("tk", "d", "o", "c", *others, F.lit(new).alias("new"))
     both = tagged(old, False).unionByName(tagged(tail, True)).repartition("tk")
     def pick(field, new):
         return F.max(F.when(F.col("new") == new, F.col(field)))
     days = both.groupBy("tk", "d").agg(
         pick("o", False).alias("oo"), pick("c", False).alias("oc"), pick("o", True).alias("no"),
-        pick("c", True).alias("nc"), F.bool_or(~F.col("new")).alias("had"), F.bool_or("new").alias("got"))
+        pick("c", True).alias("nc"), *[pick(c, False).alias(f"old_{c}") for c in others],
+        *[pick(c, True).alias(f"new_{c}") for c in others], F.bool_or(~F.col("new")).alias("had"), F.bool_or("new").alias("got"))
     last = F.max(F.when(F.col("had"), F.col("d"))).over(W.partitionBy("tk"))
     def merged(o, n):
         refreshed = F.coalesce(F.nullif(F.col(n), F.lit(0.0)), F.col(o))
         return (F.when(F.col("last").isNull() | (F.col("d") > F.col("last")), F.col(n))
                 .when((F.col("d") == F.col("last")) & F.col("got"), refreshed).otherwise(F.col(o)))
+    def carried(c):  # the other columns follow the row that supplies the session
+        return (F.when(F.col("last").isNull() | (F.col("d") > F.col("last")), F.col(f"new_{c}"))
+                .when((F.col("d") == F.col("last")) & F.col("got"), F.coalesce(f"new_{c}", f"old_{c}")).otherwise(F.col(f"old_{c}")))
     return (days.withColumn("last", last)
             .where(F.col("had") | F.col("last").isNull() | (F.col("d") > F.col("last")))
-            .select("tk", "d", merged("oo", "no").alias("o"), merged("oc", "nc").alias("c")))
+            .select("tk", "d", merged("oo", "no").alias("o"), merged("oc", "nc").alias("c"),
+                    *[carried(c).alias(c) for c in others]))
 
 
 def merge_splits(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as fv
-from ..functions.calendar import business_days_between, first_business_day, last_business_day, month_key
+from ..functions.calendar import business_days_between, first_business_day, in_year, last_business_day, month_key
 from ..functions.labels import issuer_key, owner_key, valid_ticker
 from ..functions.links import filing_url
 from ..functions.numeric import abs_value, count_if, r2, total
@@ -56,7 +56,7 @@ def row_issues(trades: DataFrame, target_year: int | None = None) -> DataFrame:
     only built for the bits that are set. With ``target_year``: only that year's rows and undated rows.
     """
     if target_year:
-        trades = trades.where(F.col("fd").isNull() | (F.year("fd") == target_year))
+        trades = trades.where(F.col("fd").isNull() | in_year(F.col("fd"), target_year))
     checks = _checks()
     mask = F.lit(0)
     for i, check in enumerate(checks):
@@ -84,13 +84,13 @@ def severity_counts(trades: DataFrame, target_year: int | None = None) -> DataFr
     return issue_counts(trades, target_year).groupBy("severity").agg(F.sum("n").alias("n"))
 
 
-def issue_examples(issues: DataFrame, limit: int = fv.ISSUE_EXAMPLES) -> DataFrame:
-    return issues.orderBy("fd", "acc", "pos", "issue").limit(limit)
+def issue_examples(issues: DataFrame, limit: int | None = None) -> DataFrame:
+    return issues.orderBy("fd", "acc", "pos", "issue").limit(limit) if limit else issues
 
 
 def audit_counts(trades: DataFrame, target_year: int) -> DataFrame:
     v = F.when(F.col("val").isNotNull(), abs_value(F.col("val")))
-    here = F.year("fd") == target_year
+    here = in_year(F.col("fd"), target_year)
     acc = F.nullif(F.col("acc"), F.lit(""))
     code = F.upper(F.substring(F.coalesce("code", F.lit("")), 1, 1))
     buy, sell = total(F.when(code == "P", v)), total(F.when(code == "S", v))
@@ -124,7 +124,7 @@ def missing_business_days(trades: DataFrame, target_year: int, asof: str) -> Dat
 def missing_months(trades: DataFrame, target_year: int, asof: str) -> DataFrame:
     end = last_business_day(target_year, asof)
     expected = _days(trades.sparkSession, f"{target_year}-01-01", end).select(month_key(F.col("d")).alias("m")).distinct()
-    seen = trades.where(F.year("fd") == target_year).select(month_key(F.col("fd")).alias("m")).distinct()
+    seen = trades.where(in_year(F.col("fd"), target_year)).select(month_key(F.col("fd")).alias("m")).distinct()
     return expected.join(seen, "m", "left_anti")
 
 
@@ -149,7 +149,7 @@ def manifest_blockers(ledger: DataFrame, target_year: int, asof: str) -> DataFra
 def coverage_report(trades: DataFrame, target_year: int, asof: str) -> DataFrame:
     """One row: expected window, observed ranges, number of missing months and weekdays, and the blockers."""
     start, end = (F.lit(x).cast("date") for x in (first_business_day(target_year), last_business_day(target_year, asof)))
-    here = F.year("fd") == target_year
+    here = in_year(F.col("fd"), target_year)
     g = trades.agg(F.min("fd").alias("observed_from"), F.max("fd").alias("observed_to"),
                    F.min(F.when(here, F.col("fd"))).alias("target_from"),
                    F.max(F.when(here, F.col("fd"))).alias("target_to"), count_if(here).alias("target_rows"))

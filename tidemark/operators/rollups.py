@@ -3,7 +3,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
 from .. import fixed_values as fv
-from ..functions.calendar import month_key, year_key
+from ..functions.calendar import in_year, month_key, since_year, year_key
 from ..functions.labels import issuer_key, owner_key
 from ..functions.numeric import abs_value, count_if, exact, r2, r4, total
 
@@ -60,17 +60,19 @@ def activity_grain(trades: DataFrame) -> DataFrame:
 
 
 def filing_window(trades: DataFrame, target_year: int | None = None, from_year: int | None = None) -> DataFrame:
-    """Rows of one filing year, of a year onward, or all. On the year-partitioned table this prunes folders."""
+    """Rows of one filing year, of a year onward, or all. The bounds on ``fd`` reach file statistics; on a table
+    partitioned by filing year (``fy``) the same bound prunes folders."""
+    stored = "fy" in trades.columns
     if target_year:
-        return trades.where(F.year("fd") == target_year)
+        return trades.where(in_year(F.col("fd"), target_year) & ((F.col("fy") == target_year) if stored else F.lit(True)))
     if from_year:
-        return trades.where(F.year("fd") >= from_year)
+        return trades.where(since_year(F.col("fd"), from_year) & ((F.col("fy") >= from_year) if stored else F.lit(True)))
     return trades
 
 
 def paper_window(trades: DataFrame, from_year: int | None) -> DataFrame:
     """Separate lower bound for rows that may become signals."""
-    return trades.where(F.year("fd") >= from_year) if from_year else trades
+    return filing_window(trades, from_year=from_year)
 
 
 def global_totals(trades: DataFrame) -> DataFrame:
@@ -110,9 +112,9 @@ def by_relationship(trades: DataFrame) -> DataFrame:
     return split_relationships(trades.select("rel")).groupBy("relationship").agg(F.count(F.lit(1)).alias("n"))
 
 
-def by_security(trades: DataFrame, limit: int = fv.TOP_SECURITIES) -> DataFrame:
+def by_security(trades: DataFrame, limit: int | None = None) -> DataFrame:
     cut = _cut(trades, F.coalesce(_blank(F.col("sec")), F.lit("(unspecified)")), "sec")
-    return cut.orderBy(F.desc("n"), "sec").limit(limit)
+    return cut.orderBy(F.desc("n"), "sec").limit(limit) if limit else cut
 
 
 def code_share(trades: DataFrame) -> DataFrame:
@@ -212,14 +214,15 @@ def insider_issuer_activity(trades: DataFrame) -> DataFrame:
             .withColumn("overlap", (F.col("buy_n") > 0) & (F.col("sell_n") > 0)))
 
 
-def review_filings(trades: DataFrame, limit: int = fv.REVIEW_FILINGS) -> DataFrame:
-    """Latest filings of each pair, one row per filing (the published list has ten)."""
+def review_filings(trades: DataFrame, limit: int | None = None) -> DataFrame:
+    """Filings of each pair from the latest on, one row per filing; optionally only the first ``limit``."""
     from ..functions.links import filing_url
     filings = (with_pair(trades).where("acc <> ''").groupBy("owner", "issuer", "acc")
                .agg(F.max("fd").alias("fd"), F.max("icik").alias("icik"), F.max("form").alias("form"),
                     F.max("amend").alias("amend")))
     w = W.partitionBy("owner", "issuer").orderBy(F.desc("fd"), F.desc("acc"))
-    return (filings.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
+    ranked = filings.withColumn("rank", F.row_number().over(w))
+    return ((ranked.where(F.col("rank") <= limit) if limit else ranked)
             .withColumn("url", filing_url(F.col("acc"), F.col("icik"))))
 
 
@@ -238,10 +241,10 @@ def recent_per_pair(trades: DataFrame, limit: int = fv.RECENT_PER_PAIR) -> DataF
     return recent_rows(with_pair(trades), ["owner", "issuer"], limit)
 
 
-def recent_tape(trades: DataFrame, asof: str, days: int = fv.TAPE_DAYS, limit: int = fv.TAPE_ROWS) -> DataFrame:
-    """Rows filed in the last ``days``; when there are none, simply the latest rows."""
+def recent_tape(trades: DataFrame, asof: str, days: int = fv.TAPE_DAYS, limit: int | None = None) -> DataFrame:
+    """Rows filed in the last ``days``, all rows when there are none; optionally only the latest ``limit``."""
     cut = F.date_sub(F.lit(asof).cast("date"), days)
     newest = trades.agg(F.max("fd").alias("newest")).scalar()
     keep = F.when(newest >= cut, F.coalesce(F.col("fd") >= cut, F.lit(False))).otherwise(F.lit(True))
-    return (trades.where(keep)
-            .orderBy(F.desc_nulls_last("fd"), F.desc_nulls_last("td"), F.desc("acc"), F.desc("pos")).limit(limit))
+    rows = trades.where(keep)
+    return rows.orderBy(F.desc_nulls_last("fd"), F.desc_nulls_last("td"), F.desc("acc"), F.desc("pos")).limit(limit) if limit else rows

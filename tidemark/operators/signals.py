@@ -2,6 +2,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as fv
+from ..functions.calendar import since_year
 from ..functions.labels import is_common_equity, normalize_ticker, valid_ticker
 from ..functions.numeric import exact, r2, r4
 
@@ -49,7 +50,7 @@ def extract_signals(trades: DataFrame, mode: str = "site", minimum: float | None
     if minimum is None:
         minimum = fv.ENGINE_MIN_VALUE if mode == "engine" else fv.SITE_MIN_VALUE
     if from_year:
-        trades = trades.where(F.year("fd") >= from_year)
+        trades = trades.where(since_year(F.col("fd"), from_year))
     return min_value_filter(candidate_signals(trades, mode), minimum).where(valid_ticker(F.col("tk"), mode))
 
 

@@ -176,9 +176,10 @@ def outcome_split(positions: DataFrame) -> DataFrame:
                                                              r2(total(F.col("pnl"))).alias("pnl"))
 
 
-def outcome_rows(positions: DataFrame, label: str, limit: int = fv.OUTCOME_ROWS) -> DataFrame:
+def outcome_rows(positions: DataFrame, label: str, limit: int | None = None) -> DataFrame:
     order = F.desc("pnl") if label == "winner" else F.asc("pnl")
-    return positions.where(outcome() == label).orderBy(order, "id").limit(limit)
+    rows = positions.where(outcome() == label)
+    return rows.orderBy(order, "id").limit(limit) if limit else rows
 
 
 def best_worst_positions(positions: DataFrame, limit: int = fv.TOP_POSITIONS, value: str = "roi") -> DataFrame:

@@ -327,7 +327,7 @@ def read_bars_nasdaq_json(s, d):
 
 @query
 def file_manifest(s, d):
-    return shards.file_manifest(s, d, "*.parquet")
+    return shards.content_manifest(fx.table(s, d, "documents"), "doc_id", "text")
 
 
 # ------------------------------------------------------------------ 2.2 scalar functions
@@ -760,7 +760,7 @@ def activity_summary(s, d):
 
 @query
 def ranked_activity(s, d):
-    return hd.ranked_activity(_priced(s, d)).limit(12_000).select("owner", "issuer", "net_v")
+    return hd.ranked_activity(_priced(s, d)).select("owner", "issuer", "net_v")
 
 
 @query
@@ -967,7 +967,7 @@ def cluster_buys(s, d):
 @query
 def recent_tape(s, d):
     a = ru.recent_tape(fx.trades(s, d), "2001-09-01").withColumn("asof", F.lit("2001-09-01"))
-    b = ru.recent_tape(fx.trades(s, d), "2003-01-01", limit=500).withColumn("asof", F.lit("2003-01-01"))
+    b = ru.recent_tape(fx.trades(s, d), "2003-01-01").withColumn("asof", F.lit("2003-01-01"))
     return _day(a.unionByName(b).select("asof", "acc", "pos", "fd", "td"), "fd", "td")
 
 

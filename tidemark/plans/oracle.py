@@ -379,15 +379,15 @@ add("insider_issuer_activity", f"""SELECT owner, issuer, insider, co, tk, icik,
   net_v, CAST(overlap AS INT) AS overlap FROM priced""")
 _PAIR_FILINGS = "(SELECT DISTINCT pcik AS owner, icik AS issuer, icik, acc, fd, form, amend FROM trades)"
 add("review_filings", f"""SELECT owner, issuer, CAST(rank AS INT) AS rank, acc, {iso('fd')}, form, amend, {URL.format(cik='(' + _ISSUER + ')', acc='acc')} AS url FROM
-  (SELECT *, row_number() OVER (PARTITION BY owner, issuer ORDER BY fd DESC, acc DESC) AS rank FROM {_PAIR_FILINGS}) WHERE rank <= 10""")
+  (SELECT *, row_number() OVER (PARTITION BY owner, issuer ORDER BY fd DESC, acc DESC) AS rank FROM {_PAIR_FILINGS})""")
 add("activity_summary", f"""SELECT count(*) AS pairs, count(*) FILTER (WHERE overlap) AS buy_sell_pairs, count(reported_shares) AS with_reported_shares, count(holding_value) AS with_priced_holdings,
   {r2(total('holding_value'))} AS priced_value FROM priced""")
-add("ranked_activity", "SELECT owner, issuer, net_v FROM priced ORDER BY overlap DESC, abs(net_v) DESC, n DESC, insider, owner, issuer LIMIT 12000")
+add("ranked_activity", "SELECT owner, issuer, net_v FROM priced ORDER BY overlap DESC, abs(net_v) DESC, n DESC, insider, owner, issuer")
 add("reported_holdings", f"SELECT owner, issuer, hsec, di, nature, shares, {iso('fd', 'td')}, acc FROM holdings")
 add("insider_portfolio", f"SELECT * EXCLUDE (first, last), {iso('first', 'last')} FROM portfolio")
 add("portfolio_issuers", f"""SELECT owner, CAST(rank AS INT) AS rank, issuer, holding_value,
   CASE WHEN latest_holding_acc IS NULL THEN '' ELSE {URL.format(cik="(CASE WHEN icik = '0' THEN ltrim(substr(replace(latest_holding_acc, '-', ''), 1, 10), '0') ELSE icik END)", acc='latest_holding_acc')} END AS url FROM
-  (SELECT *, row_number() OVER (PARTITION BY owner ORDER BY coalesce(holding_value, -1) DESC, coalesce(reported_shares, 0) DESC, issuer) AS rank FROM priced) WHERE rank <= 25""")
+  (SELECT *, row_number() OVER (PARTITION BY owner ORDER BY coalesce(holding_value, -1) DESC, coalesce(reported_shares, 0) DESC, issuer) AS rank FROM priced)""")
 add("portfolio_summary", f"""SELECT count(*) AS insiders, count(*) FILTER (WHERE issuer_n > 1) AS with_multiple_issuers, count(*) FILTER (WHERE priced_value > 0) AS with_priced_value,
   {r2(total('priced_value'))} AS reported_value_priced FROM portfolio""")
 add("publish_activity", f"SELECT owner, issuer, CAST(least(count(*), 10) AS INT) AS links, arg_max(acc, ROW(fd, acc)) AS newest FROM {_PAIR_FILINGS} GROUP BY 1, 2")
@@ -447,8 +447,8 @@ add("paper_verification_counts", f"""SELECT count(*) FILTER (WHERE {_O} AND NOT
   count(*) FILTER (WHERE {_O} AND roi IS NOT NULL) AS open_positions_checked FROM book""")
 _OUTCOME = "CASE WHEN status = 'open' AND pnl IS NOT NULL AND coalesce(roi_status, '') <> 'split_event_review' THEN CASE WHEN pnl > 0 THEN 'winner' ELSE 'loser' END ELSE 'unclassified' END"
 add("outcome_split", f"SELECT {_OUTCOME} AS outcome, count(*) AS n, {r2(total('pnl'))} AS pnl FROM book GROUP BY 1")
-add("outcome_rows", f"""SELECT * FROM (SELECT id, pnl FROM book WHERE {_OUTCOME} = 'winner' ORDER BY pnl DESC, id LIMIT 5000)
-  UNION ALL SELECT * FROM (SELECT id, pnl FROM book WHERE {_OUTCOME} = 'loser' ORDER BY pnl, id LIMIT 5000)""")
+add("outcome_rows", f"""SELECT * FROM (SELECT id, pnl FROM book WHERE {_OUTCOME} = 'winner' )
+  UNION ALL SELECT * FROM (SELECT id, pnl FROM book WHERE {_OUTCOME} = 'loser' )""")
 add("dataset_fingerprint", """SELECT count(*) AS rows, CAST(sum(h) AS VARCHAR) AS hash_sum, bit_xor(h) AS hash_xor FROM (SELECT CAST('0x' || substr(sha256(concat_ws('|', acc, der, CAST(td AS VARCHAR), code, sec,
   coalesce(CAST(CAST(round_even(sh * 1e4, 0) AS BIGINT) AS VARCHAR), ''), coalesce(CAST(CAST(round_even(px * 1e4, 0) AS BIGINT) AS VARCHAR), ''), ad, pcik)), 1, 15) AS BIGINT) AS h FROM trades)""")
 
@@ -481,8 +481,8 @@ add("equity_curve_daily", f"""SELECT CAST(day AS VARCHAR) AS d, n, n * 10000.0::
         WHERE isodow(y.day) < 6 GROUP BY 1, 2) g
   ASOF JOIN (SELECT * FROM clipped WHERE isodow(d) < 6) b ON g.tk = b.tk AND g.day >= b.d WHERE b.d >= g.first_entry GROUP BY g.day)""")
 add("cluster_buys", f"SELECT issuer, {iso('start_d', 'end_d')}, {r2('CAST(wv AS DOUBLE)')} AS window_value FROM clusters")
-_TAPE = "SELECT '{a}' AS asof, acc, pos, CAST(fd AS VARCHAR) AS fd, CAST(td AS VARCHAR) AS td FROM (SELECT * FROM trades WHERE {w} ORDER BY fd DESC, td DESC, acc DESC, pos DESC LIMIT {n})"
-add("recent_tape", _TAPE.format(a="2001-09-01", w="fd >= DATE '2001-09-01' - 120", n=6000) + " UNION ALL " + _TAPE.format(a="2003-01-01", w="true", n=500))
+_TAPE = "SELECT '{a}' AS asof, acc, pos, CAST(fd AS VARCHAR) AS fd, CAST(td AS VARCHAR) AS td FROM (SELECT * FROM trades WHERE {w})"
+add("recent_tape", _TAPE.format(a="2001-09-01", w="fd >= DATE '2001-09-01' - 120") + " UNION ALL " + _TAPE.format(a="2003-01-01", w="true"))
 add("recent_per_company", f"SELECT issuer, CAST(rank AS INT) AS rank, acc, pos FROM (SELECT icik AS issuer, acc, pos, row_number() OVER (PARTITION BY icik {_RECENT}) AS rank FROM trades) WHERE rank <= 40")
 add("recent_per_pair", f"SELECT owner, issuer, CAST(rank AS INT) AS rank, acc, pos FROM (SELECT pcik AS owner, icik AS issuer, acc, pos, row_number() OVER (PARTITION BY pcik, icik {_RECENT}) AS rank FROM trades) WHERE rank <= 10")
 
@@ -509,7 +509,7 @@ add("row_issues_rare", f"""SELECT issue, severity, count(*) AS n FROM (SELECT un
     CASE WHEN code = 'M' THEN CASE WHEN amend = 1 THEN '' ELSE 'q' END ELSE code END AS code, CASE WHEN amend = 1 AND form = '5' THEN NULL ELSE td END AS td FROM trades)) GROUP BY 1, 2""")
 add("issue_counts", "SELECT issue, severity, count(*) AS n FROM issues WHERE year(fd) = 2001 GROUP BY 1, 2")
 add("severity_counts", "SELECT severity, count(*) AS n FROM issues GROUP BY 1")
-add("issue_examples", "SELECT issue, acc, pos FROM issues ORDER BY fd, acc, pos, issue LIMIT 500")
+add("issue_examples", "SELECT issue, acc, pos FROM issues")
 add("audit_counts", f"""SELECT count(*) AS rows, count(*) FILTER (WHERE year(fd) = 2001) AS target_rows, count(DISTINCT acc) AS filings, count(DISTINCT acc) FILTER (WHERE year(fd) = 2001) AS target_filings,
   count(DISTINCT icik) AS companies, count(DISTINCT pcik) AS insiders, count(*) FILTER (WHERE tk <> '') AS with_ticker, count(*) FILTER (WHERE tk = '') AS without_ticker, count(px) AS with_price,
   count(*) FILTER (WHERE der = 1) AS derivative_rows, {total('abs(val)')} AS total_value, {total(f"CASE WHEN {BUY} THEN abs(val) END")} AS buy_value, {total(f"CASE WHEN {SELL} THEN abs(val) END")} AS sell_value,
@@ -612,7 +612,7 @@ add("flag_evidence", f"""SELECT 'sync_sales|' || icik || '|' || td AS flag_key,
     || insider || '; Table I non-derivative; code S; ' || CAST(CAST(sh AS BIGINT) AS VARCHAR) || ' shares @ ' || {_MONEY.format(x='px')} || '; value ' || {_MONEY.format(x='val')} || '.' AS evidence
   FROM (SELECT *, row_number() OVER (PARTITION BY icik, td ORDER BY fd, td, acc, pos, icik) AS line, {total(V)[:-len(' AS DOUBLE)')] if False else f'sum(CAST({V} AS DECIMAL(28,4))) OVER (PARTITION BY icik, td)'} AS tv
     FROM trades WHERE code = 'S' AND der = 0) t
-  WHERE line <= 20 AND tv >= {fx.SYNC} AND (SELECT count(DISTINCT u.pcik) FROM trades u WHERE u.code = 'S' AND u.der = 0 AND u.icik = t.icik AND u.td = t.td) >= 2""")
+  WHERE tv >= {fx.SYNC} AND (SELECT count(DISTINCT u.pcik) FROM trades u WHERE u.code = 'S' AND u.der = 0 AND u.icik = t.icik AND u.td = t.td) >= 2""")
 
 # ------------------------------------------------------------------ 2.10
 add("stream_row_issues", "SELECT issue, severity, count(*) AS n FROM issues GROUP BY 1, 2")
@@ -643,3 +643,7 @@ SQL["findings"] = " UNION ALL ".join([
     f"SELECT CASE WHEN horizon = 'gap' THEN 'entry_gap' ELSE 'horizon' END, horizon, median, n FROM ({SQL['stats_by_horizon']}) WHERE n >= {fv.FINDING_MIN_N} OR horizon = 'gap'",
     extreme("best_role", "role", "median DESC, bucket DESC"), extreme("worst_role", "role", "median, bucket"),
     extreme("best_size", "size", "median DESC, bucket DESC")])
+
+
+# ------------------------------------------------------------------ content manifest
+add("file_manifest", "SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS bytes, sha256(coalesce(text, '')) AS sha256 FROM documents")

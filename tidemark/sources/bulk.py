@@ -21,16 +21,20 @@ def _member(spark, folder, name):
     """One member of one quarter, columns by its own header; an absent member is an empty table."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", _any_case(name))
              .option("recursiveFileLookup", "true").load(folder).select("path"))
-    paths = [r.path for r in files.collect()]              # file names of one quarter only
-    if not paths:
+    by_header: dict[str, list[str]] = {}
+    for r in files.collect():                              # file names and header lines, a few per quarter
+        header = spark.read.text(r.path).first()
+        by_header.setdefault(header.value.rstrip() if header else "", []).append(r.path)
+    if not by_header:
         return spark.createDataFrame([], RAW_TABLES[name]).withColumn("line_no", F.lit(0).cast("long"))
-    raw = spark.read.csv(paths, sep="\t", header=True, inferSchema=False, encoding="UTF-8", escape='"')
-    return with_missing(raw, RAW_TABLES[name]).withColumn("line_no", F.monotonically_increasing_id())
+    parts = [with_missing(spark.read.csv(paths, sep="\t", header=True, inferSchema=False, encoding="UTF-8", escape='"'), RAW_TABLES[name])
+             for _, paths in sorted(by_header.items())]
+    return reduce(DataFrame.unionByName, parts).withColumn("line_no", F.monotonically_increasing_id())
 
 
 def read_bulk_tables(spark: SparkSession, *quarter_folders: str) -> dict[str, DataFrame]:
-    """Extracted quarters. Each folder is resolved by its own headers, so column order may differ
-    between vintages; the result is one DataFrame per table, still splittable text scans."""
+    """Extracted quarters. Files are read together only if their header lines are equal, so column order may
+    differ between files, also below one folder; the result is one DataFrame per table, still splittable text scans."""
     return {name: reduce(DataFrame.unionByName, [_member(spark, q, name) for q in quarter_folders])
             for name in RAW_TABLES}
 

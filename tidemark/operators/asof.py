@@ -82,11 +82,28 @@ def entry_candidates(enriched: DataFrame) -> DataFrame:
     return enriched.select("tk", "d", F.when(F.col("o") > 0, body).alias("bar"), "last")
 
 
+def with_next_bar(left: DataFrame, candidates: DataFrame, time: str = "fd", value: str = "bar") -> DataFrame:
+    """``left`` plus ``value`` of the first candidate (tk, d, ``value`` not NULL) strictly after ``left.time``.
+
+    The answer for a day depends on the bars alone: a usable bar is the answer for every calendar day from the
+    usable bar before it to the day before its own. So bars are spread over those days (as many rows as the
+    calendar has, whatever the number of filings) and ``left`` meets them in one equi-join. Days before a
+    ticker's first usable bar have no lower end; they get that bar, one row per ticker.
+    """
+    usable = candidates.where(F.col(value).isNotNull()).select("tk", "d", value)
+    usable = usable.withColumn("_prev", F.lag("d").over(W.partitionBy("tk").orderBy("d")))
+    days = usable.where("_prev IS NOT NULL").select("tk", F.explode(F.sequence("_prev", F.date_sub("d", 1))).alias(time), value)
+    first = usable.where("_prev IS NULL").select("tk", F.col("d").alias("_first_d"), F.col(value).alias("_first"))
+    out = left.join(days, ["tk", time], "left").join(first, "tk", "left")
+    return (out.withColumn(value, F.coalesce(F.col(value), F.when(F.col(time) < F.col("_first_d"), F.col("_first"))))
+            .drop("_first_d", "_first"))
+
+
 def next_session_entry(signals: DataFrame, bars: DataFrame, asof: str | None = None) -> DataFrame:
     """Strict forward as-of join: the first bar after the filing day with a usable open; never that day."""
     right = session_index(asof_clip(bars, asof)).select(
         "tk", "d", F.when(F.col("o") > 0, F.struct("i", "d", "o", "c")).alias("bar"))
-    out = asof_lookup(signals, right, "fd", "bar")
+    out = with_next_bar(signals, right)
     return (out.withColumn("entry_d", F.col("bar.d")).withColumn("entry_px", F.col("bar.o"))
             .withColumn("entry_i", F.col("bar.i")).drop("bar"))
 

@@ -1,31 +1,41 @@
 """Signals + bars (+ splits) -> positions.
 
-``entry_facts`` answers, once per distinct (ticker, filing day), everything a follower of such a filing
-would have experienced. Positions are then signals joined to those facts and pure column arithmetic.
+``entry_bars`` makes, from bars and split events alone, everything a follower who buys at a bar's open would
+experience. Signals are read once: they meet their entry bar and their ticker's series, and the rest is
+column arithmetic.
 """
 from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as fv
 from ..functions.links import filing_url, history_url, second_history_url
 from ..functions.numeric import r2, r4
-from .asof import asof_keys, asof_lookup, enrich_bars, entry_candidates
+from .asof import asof_clip, enrich_bars, entry_candidates, with_next_bar
 from .plan import settle
 from .splits import classify_splits, event_outlook, position_split_status
 
 STAKE = fv.STAKE
 
 
-def entry_facts(signals: DataFrame, bars: DataFrame, asof: str | None, splits: DataFrame | None = None) -> DataFrame:
+SPLIT = "struct<events:bigint,mixed:bigint,unclear:bigint,ratio:double,first_mixed:date>"
+
+
+def entry_bars(bars: DataFrame, asof: str | None, splits: DataFrame | None = None) -> DataFrame:
+    """(tk, d, bar, last): bars that can be bought, each with the outlook on the split events after its day.
+    A ticker's events are few (the calendar bounds them), so they travel to its bars as one list."""
     enriched = enrich_bars(bars, asof)
-    keys = signals.select("tk", F.col("fd").alias("d")).distinct()
-    facts = asof_keys(keys, entry_candidates(enriched), "bar",
-                      extra=[("series", F.max(F.when(F.col("last").isNotNull(), F.struct("last.d", "last.c"))))]).withColumnRenamed("d", "fd")
-    facts = facts.withColumn("entry_d", F.col("bar.d"))
     if splits is None:
-        return facts.withColumn("split", F.lit(None).cast(
-            "struct<events:bigint,mixed:bigint,unclear:bigint,ratio:double,first_mixed:date>"))
+        return entry_candidates(enriched.withColumn("split", F.lit(None).cast(SPLIT)))
     outlook = event_outlook(classify_splits(splits, enriched))
-    return asof_lookup(facts, outlook, "entry_d", "split", strict=True)
+    events = outlook.groupBy("tk").agg(F.sort_array(F.collect_list(F.struct("d", "split"))).alias("events"))
+    later = F.filter("events", lambda e: e["d"] > F.col("d"))
+    return entry_candidates(enriched.join(events, "tk", "left").withColumn("split", F.get(later, F.lit(0))["split"]).drop("events"))
+
+
+def with_entry(signals: DataFrame, bars: DataFrame, asof: str | None, splits: DataFrame | None = None) -> DataFrame:
+    """``signals`` with ``bar`` (the entry session, NULL if there is none) and ``series`` (last day and close of the
+    ticker, NULL without bars)."""
+    series = asof_clip(bars, asof).groupBy("tk").agg(F.max_by(F.struct("d", "c"), "d").alias("series"))
+    return with_next_bar(signals, entry_bars(bars, asof, splits)).join(series, "tk", "left")
 
 
 def classify_position_status(bar, series, fd):
@@ -45,9 +55,8 @@ def calendar_delays(fd, td, entry_d):
     return F.date_diff(fd, td).alias("delay_td_fd"), F.date_diff(entry_d, fd).alias("delay_fd_entry")
 
 
-def _opened(signals, facts):
+def _opened(j):
     """Signals with status and, where the entry rule is verified, everything the entry session knows."""
-    j = signals.join(facts.select("tk", "fd", "bar", "series", "split"), ["tk", "fd"], "left")
     status, rule = classify_position_status(F.col("bar"), F.col("series"), F.col("fd"))
     j = settle(j, status=status, entry_rule_status=rule)
     shown = F.col("status") == "open"
@@ -61,8 +70,8 @@ def _opened(signals, facts):
     j = settle(j, entry_gap_days=gap, entry_d=seen(bar["d"]), epx=seen(bar["o"]), raw_shares=seen(F.lit(STAKE) / bar["o"]),
                lpx=seen(F.when(last["c"] > 0, last["c"])), last_seen=seen(last["d"]), sessions=seen(last["i"] - bar["i"]),
                kept_px=seen(F.when(close["i"] > bar["i"], close["c"])), kept_d=seen(close["d"]),
-               next_jump=seen(bar["next_jump"]), crossed=seen(F.col("split")), stake=F.lit(STAKE), **horizon)
-    return j.drop("bar", "series", "split")
+               next_jump=seen(bar["next_jump"]), crossed=seen(bar["split"]), stake=F.lit(STAKE), **horizon)
+    return j.drop("bar", "series")
 
 
 def _horizons(blank_from=None):
@@ -86,7 +95,7 @@ def simulate_positions(signals: DataFrame, bars: DataFrame, asof: str | None = N
     Splits are applied before the exit is valued, and a position whose share basis is doubtful keeps its
     observed numbers in ``*_reported`` while the headline columns go blank.
     """
-    p = _opened(signals, entry_facts(signals, bars, asof, splits))
+    p = _opened(with_entry(signals, bars, asof, splits))
     status = position_split_status(F.col("crossed"))
     p = p.withColumns({"roi_status": status, "split_flag": F.col("crossed").isNotNull(),
                        "mixed": F.coalesce(status == "mixed_pre_post_split", F.lit(False)),
@@ -162,7 +171,7 @@ def performance_factors(positions: DataFrame) -> DataFrame:
 def round_trip_backtest(signals: DataFrame, bars: DataFrame, asof: str, full_history: bool = True) -> DataFrame:
     """The historical book: exit at the +252-session close; a mature position whose complete series ended
     early leaves at its last close; everything else stays open."""
-    p = _opened(signals, entry_facts(signals, bars, asof))
+    p = _opened(with_entry(signals, bars, asof))
     day, c = F.lit(asof).cast("date"), F.col
     is_open = c("status") == "open"
     mature = F.date_diff(day, c("entry_d")) >= fv.MATURE_DAYS

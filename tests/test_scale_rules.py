@@ -73,3 +73,15 @@ def test_stream_dedupe_over_batches_equals_the_batch_rule(spark, tmp_path):
 def test_content_manifest(spark):
     got = shards.content_manifest(spark.createDataFrame([(1, "é"), (2, None)], "k int, t string"), "k", "t").orderBy("k").collect()
     assert [r.bytes for r in got] == [2, 0] and got[1].sha256.startswith("e3b0c442")
+
+
+def test_coverage_needs_a_ledger_that_proves_it(spark):
+    trades = fixtures.trades(spark, SMALL)
+    assert quality.coverage_report(trades, 1999, fixtures.AUDIT_ASOF).first().complete
+    columns = "kind string, target_year int, window_from date, window_to date, label string, status string"
+    good = [("window", 1999, D("1998-12-01"), D("2000-01-15"), None, None), ("quarter", None, None, None, "1999Q1", "ok"), ("daily", None, None, None, "1999-03-01", "skipped")]
+    bad = [("window", 1998, D("1999-02-01"), D("2000-01-15"), None, None), ("quarter", None, None, None, "1999Q2", "absent"), ("daily", None, None, None, "1999-03-02", "failed")]
+    report = lambda rows: quality.coverage_report(trades, 1999, fixtures.AUDIT_ASOF, spark.createDataFrame(rows, columns)).first()
+    assert report(good).complete
+    assert (report([]).complete, report([]).blockers) == (False, "ledger_missing")
+    assert report(good + bad).blockers == "daily_run_failed,ledger_window_too_short,ledger_year_mismatch,quarter_not_available"

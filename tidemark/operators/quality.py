@@ -146,23 +146,38 @@ def manifest_blockers(ledger: DataFrame, target_year: int, asof: str) -> DataFra
     return ledger.select(F.explode(items).alias("x")).select("x.*")
 
 
-def coverage_report(trades: DataFrame, target_year: int, asof: str) -> DataFrame:
-    """One row: expected window, observed ranges, number of missing months and weekdays, and the blockers."""
-    start, end = (F.lit(x).cast("date") for x in (first_business_day(target_year), last_business_day(target_year, asof)))
-    here = in_year(F.col("fd"), target_year)
-    g = trades.agg(F.min("fd").alias("observed_from"), F.max("fd").alias("observed_to"),
-                   F.min(F.when(here, F.col("fd"))).alias("target_from"),
-                   F.max(F.when(here, F.col("fd"))).alias("target_to"), count_if(here).alias("target_rows"))
-    months = missing_months(trades, target_year, asof).agg(F.count(F.lit(1))).scalar()
-    days = missing_business_days(trades, target_year, asof).agg(F.count(F.lit(1))).scalar()
-    g = g.withColumn("missing_months", months).withColumn("missing_days", days)
-    blockers = F.array_compact(F.array(
-        F.when(F.col("target_rows") == 0, F.lit("no_target_rows")),
-        F.when(F.col("target_from") > F.date_add(start, 14), F.lit("starts_late")),
-        F.when(F.col("target_to") < F.date_sub(end, 4), F.lit("ends_early")),
-        F.when(F.col("missing_months") > 0, F.lit("months_missing"))))
+def coverage_report(trades: DataFrame, target_year: int, asof: str, ledger: DataFrame | None = None) -> DataFrame:
+    """One row: expected window, observed ranges, number of missing months and weekdays, and the blockers.
+
+    One aggregate by filing day (as many rows as the calendar has) answers all parts. The blockers of the ingest
+    ledger count as well; a year without any ledger row is not proven, so ``ledger_missing`` blocks it too.
+    ``ledger=None`` leaves the ledger out of the question.
+    """
+    first, last = first_business_day(target_year), last_business_day(target_year, asof)
+    start, end = F.lit(first).cast("date"), F.lit(last).cast("date")
+    per_day = trades.where("fd IS NOT NULL").groupBy("fd").agg(F.count(F.lit(1)).alias("n"))
+    here, expected = in_year(F.col("fd"), target_year), F.col("fd").between(start, end)
+    months = _days(trades.sparkSession, f"{target_year}-01-01", last).select(month_key(F.col("d"))).distinct().count()
+    weekdays = _days(trades.sparkSession, first, last).where(F.weekday("d") < 5).count()
+    g = per_day.agg(
+        F.min("fd").alias("observed_from"), F.max("fd").alias("observed_to"), F.min(F.when(here, F.col("fd"))).alias("target_from"),
+        F.max(F.when(here, F.col("fd"))).alias("target_to"), F.coalesce(F.sum(F.when(here, F.col("n"))), F.lit(0)).alias("target_rows"),
+        (F.lit(months) - F.count_distinct(F.when(here & (F.col("fd") <= F.last_day(end)), month_key(F.col("fd"))))).alias("missing_months"),
+        (F.lit(weekdays) - count_if(expected & (F.weekday("fd") < 5))).alias("missing_days"))
+    items = [F.when(F.col("target_rows") == 0, F.lit("no_target_rows")),
+             F.when(F.col("target_from") > F.date_add(start, 14), F.lit("starts_late")),
+             F.when(F.col("target_to") < F.date_sub(end, 4), F.lit("ends_early")),
+             F.when(F.col("missing_months") > 0, F.lit("months_missing"))]
+    if ledger is not None:
+        found = manifest_blockers(ledger, target_year, asof).agg(F.array_sort(F.collect_set("blocker")).alias("ledger_blockers"))
+        size = ledger.agg(F.count(F.lit(1)).alias("ledger_rows"))
+        g = g.join(found, F.lit(True)).join(size, F.lit(True))  # single rows
+        items.append(F.when(F.col("ledger_rows") == 0, F.lit("ledger_missing")))
+    blockers = F.array_compact(F.array(*items))
+    if ledger is not None:
+        blockers = F.concat(blockers, F.col("ledger_blockers"))
     return (g.withColumn("blockers", F.concat_ws(",", blockers))
-            .withColumn("complete", F.size(blockers) == 0)
+            .withColumn("complete", F.col("blockers") == "")
             .select(start.alias("target_start"), end.alias("target_end"), "observed_from", "observed_to", "target_from",
                     "target_to", "target_rows", "missing_months", "missing_days", "blockers", "complete"))
 

@@ -1058,7 +1058,10 @@ def audit_by_code(s, d):
 
 @query
 def coverage_report(s, d):
-    c = ql.coverage_report(fx.trades(s, d), fx.TARGET_YEAR, fx.AUDIT_ASOF).withColumn("complete", F.col("complete").cast("int"))
+    """The year under audit, which ends early, and one that is whole."""
+    t = fx.trades(s, d)
+    both = ql.coverage_report(t, fx.TARGET_YEAR, fx.AUDIT_ASOF).unionByName(ql.coverage_report(t, 1999, fx.AUDIT_ASOF))
+    c = both.withColumn("complete", F.col("complete").cast("int"))
     return _day(c, "target_start", "target_end", "observed_from", "observed_to", "target_from", "target_to")
 
 

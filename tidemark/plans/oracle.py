@@ -515,10 +515,15 @@ add("audit_counts", f"""SELECT count(*) AS rows, count(*) FILTER (WHERE year(fd)
   count(*) FILTER (WHERE der = 1) AS derivative_rows, {total('abs(val)')} AS total_value, {total(f"CASE WHEN {BUY} THEN abs(val) END")} AS buy_value, {total(f"CASE WHEN {SELL} THEN abs(val) END")} AS sell_value,
   {_NET} AS net_value FROM trades""")
 add("audit_by_code", "SELECT code, count(*) AS n FROM trades GROUP BY 1")
-add("coverage_report", """SELECT '2001-01-01' AS target_start, '2001-12-31' AS target_end, CAST(min(fd) AS VARCHAR) AS observed_from, CAST(max(fd) AS VARCHAR) AS observed_to,
-  CAST(min(fd) FILTER (WHERE year(fd) = 2001) AS VARCHAR) AS target_from, CAST(max(fd) FILTER (WHERE year(fd) = 2001) AS VARCHAR) AS target_to, count(*) FILTER (WHERE year(fd) = 2001) AS target_rows,
-  12 - count(DISTINCT month(fd)) FILTER (WHERE year(fd) = 2001) AS missing_months, 261 - count(DISTINCT fd) FILTER (WHERE year(fd) = 2001 AND isodow(fd) < 6) AS missing_days,
-  'ends_early,months_missing' AS blockers, 0 AS complete FROM trades""")
+add("coverage_report", """SELECT *, CASE WHEN blockers = '' THEN 1 ELSE 0 END AS complete FROM (
+  SELECT y || '-01-01' AS target_start, y || '-12-31' AS target_end, observed_from, observed_to, target_from, target_to, target_rows, missing_months, missing_days,
+    concat_ws(',', CASE WHEN target_rows = 0 THEN 'no_target_rows' END, CASE WHEN target_from::DATE > make_date(y, 1, 1) + 14 THEN 'starts_late' END,
+      CASE WHEN target_to::DATE < make_date(y, 12, 31) - 4 THEN 'ends_early' END, CASE WHEN missing_months > 0 THEN 'months_missing' END) AS blockers
+  FROM (SELECT y, CAST(min(fd) AS VARCHAR) AS observed_from, CAST(max(fd) AS VARCHAR) AS observed_to, CAST(min(fd) FILTER (WHERE year(fd) = y) AS VARCHAR) AS target_from,
+      CAST(max(fd) FILTER (WHERE year(fd) = y) AS VARCHAR) AS target_to, count(*) FILTER (WHERE year(fd) = y) AS target_rows,
+      12 - count(DISTINCT month(fd)) FILTER (WHERE year(fd) = y) AS missing_months,
+      (SELECT count(*) FROM range(make_date(y, 1, 1), make_date(y + 1, 1, 1), INTERVAL 1 DAY) r(x) WHERE isodow(x) < 6) - count(DISTINCT fd) FILTER (WHERE year(fd) = y AND isodow(fd) < 6) AS missing_days
+    FROM trades, (VALUES (2001), (1999)) v(y) GROUP BY y))""")
 add("manifest_blockers", """SELECT 'ledger_window_too_short' AS blocker, CAST(min(CAST(o_orderdate AS DATE)) AS VARCHAR) || '..' || CAST(max(CAST(o_orderdate AS DATE)) AS VARCHAR) AS detail FROM orders
   HAVING max(o_orderdate) < DATE '2001-12-31'
   UNION ALL SELECT 'quarter_not_available', label FROM (SELECT year(o_orderdate) || 'Q' || quarter(o_orderdate) AS label, max(CAST(o_orderdate AS DATE)) AS m FROM orders GROUP BY 1)

@@ -266,6 +266,28 @@ def _compare(min_bytes: int):
     return run
 
 
+def _spans(decisions: DataFrame, gap: int, min_bytes: int) -> DataFrame:
+    """(row, spans): the maximal runs of bytes that a row loses, packed begin and end; no spans mean the whole row."""
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = []
+            for runs, certain, whole in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+                if whole:
+                    packed.append(b"")
+                    continue
+                found = sorted([(r["low"], r["high"] + min_bytes) for r in runs or ()] + [(a - gap + 1, a + min_bytes) for a in certain or ()])
+                spans = [list(found[0])]
+                for low, high in found[1:]:
+                    if low <= spans[-1][1]:
+                        spans[-1][1] = max(spans[-1][1], high)
+                    else:
+                        spans.append([low, high])
+                packed.append(np.array(spans, np.int64).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["row", "spans"])
+
+    return decisions.select("row", "runs", "certain", "whole").mapInArrow(join, "row long, spans binary")
+
+
 def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = MIN_BYTES, gap: int = GAP) -> DataFrame:
     """A row per input row: doc_id, kept (bytes that stay), n_bytes, n_removed, n_spans."""
     depth = (min_bytes - GRAM + 1) // gap - 1
@@ -285,7 +307,8 @@ def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     own = F.xxhash64("row", "at")  # the start that speaks for equal surroundings is the one with the least hash
     same = starts.groupBy("inner", "outer").agg(F.count("*").alias("n"), F.min(own).alias("speaker"))
     groups = same.groupBy("inner").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), F.min("n").alias("least")).where("total > 1")
-    judged = materialize(starts.join(same, ["inner", "outer"]).join(groups, "inner")
+    # kinds meet their group before starts meet kinds: only that join has a row per start, and it can be split
+    judged = materialize(starts.join(same.join(groups, "inner"), ["inner", "outer"])
                          .select("row", "at", "inner", (F.col("n") == 1).alias("open"), (F.col("kinds") > GROUP).alias("large"),
                                  ((F.col("least") == 1) & ((F.col("n") == 1) | (own == F.col("speaker")))).alias("asked")), "judged")
     asked = materialize(_packed(judged), "asked")
@@ -294,28 +317,25 @@ def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     open_runs = exact.groupBy("row").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
     certain = judged.where(~F.col("open")).groupBy("row").agg(F.collect_list(F.col("at").cast("int")).alias("certain"))
     whole = copies.select("row", F.lit(True).alias("whole"))
-    decided = materialize(open_runs.join(certain, "row", "full").join(whole, "row", "full"), "decided")
-    marked = numbered.join(checked(decided), "row", "left").select("doc_id", "text", "runs", "certain", F.coalesce("whole", F.lit(False)).alias("whole"))
+    decided = materialize(_spans(open_runs.join(certain, "row", "full").join(whole, "row", "full"), gap, min_bytes), "decided")
+    marked = numbered.join(checked(decided), "row", "left").select("doc_id", "text", "spans")
     kind = marked.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, total, gone, spans = [], [], [], []
-            for text, runs, certain, whole in zip(byte_list(batch.column(1)), *(batch.column(i).to_pylist() for i in (2, 3, 4))):
-                left, at, count = [], 0, 0
-                end = -1
-                found = [(r["low"], r["high"]) for r in runs or ()] + [(a - gap + 1, a) for a in certain or ()]
-                for low, high in [(0, len(text) - min_bytes)] if whole else sorted(found):
-                    if low > end:
-                        count += 1
-                        left.append(text[at:low] if end < 0 else text[end:low])
-                    end = max(end, high + min_bytes)
-                left.append(text[end:] if end >= 0 else text)
+            kept, total, gone, count = [], [], [], []
+            for text, packed in zip(byte_list(batch.column(1)), batch.column(2).to_pylist()):
+                spans = [] if packed is None else [(0, len(text))] if not packed else np.frombuffer(packed, np.int64).reshape(-1, 2).tolist()
+                left, at = [], 0
+                for low, high in spans:
+                    left.append(text[at:low])
+                    at = high
+                left.append(text[at:])
                 kept.append(b"".join(left))
                 total.append(len(text))
                 gone.append(len(text) - len(kept[-1]))
-                spans.append(count)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()), *(pa.array(x, pa.int64()) for x in (total, gone, spans))],
+                count.append(len(spans))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()), *(pa.array(x, pa.int64()) for x in (total, gone, count))],
                                              names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
 
     return marked.mapInArrow(cut, f"doc_id {kind}, kept binary, n_bytes long, n_removed long, n_spans long")

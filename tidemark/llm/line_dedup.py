@@ -45,7 +45,8 @@ def frequent_lines(docs: DataFrame, id_col: str, text_col: str, min_points: int,
     lines = id_and_text(docs, id_col, text_col)
     lines = materialize(lines.mapInArrow(explode, T.StructType([lines.schema["doc_id"], T.StructField("key", T.BinaryType())])), "lines")
     frequent = lines.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper")).where((F.col("n") >= min_docs) & F.col("keeper").isNotNull())
-    return (lines.join(frequent, "key").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    # stored first: then the lines of a very common key can be broadcast to or split, which an aggregate's own partitions cannot
+    return (lines.join(checked(materialize(frequent, "frequent_lines")), "key").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
             .groupBy(F.col("doc_id").alias("loser")).agg(F.collect_set("key").alias("line_dedup_keys")))
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,5 +110,17 @@ def checked(side: DataFrame) -> DataFrame:
     return F.broadcast(side) if measured_bytes(side) <= BROADCAST_BYTES else side.hint("shuffle_hash")
 
 
+def smallest_hashes(rows: DataFrame, group: str, key: str, most: dict | int) -> DataFrame:
+    """At most ``most`` rows per value of ``group`` (a number, or numbers by value), those with the smallest hash of
+    ``key``. A share of each group a little above what is wanted is cut out before rows are ranked, so ranking a
+    group handles a bounded number of rows however large the group is."""
+    limit = F.lit(most) if isinstance(most, int) else F.coalesce(*[F.when(F.col(group) == v, n) for v, n in most.items()])
+    counts = materialize(rows.groupBy(group).agg(F.count("*").alias("group_rows")), "group_rows")
+    unit = F.pmod(F.xxhash64(key), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    near = rows.join(checked(counts), group).where(unit * F.col("group_rows") <= 2 * limit + 50)
+    order = Window.partitionBy(group).orderBy(unit, key)
+    return near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= limit).select(rows.columns)
+
+
 __all__ = ["BROADCAST_BYTES", "SPACE_CLASS", "WORD_PATTERN", "byte_list", "checked", "id_and_text", "materialize",
-           "measured_bytes", "whole_groups", "with_columns"]
+           "measured_bytes", "smallest_hashes", "whole_groups", "with_columns"]

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_list, materialize, with_columns
+from tidemark.llm.common import byte_list, materialize, smallest_hashes, with_columns
 
 #: N-grams in a profile.
 TOP = 500
@@ -49,9 +49,8 @@ def learn_profiles(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_i
                    max_training: int = MAX_TRAINING) -> dict[str, np.ndarray]:
     """Profiles by language, from the labelled rows of ``docs``. The driver gets ``top`` n-grams per language."""
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (labelled.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
-              .withColumn("place", F.row_number().over(order)).where(F.col("place") <= max_training).select("doc_id", "lang").distinct())
+    chosen = smallest_hashes(labelled.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{lang_col}`").cast("string").alias("lang")).distinct(),
+                             "lang", "doc_id", max_training)
     # at most max_training ids per language: small by its bound
     texts = labelled.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
     texts = texts.join(F.broadcast(materialize(chosen, "training")), ["doc_id", "lang"], "left_semi").select("text", "lang")

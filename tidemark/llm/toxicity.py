@@ -26,10 +26,10 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_list, materialize, with_columns
+from tidemark.llm.common import byte_list, materialize, smallest_hashes, with_columns
 
 MAX_TOXIC = 3000
 MAX_CLEAN = 12000
@@ -216,9 +216,7 @@ def logistic(features: np.ndarray, labels: np.ndarray, ridge: float = 0.1, round
 
 def _sample(labels: DataFrame, id_col: str, label_col: str, max_toxic: int, max_clean: int) -> DataFrame:
     rows = labels.select(F.col(f"`{id_col}`").alias("label_id"), (F.col(f"`{label_col}`") == 1).cast("int").alias("toxic")).where("label_id is not null and toxic is not null").distinct()
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("label_id"), "label_id")
-    return (rows.withColumn("place", F.row_number().over(order))
-            .where(F.col("place") <= F.when(F.col("toxic") == 1, max_toxic).otherwise(max_clean)).select("label_id", "toxic"))
+    return smallest_hashes(rows, "toxic", "label_id", {1: max_toxic, 0: max_clean})
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",

@@ -176,7 +176,7 @@ def with_component(marked: DataFrame, id_col: str, fingerprint_col: str, radius:
     small = materialize(marked.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(fingerprint_col).alias("fp"))
                         .groupBy("fp").agg(F.min("doc_id").alias("least")), "least_ids")
     classes = materialize(near_classes(small, radius), "classes")
-    ids = classes.join(small, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
+    ids = checked(materialize(classes.join(small, "fp").groupBy("root").agg(F.min("least").alias("component_id")), "component_ids"))
     lookup = materialize(classes.join(ids, "root").select(F.col("fp").alias(fingerprint_col), F.col("root").alias("component_root"), "component_id"), "lookup")
     return marked.join(checked(lookup), fingerprint_col)
 

@@ -202,7 +202,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     rows = materialize(with_columns(texts, "text", "n long, digest binary", sequence).where(F.col("n") >= window).select("row", "doc", "digest"), "sequences")
     least = rows.groupBy("digest").agg(F.min("doc").alias("least"), F.count("*").alias("rows")).where("rows > 1")
-    copies = materialize(rows.join(least, "digest").where("doc > least").select("row", F.lit(True).alias("whole")), "copies")
+    copies = materialize(rows.join(checked(materialize(least, "repeated_sequences")), "digest").where("doc > least").select("row", F.lit(True).alias("whole")), "copies")
     single = texts.join(checked(copies), "row", "left_anti")
     anchors = materialize(_runs(shared_anchors(single, window, period, cover), "place"), "anchors")
     removed = materialize(_runs(repeated_windows(single.join(checked(anchors), "row"), window, period, cover), "start"), "windows")

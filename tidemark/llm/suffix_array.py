@@ -300,7 +300,7 @@ def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     sizes = materialize(with_columns(numbered, "text", "size long, digest binary", digest).where(F.col("size") >= min_bytes).select("row", "digest"), "sizes")
     several = sizes.groupBy("digest").agg(F.min("row").alias("speaker"), F.count("*").alias("rows")).where("rows > 1")
-    copies = materialize(sizes.join(several, "digest").select("row", (F.col("row") == F.col("speaker")).alias("speaks")), "copies")
+    copies = materialize(sizes.join(checked(materialize(several, "repeated_texts")), "digest").select("row", (F.col("row") == F.col("speaker")).alias("speaks")), "copies")
     texts = numbered.join(checked(materialize(copies.where(~F.col("speaks")).select("row"), "silent")), "row", "left_anti")
     candidates = materialize(repeated_starts(texts, depth, gap, min_bytes), "starts")
     starts = materialize(_hashed_starts(texts.join(checked(candidates), "row"), gap, min_bytes), "hashed_starts")

@@ -85,3 +85,29 @@ def test_coverage_needs_a_ledger_that_proves_it(spark):
     assert report(good).complete
     assert (report([]).complete, report([]).blockers) == (False, "ledger_missing")
     assert report(good + bad).blockers == "daily_run_failed,ledger_window_too_short,ledger_year_mismatch,quarter_not_available"
+
+
+def test_stream_upsert_over_batches_equals_the_batch_upsert(spark, tmp_path):
+    """Four batches over two years with corrections, an undated row and a late year; then one is replayed."""
+    rows = fixtures.trades(spark, SMALL).where("fd >= '1998-12-01' AND fd < '1999-02-01'").limit(80)
+    base = spark.createDataFrame(rows.collect(), rows.schema)
+    parts = [base, base.where("pos % 2 = 0").withColumn("co", F.lit("second")), base.where("pos % 3 = 0").withColumn("co", F.lit("third")).withColumn("fd", F.when(F.col("fd") >= "1999-01-01", F.col("fd"))),
+             base.limit(5).withColumn("acc", F.concat(F.lit("late"), "acc")).withColumn("fd", F.lit("1990-05-05").cast("date"))]
+    for i, part in enumerate(parts):
+        part.coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+    stream = spark.readStream.schema(base.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+    path = f"{tmp_path}/out"
+    jobs.stream_ingest_trades(stream, path)
+    want = base.limit(0)
+    for part in parts:
+        want = merge.upsert_shard(want, part)
+    state = lambda df: sorted(map(str, df.select("acc", "pos", "fd", "co").collect()))
+    got = jobs.merged_trades(spark, path, base)
+    assert state(got) == state(want)
+    ledger = {r.batch: (r.added, r.undated) for r in spark.read.json(f"{path}/ledger").collect()}
+    assert len(ledger) == 4 and ledger[0][0] > 0 and ledger[1] == (0, 0) and ledger[2][1] > 0 and ledger[3] == (5, 0)
+    jobs.merge_batch(parts[3], 3, path)
+    assert state(jobs.merged_trades(spark, path, base)) == state(want)
+    assert {r.batch: (r.added, r.undated) for r in spark.read.json(f"{path}/ledger").collect()} == ledger
+    jobs.compact_trades(spark, path, base, f"{tmp_path}/compact")
+    assert state(spark.read.parquet(f"{tmp_path}/compact")) == state(want)

@@ -1226,7 +1226,7 @@ def stream_ingest_trades(s, d):
     path = scratch_folder(s, "stream-ingest")
     t = _trade_stream(s, d)
     jobs.stream_ingest_trades(t, path)
-    return jobs.current_trades(s, path, t).select("acc", "pos", "code", "sh")
+    return jobs.merged_trades(s, path, t).select("acc", "pos", "code", "sh")
 
 
 @query

@@ -88,7 +88,7 @@ ISSUER_BUCKETS = 64
 # --- simulation ---------------------------------------------------------------------------------
 STAKE = 10_000.0
 ENTRY_MAX_GAP_DAYS = 10
-HORIZONS = [1, 5, 21, 63, 252]
+HORIZONS = [0, 1, 5, 21, 63, 252]
 EXIT_SESSIONS = 252
 MATURE_DAYS = 380
 SITE_MIN_VALUE = 1_000.0

@@ -5,7 +5,7 @@ from .. import fixed_values as fv
 from ..functions.calendar import business_days_between, first_business_day, in_year, last_business_day, month_key
 from ..functions.labels import issuer_key, owner_key, valid_ticker
 from ..functions.links import filing_url
-from ..functions.numeric import abs_value, count_if, r2, total
+from ..functions.numeric import abs_value, count_if, exact, r2
 from .plan import settle
 
 
@@ -91,18 +91,24 @@ def issue_examples(issues: DataFrame, limit: int | None = None) -> DataFrame:
 def audit_counts(trades: DataFrame, target_year: int) -> DataFrame:
     v = F.when(F.col("val").isNotNull(), abs_value(F.col("val")))
     here = in_year(F.col("fd"), target_year)
-    acc = F.nullif(F.col("acc"), F.lit(""))
     code = F.upper(F.substring(F.coalesce("code", F.lit("")), 1, 1))
-    buy, sell = total(F.when(code == "P", v)), total(F.when(code == "S", v))
-    return trades.agg(
-        F.count(F.lit(1)).alias("rows"), count_if(here).alias("target_rows"),
-        F.count_distinct(acc).alias("filings"), F.count_distinct(F.when(here, acc)).alias("target_filings"),
-        F.count_distinct(issuer_key(F.col("icik"), F.col("tk"), F.col("co"))).alias("companies"),
-        F.count_distinct(owner_key(F.col("pcik"), F.col("insider"))).alias("insiders"),
-        count_if(~_blank("tk")).alias("with_ticker"), count_if(_blank("tk")).alias("without_ticker"),
-        count_if(F.col("px").isNotNull()).alias("with_price"), count_if(F.col("der") != 0).alias("derivative_rows"),
-        total(v).alias("total_value"), buy.alias("buy_value"), sell.alias("sell_value"),
-        r2(buy - sell).alias("net_value"))
+    # one hash aggregate by filing, company and insider first: the distinct counts then copy its few rows, not the trades
+    grain = trades.groupBy(F.nullif(F.col("acc"), F.lit("")).alias("acc"), issuer_key(F.col("icik"), F.col("tk"), F.col("co")).alias("company"),
+                           owner_key(F.col("pcik"), F.col("insider")).alias("person"), F.coalesce(here, F.lit(False)).alias("here")).agg(
+        F.count(F.lit(1)).alias("rows"), count_if(~_blank("tk")).alias("with_ticker"), count_if(F.col("px").isNotNull()).alias("with_price"),
+        count_if(F.col("der") != 0).alias("derivative_rows"), F.sum(exact(v)).alias("v"), F.sum(exact(F.when(code == "P", v))).alias("buy"),
+        F.sum(exact(F.when(code == "S", v))).alias("sell"))
+    def add(c):
+        return F.coalesce(F.sum(c), F.lit(0))
+    def money(c):
+        return add(c).cast("double")
+    return grain.agg(
+        add("rows").alias("rows"), add(F.when(F.col("here"), F.col("rows"))).alias("target_rows"),
+        F.count_distinct("acc").alias("filings"), F.count_distinct(F.when(F.col("here"), F.col("acc"))).alias("target_filings"),
+        F.count_distinct("company").alias("companies"), F.count_distinct("person").alias("insiders"),
+        add("with_ticker").alias("with_ticker"), (add("rows") - add("with_ticker")).alias("without_ticker"),
+        add("with_price").alias("with_price"), add("derivative_rows").alias("derivative_rows"), money("v").alias("total_value"),
+        money("buy").alias("buy_value"), money("sell").alias("sell_value"), r2(money("buy") - money("sell")).alias("net_value"))
 
 
 def audit_by_code(trades: DataFrame) -> DataFrame:

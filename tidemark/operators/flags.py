@@ -287,3 +287,11 @@ def flag_filings(flags: DataFrame, members: DataFrame) -> DataFrame:
     rows = members.join(flags.select("flag_key"), "flag_key", "left_semi").where("acc <> ''")
     g = rows.groupBy("flag_key", "acc").agg(F.max("icik").alias("icik"))
     return g.withColumn("url", filing_url(F.col("acc"), F.col("icik")))
+
+
+def flag_parties(flags: DataFrame, members: DataFrame) -> DataFrame:
+    """Every insider, ticker and company behind a flag, one row each: (flag_key, party, name, row_n)."""
+    rows = members.join(flags.select("flag_key"), "flag_key", "left_semi")
+    names = (("insider", F.col("insider")), ("ticker", F.col("tk")), ("company", F.col("co")))
+    listed = F.inline(F.array(*[F.struct(F.lit(kind).alias("party"), c.alias("name")) for kind, c in names]))
+    return rows.select("flag_key", listed).where("name <> ''").groupBy("flag_key", "party", "name").agg(F.count(F.lit(1)).alias("row_n"))

@@ -6,7 +6,8 @@ from ..functions import calendar as cal, labels as lb, links as lk, numeric as n
 from ..operators import (asof, assemble, flags, holdings as hd, merge, positions as ps, quality as ql, rollups as ru,
                          signals as sg, splits as sp, stats as st, verify as vf, views as vw)
 from ..session import scratch_folder
-from ..sources import indexes, ownership, prices, shards
+from ..schemas import RAW_TABLES
+from ..sources import bulk, indexes, ownership, prices, shards
 from ..streaming import jobs
 from . import fixtures as fx
 
@@ -92,6 +93,20 @@ def _raw_tables(s, d):
     return {"SUBMISSION": subs, "REPORTINGOWNER": first.unionByName(second), "NONDERIV_TRANS": tx.where("kind <> 'NO'"), "DERIV_TRANS": table2}
 
 
+@query
+def read_bulk_tables(s, d):
+    """The four tables written as two quarters, one of them with its columns in another order, and read by the public reader."""
+    path = scratch_folder(s, "quarters")
+    for name, df in _raw_tables(s, d).items():
+        columns = [c for c in df.columns if c in {f.name for f in RAW_TABLES[name].fields}]
+        for quarter, order in ((0, columns), (1, columns[::-1])):
+            part = df.where(F.pmod(F.xxhash64("ACCESSION_NUMBER"), F.lit(2)) == quarter)
+            part = part.repartition("ACCESSION_NUMBER").sortWithinPartitions("line_no").select(*order)
+            part.write.csv(f"{path}/q{quarter}/{name}.tsv", sep="\t", header=True, escape='"', emptyValue="", nullValue="")
+    t = assemble.assemble_trades(bulk.read_bulk_tables(s, path))
+    return _day(t.select("acc", "der", "fd", "td", "form", "amend", "icik", "co", "tk", "insider", "own_n", "rel", "code", "side", "sec", "sh", "px", "val", "af"), "fd", "td")
+
+
 @query
 def assemble_trades(s, d):
     t = assemble.assemble_trades(_raw_tables(s, d))
@@ -1152,6 +1167,12 @@ def flag_filings(s, d):
     return flags.flag_filings(flags.flag_cluster_buys(t, fx.CLUSTER), flags.members_cluster(t, fx.CLUSTER))
 
 
+@query
+def flag_parties(s, d):
+    t = fx.trades(s, d)
+    return flags.flag_parties(flags.flag_cluster_buys(t, fx.CLUSTER), flags.members_cluster(t, fx.CLUSTER))
+
+
 @query
 def verify_positions(s, d):
     return vf.verify_counts(vf.verify_positions(_book(s, d)))

@@ -227,6 +227,7 @@ add("assemble_trades", f"""SELECT l.acc, {iso('od')[:-5]} AS fd, CAST(td AS VARC
   CASE WHEN kind = 'NO' THEN 'Common Stock' ELSE '' END AS under, CASE WHEN kind = 'NO' THEN sh END AS under_sh, CASE WHEN kind = 'NO' THEN 95.0::DOUBLE END AS xp,
   CASE WHEN kind = 'NO' THEN '2029-12-31' END AS exp, 'L' AS timely, pos
   FROM (SELECT *, CASE WHEN kind NOT IN ('NF', 'RO', 'NO') THEN {r2('l_discount + 3')} END AS px FROM raw_lines) l JOIN raw_owners o ON l.acc = o.acc WHERE o_orderstatus <> 'F'""")
+add("read_bulk_tables", "SELECT acc, der, fd, td, form, amend, icik, co, tk, insider, own_n, rel, code, side, sec, sh, px, val, af FROM (" + SQL["assemble_trades"] + ")")
 add("orphan_transactions", f"SELECT acc, pos, {iso('td')}, code FROM raw_lines WHERE o_orderstatus = 'F'")
 add("rollup_owners", "SELECT * FROM raw_owners")
 add("union_sources", f"SELECT CASE WHEN kind = 'NO' THEN 1 ELSE 0 END AS der, code, count(*) AS n, {total('sh')} AS shares FROM raw_lines GROUP BY 1, 2")
@@ -576,6 +577,9 @@ add("top_flags", f"""SELECT printf('AUTO-%04d', row_number() OVER (ORDER BY rk,
   ORDER BY rk, total_value DESC, category, tk, flag_key LIMIT 250)""")
 add("flag_filings", f"""SELECT DISTINCT 'cluster|' || t.icik AS flag_key, t.acc, t.icik, {URL.format(cik="(CASE WHEN t.icik = '0' THEN ltrim(substr(replace(t.acc, '-', ''), 1, 10), '0') ELSE t.icik END)", acc='t.acc')} AS url
   FROM trades t JOIN clusters c ON t.icik = c.issuer AND t.td BETWEEN c.start_d AND c.end_d WHERE t.code = 'P' AND t.der = 0""")
+add("flag_parties", """SELECT flag_key, party, name, count(*) AS row_n FROM (
+  SELECT 'cluster|' || t.icik AS flag_key, unnest(['insider', 'ticker', 'company']) AS party, unnest([t.insider, t.tk, t.co]) AS name
+  FROM trades t JOIN clusters c ON t.icik = c.issuer AND t.td BETWEEN c.start_d AND c.end_d WHERE t.code = 'P' AND t.der = 0) WHERE name <> '' GROUP BY 1, 2, 3""")
 add("verify_summary", f"""SELECT unnest(['signals', 'open', 'no_price', 'value']) AS check, unnest([a, b, c, v]) AS published, unnest([a, b, c, v]) AS recomputed, 1 AS ok FROM (
   SELECT CAST(count(*) AS DOUBLE) AS a, CAST(count(*) FILTER (WHERE {_O}) AS DOUBLE) AS b, CAST(count(*) FILTER (WHERE status = 'no_price') AS DOUBLE) AS c, {r2(total(f'CASE WHEN {_VALUED} THEN mtm END'))} AS v FROM book)""")
 add("backtest_reconciliation", """SELECT count(*) AS positions, count(DISTINCT id) AS ids, count(*) FILTER (WHERE entry_rule_status = 'verified') AS verified, count(*) FILTER (WHERE entry_rule_status <> 'verified') AS unverified,

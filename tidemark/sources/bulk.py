@@ -13,14 +13,11 @@ _UNZIPPED = StructType([StructField("member", StringType())]
                        + [StructField(c, StringType()) for c in _ALL_COLUMNS])
 
 
-def _any_case(name):
-    return "".join(f"[{ch.lower()}{ch.upper()}]" if ch.isalpha() else ch for ch in name) + ".[tT][sS][vV]"
-
-
 def _member(spark, folder, name):
     """One member of one quarter, columns by its own header; an absent member is an empty table."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", _any_case(name))
-             .option("recursiveFileLookup", "true").load(folder).select("path"))
+    # a file of that name in any case, or the part files of a folder of that name
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
+             .where(F.col("path").rlike(rf"(?i)/{name}\.tsv(/[^/]+)?$")))
     by_header: dict[str, list[str]] = {}
     for r in files.collect():                              # file names and header lines, a few per quarter
         header = spark.read.text(r.path).first()

@@ -101,6 +101,15 @@ j AS (SELECT page_id, host, path, rule_host || rule_path AS rule, verdict, row_n
         ORDER BY length(rule_host || rule_path) DESC NULLS LAST, verdict) AS rank
       FROM p LEFT JOIN r ON (host = rule_host OR host LIKE '%.' || rule_host) AND starts_with(path, rule_path))
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM j WHERE rank = 1""",
+    "op6_substring_dedup": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS words FROM documents),
+w AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos, len(words) AS n FROM d),
+s AS (SELECT *, CASE WHEN pos <= n - 49 THEN string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING) END AS fifty FROM w),
+f AS (SELECT *, CASE WHEN fifty IS NOT NULL THEN min(doc_id) OVER (PARTITION BY fifty) END AS first FROM s),
+g AS (SELECT *, max(CASE WHEN doc_id > first THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM f),
+k AS (SELECT doc_id, count(*) AS n_words, sum(gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (gone = 0) AS kept FROM g GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
     "op9_line_dedup": rf"""
 WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
 k AS (SELECT *, translate(regexp_replace(line, '^{_SPACES}+|{_SPACES}+$', '', 'g'), '{_UPPER}', '{_LOWER}') AS key FROM l),

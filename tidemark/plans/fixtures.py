@@ -74,22 +74,27 @@ def trades_from(lineitem: DataFrame, spark: SparkSession, folder: str) -> DataFr
     return with_missing(rows, TRADES)
 
 
-_STORED = {}
+class Stored(str):
+    """A folder of test tables whose canonical tables have been stored; queries take it in place of the folder."""
+    paths: dict
 
 
-def store(spark: SparkSession, folder: str) -> None:
-    """Ingest once: write the canonical tables of ``folder`` to shared scratch, so that later queries read
-    them like a deployment reads its stored trade and bar tables."""
+def store(spark: SparkSession, folder: str) -> Stored:
+    """Ingest once: write the canonical tables of ``folder`` to shared scratch, so that queries given the result
+    read them like a deployment reads its stored trade and bar tables."""
+    stored, paths = Stored(folder), {}
     for name, build in (("trades", trades), ("bars", bars), ("splits", splits)):
         path = scratch_folder(spark, name)
         df = build(spark, folder)
         df.write.parquet(path)
-        _STORED[name, folder] = (path, df.schema)
+        paths[name] = (path, df.schema)
+    stored.paths = paths
+    return stored
 
 
 def _stored(spark, folder, name):
-    if (name, folder) in _STORED:
-        path, schema = _STORED[name, folder]
+    if isinstance(folder, Stored):
+        path, schema = folder.paths[name]
         return spark.read.schema(schema).parquet(path)
 
 

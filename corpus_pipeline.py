@@ -7,12 +7,14 @@ texts, repeated rows and empty tables is stated in its operator.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_dedup, mixing, simhash, toxicity
+from tidemark.llm import decontaminate, line_dedup, mixing, near_copies, toxicity
 from tidemark.session import materialize, table_path
 
-#: Shingles of five words; fingerprints of one group differ in at most this many of 64 bits.
+#: Shingles of five words; near copies share 0.8 of their shingles. Fingerprints that differ in at most NEAR_BITS of 64 bits
+#: are compared too, besides those that MinHash keys bring together.
 SHINGLE_WORDS = 5
 NEAR_BITS = 6
+NEAR_SIMILARITY = 0.8
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,7 +36,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
-    return simhash.keep_one(docs, width=SHINGLE_WORDS, radius=NEAR_BITS)
+    return near_copies.keep_one(docs, width=SHINGLE_WORDS, bits=NEAR_BITS, similarity=NEAR_SIMILARITY)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -56,9 +56,8 @@ def shingle_hashes(text: bytes, width: int) -> np.ndarray:
     return np.fromiter((digest(flat[a:b], HASH_SEED) for a, b in zip(starts, (ends[width - 1:] - 1).tolist())), np.uint64, len(starts))
 
 
-def simhash(text: bytes, width: int = WIDTH) -> int:
-    """The fingerprint as a signed 64-bit number."""
-    hashes = shingle_hashes(text, width)
+def fold(hashes: np.ndarray) -> int:
+    """The fingerprint of shingle hashes as a signed 64-bit number."""
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), _BLOCK):
         bits = np.unpackbits(hashes[at:at + _BLOCK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -66,6 +65,11 @@ def simhash(text: bytes, width: int = WIDTH) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.int64)[0])
 
 
+def simhash(text: bytes, width: int = WIDTH) -> int:
+    """The fingerprint as a signed 64-bit number."""
+    return fold(shingle_hashes(text, width))
+
+
 def with_fingerprint(docs: DataFrame, text_col: str, width: int, name: str = "fingerprint") -> DataFrame:
     return with_columns(docs, text_col, f"{name} long", lambda texts: {name: [simhash(t, width) for t in texts]})
 

@@ -1250,8 +1250,7 @@ def stream_ingest_trades(s, d):
     return jobs.merged_trades(s, path, t).select("acc", "pos", "code", "sh")
 
 
-@query
-def stream_pending_entries(s, d):
+def _entry_statuses(s, d):
     path = scratch_folder(s, "pending")
     _signals(s, d).write.parquet(f"{path}/signals/signals.parquet")
     fx.bars(s, d).write.parquet(f"{path}/bars/bars.parquet")
@@ -1260,7 +1259,19 @@ def stream_pending_entries(s, d):
                                       s.readStream.schema(bars.schema).parquet(f"{path}/bars/bars.parquet"))
     jobs.run_batches(out, path)
     emitted = jobs.stored(s, path, out, batches=True)
-    return _day(jobs.resolve_entries(sig, emitted).where("entry_rule_status = 'verified'"), "fd", "entry_d")
+    return _day(jobs.resolve_entries(sig, emitted), "fd", "entry_d")
+
+
+@query
+def stream_pending_entries(s, d):
+    """The entries alone, as its statement asks; ``stream_entry_statuses`` has every signal."""
+    return _entry_statuses(s, d).where("entry_rule_status = 'verified'")
+
+
+@query
+def stream_entry_statuses(s, d):
+    """Every signal: entered, still waiting, or without a bar in its window."""
+    return _entry_statuses(s, d)
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:

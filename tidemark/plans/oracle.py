@@ -631,6 +631,11 @@ add("stream_dedupe", f"SELECT DISTINCT acc, der, CAST(td AS VARCHAR) AS td, code
 add("stream_ingest_trades", f"SELECT acc, pos, code, sh FROM trades QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY pos DESC, icik DESC) = 1")
 add("stream_pending_entries", """SELECT s.id, s.tk, CAST(s.fd AS VARCHAR) AS fd, 'verified' AS entry_rule_status, CAST(min(b.d) AS VARCHAR) AS entry_d, arg_min(b.o, b.d) AS entry_px
   FROM signals s JOIN bars b ON s.tk = b.tk AND b.d > s.fd AND b.d <= s.fd + 10 GROUP BY s.id, s.tk, s.fd""")
+# a window is closed once both streams have passed it by the watermark's delay of a day
+add("stream_entry_statuses", """SELECT s.id, s.tk, CAST(s.fd AS VARCHAR) AS fd, CASE WHEN min(b.d) IS NOT NULL THEN 'verified'
+    WHEN s.fd + 10 < least((SELECT max(fd) FROM signals), (SELECT max(d) FROM bars)) - 1 THEN 'entry_window_missing' ELSE 'awaiting_entry' END AS entry_rule_status,
+    CAST(min(b.d) AS VARCHAR) AS entry_d, arg_min(b.o, b.d) AS entry_px
+  FROM signals s LEFT JOIN bars b ON s.tk = b.tk AND b.d > s.fd AND b.d <= s.fd + 10 GROUP BY s.id, s.tk, s.fd""")
 
 _COUNTS = ["open", "open_split_flagged", "entry_window_missing", "no_bars_after_filing", "awaiting_entry", "no_price"]
 _CAPITAL = ["deployed", "value", "pnl", "roi"]

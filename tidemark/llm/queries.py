@@ -2,7 +2,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact_dedup, langid, line_dedup, mixing, simhash, substring_dedup, suffix_array, toxicity, url_filter
+from tidemark.llm import (collocations, decontaminate, exact_dedup, langid, line_dedup, mixing, odd_sketch, simhash, spelling, substring_dedup,
+                          suffix_array, toxicity, url_filter)
 from tidemark.session import table_path
 
 
@@ -65,7 +66,20 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_source_mixing, op3_simhash, op4_url_filter, op5_suffix_array, op6_substring_dedup, op7_language_id, op8_toxicity, op9_line_dedup, op10_decontamination)}
+def op11_odd_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    return odd_sketch.odd_sketch_dedup(_table(spark, folder, "documents"))
+
+
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_source_mixing, op3_simhash, op4_url_filter, op5_suffix_array, op6_substring_dedup, op7_language_id,
+                                   op8_toxicity, op9_line_dedup, op10_decontamination, op11_odd_sketch, op12_collocations, op13_spelling_variants)}
 
 _SPACES = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -118,4 +132,22 @@ j AS (SELECT k.*, f.key IS NOT NULL AND doc_id <> keeper AS gone FROM k LEFT JOI
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
     sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM j GROUP BY doc_id""",
+    "op12_collocations": rf"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS text FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+s AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS at FROM w),
+g AS (SELECT lang, words[at:at + size - 1] AS phrase, count(*) AS c FROM s, range(1, 6) AS sizes(size) WHERE at + size - 1 <= len(words) GROUP BY ALL),
+t AS (SELECT lang, sum(c)::BIGINT AS n FROM g WHERE len(phrase) = 1 GROUP BY lang),
+f AS (SELECT * FROM g WHERE c >= 100),
+held AS (SELECT DISTINCT lang, part FROM (SELECT lang, c, unnest([phrase[i:j] FOR i IN range(1, len(phrase) + 1) FOR j IN range(i, len(phrase) + 1) IF j - i + 1 < len(phrase)]) AS part FROM f) x
+         JOIN f y USING (lang) WHERE y.phrase = x.part AND x.c >= y.c),
+k AS (SELECT lang, phrase, c AS a, unnest(range(1, len(phrase))) AS cut FROM f WHERE len(phrase) >= 2),
+v AS (SELECT k.lang, k.phrase, a, cut, l.c AS l, r.c AS r, n, ((1000::HUGEINT * a * n) // (l.c::HUGEINT * r.c))::BIGINT AS score
+      FROM k JOIN t USING (lang) JOIN f l ON l.lang = k.lang AND l.phrase = k.phrase[1:cut] JOIN f r ON r.lang = k.lang AND r.phrase = k.phrase[cut + 1:]
+      WHERE NOT EXISTS (SELECT 1 FROM held WHERE held.lang = k.lang AND held.part = k.phrase)),
+m AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS best FROM v) WHERE best = 1),
+o AS (SELECT lang, array_to_string(phrase, ' ') AS phrase, a, l, r, n, score FROM m),
+q AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM o)
+SELECT * FROM q WHERE rank <= 2000""",
 }

@@ -12,7 +12,8 @@ subphrases (without the last word, without the first) do, so longer phrases are
    in joins, which drop what is not active in this round.
 4. Scores come from the counted phrases alone: a phrase's first k words and the rest are chains of its subphrases.
 
-Phrases are known by 64-bit hashes while counting, their words are put together at the end.
+Phrases are known by 64-bit hashes while counting, their words are put together at the end. Rows of words have the
+complement of their hash in place of subphrases, so they spread evenly where rows meet on subphrases.
 
 Edge cases: a null text is empty; null lang is ``und`` and counts together with a literal ``und``; empty pieces, repeated
 separators and texts without words give nothing; very long texts are cut into portions that overlap by the longest
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_list, checked, materialize
+from tidemark.llm.common import byte_list, checked, materialize, sized
 from tidemark.session import scratch_folder
 
 LONGEST = 5
@@ -125,7 +126,7 @@ def _scan(longest: int, portion: int, with_words: bool, reached: np.ndarray | No
                         names = [vocabulary[i] for i in at.tolist()]
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(np.r_[of_word[at], np.uint64(0)].view(np.int64)), pa.array(np.r_[np.ones(len(at), np.int32), np.int32(0)]),
-                             *[pa.array(np.zeros(len(at) + 1, np.int64))] * 2, pa.array([lang] * (len(at) + 1)),
+                             *[pa.array(~np.r_[of_word[at], np.uint64(0)].view(np.int64))] * 2, pa.array([lang] * (len(at) + 1)),
                              pa.array([*names, b""], pa.binary()).cast(pa.string()), pa.array(np.r_[n[at], total])],
                             names=["h", "len", "pre", "suf", "lang", "word", "c"])
                 if reached is None:
@@ -155,23 +156,26 @@ def _scan(longest: int, portion: int, with_words: bool, reached: np.ndarray | No
     return run
 
 
-def _bitmap(phrases: DataFrame, power: int) -> np.ndarray:
-    """The bitmap of the hashes, put together by Spark as 64-bit blocks: at most 2 ** power / 64 of them come to the driver."""
-    shift = 64 - power
-    spot = F.shiftrightunsigned("h", shift)
-    blocks = phrases.groupBy(F.shiftright(spot, 6).alias("block")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {shift}) & 63 AS int))")).alias("bits"))
-    found = blocks.toArrow()
-    whole = np.zeros((1 << power) // 64, np.int64)
-    whole[found["block"].to_numpy()] = found["bits"].to_numpy()
-    return whole.view(np.uint8)
+def _bitmaps(phrases: DataFrame, recent: Column, power: int) -> list[np.ndarray]:
+    """Bitmaps of all hashes and of the recent ones, put together by Spark as 64-bit blocks: at most 2 ** power / 64 of them come
+    to the driver."""
+    spot = F.shiftrightunsigned("h", 64 - power)
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - power}) & 63 AS int))")
+    blocks = phrases.groupBy(F.shiftright(spot, 6).alias("block")).agg(F.bit_or(bit).alias("all"), F.bit_or(F.when(recent, bit).otherwise(0)).alias("recent"))
+    found, maps = blocks.toArrow(), []
+    for name in ("all", "recent"):
+        whole = np.zeros((1 << power) // 64, np.int64)
+        whole[found["block"].to_numpy()] = found[name].to_numpy()
+        maps.append(whole.view(np.uint8))
+    return maps
 
 
-def _active(counts: DataFrame, reached: DataFrame, round_: int, shards: int) -> DataFrame:
-    """Counts of longer phrases that are active in this round, with the round in which they became so."""
-    sides = [checked(reached.select(F.col("h").alias(side), F.col("reach").alias(f"{side}_reach"))) for side in ("pre", "suf")]
-    both = counts.join(sides[0], "pre").join(sides[1], "suf")
-    begin = F.greatest("pre_reach", "suf_reach") + 1
-    return both.withColumn("begin", begin).where(F.col("begin") > round_ - shards).select("h", "len", "pre", "suf", "lang", "word", "c", "begin")
+def _active(counts: DataFrame, reached: DataFrame, size: int, round_: int, shards: int) -> DataFrame:
+    """Counts of words, and of longer phrases that are active in this round, with the round in which they became so."""
+    for side in ("pre", "suf"):
+        counts = counts.join(sized(reached.select(F.col("h").alias(side), F.col("reach").alias(f"{side}_reach")), size), side, "left")
+    begin = F.when(F.col("len") < 2, 0).when(F.col("pre_reach").isNotNull() & F.col("suf_reach").isNotNull(), F.greatest("pre_reach", "suf_reach") + 1)
+    return counts.withColumn("begin", begin).where((F.col("len") < 2) | (F.col("begin") > round_ - shards)).drop("pre_reach", "suf_reach")
 
 
 def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", min_count: int = MIN_COUNT, longest: int = LONGEST,
@@ -187,41 +191,38 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
     stored = spark.read.schema("lang string, text string, shard int").parquet(folder)
     names = ["h", "len", "pre", "suf", "lang", "word"]
     state: DataFrame | None = None
-    reached: DataFrame | None = None
     round_ = 0
     while True:
-        maps = [None, None]
-        if reached is not None:
-            parts = reached.where(F.col("len") < longest)
-            recent = parts.where(F.col("reach") >= round_ - shards)
-            maps = [spark.sparkContext.broadcast(_bitmap(x, filter_power)) for x in (parts, recent)]
-            if round_ >= shards and not maps[1].value.any():
+        maps = []
+        if state is not None:
+            reached = state.where("reach is not null").select("h", "len", "reach")
+            parts, recent = reached.where(F.col("len") < longest), F.col("reach") >= round_ - shards
+            rows, live = parts.agg(F.count("*"), F.count_if(recent)).first()
+            if round_ >= shards and not live:
                 break
-        scan = _lazy_scan(longest, portion, round_ < shards, *maps)
+            maps = [spark.sparkContext.broadcast(m) for m in _bitmaps(parts, recent, filter_power)]
         shard = stored.where(F.col("shard") == round_ % shards).select("lang", "text")
-        found = materialize(shard.mapInArrow(scan, _COUNTS).groupBy(*names).agg(F.sum("c").alias("c")), "phrase_counts")
-        short = found.where("len < 2").withColumn("begin", F.lit(0))
-        new = short if reached is None else short.unionByName(_active(found.where("len >= 2"), reached, round_, shards))
-        new = new.withColumn("reach", F.lit(None).cast("int"))
-        both = new if state is None else new.unionByName(state)
-        summed = both.groupBy(*names).agg(F.sum("c").alias("c"), F.min("begin").alias("begin"), F.min("reach").alias("reach"))
+        new = shard.mapInArrow(_lazy_scan(longest, portion, round_ < shards, maps), _COUNTS).groupBy(*names).agg(F.sum("c").alias("c"))
+        if state is None:
+            new = new.withColumn("begin", F.lit(0)).withColumn("reach", F.lit(None).cast("int"))
+        else:
+            new = _active(new, parts, 32 * rows, round_, shards).withColumn("reach", F.lit(None).cast("int")).unionByName(state)
+        summed = new.groupBy(*names).agg(F.sum("c").alias("c"), F.min("begin").alias("begin"), F.min("reach").alias("reach"))
         summed = summed.withColumn("reach", F.coalesce("reach", F.when((F.col("c") >= min_count) & (F.col("len") > 0), F.lit(round_))))
         # what has been counted for a whole cycle without reaching the threshold never will
         over = F.col("reach").isNull() & (F.col("len") > 0) & (F.col("begin") + shards - 1 <= round_)
         state = materialize(summed.where(~over), "phrase_state")
-        reached = materialize(state.where("reach is not null").select("h", "len", "reach"), "phrases_reached")
         for m in maps:
-            if m is not None:
-                m.unpersist()
+            m.unpersist()
         round_ += 1
     phrases = state.where("reach is not null").select(*names, "c")
     return phrases, state.where("len = 0").select("lang", F.col("c").alias("n"))
 
 
-def _lazy_scan(longest, portion, with_words, reached, recent):
+def _lazy_scan(longest, portion, with_words, maps):
     """The scan with the bitmaps taken from their broadcast inside the task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _scan(longest, portion, with_words, reached and reached.value, recent and recent.value)(batches)
+        return _scan(longest, portion, with_words, *([m.value for m in maps] or [None, None]))(batches)
     return run
 
 

@@ -104,10 +104,15 @@ def measured_bytes(table: DataFrame) -> int:
     return table.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0]
 
 
+def sized(side: DataFrame, size: int) -> DataFrame:
+    """``side`` marked for the join that suits ``size`` bytes: broadcast up to ``BROADCAST_BYTES``, else a sort-merge join, which
+    spills and whose large partitions adaptive execution splits."""
+    return F.broadcast(side) if size <= BROADCAST_BYTES else side.hint("merge")
+
+
 def checked(side: DataFrame) -> DataFrame:
-    """``side`` (a stored table) marked for the join it suits: broadcast when its measured size is below
-    ``BROADCAST_BYTES``, else a shuffled hash join that builds on it and streams the other side."""
-    return F.broadcast(side) if measured_bytes(side) <= BROADCAST_BYTES else side.hint("shuffle_hash")
+    """``side`` (a stored table) marked for the join that suits its measured size."""
+    return sized(side, measured_bytes(side))
 
 
 def smallest_hashes(rows: DataFrame, group: str, key: str, most: dict | int) -> DataFrame:
@@ -123,4 +128,4 @@ def smallest_hashes(rows: DataFrame, group: str, key: str, most: dict | int) ->
 
 
 __all__ = ["BROADCAST_BYTES", "SPACE_CLASS", "WORD_PATTERN", "byte_list", "checked", "id_and_text", "materialize",
-           "measured_bytes", "smallest_hashes", "whole_groups", "with_columns"]
+           "measured_bytes", "sized", "smallest_hashes", "whole_groups", "with_columns"]

@@ -136,12 +136,13 @@ FROM j GROUP BY doc_id""",
 WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS text FROM documents),
 p AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
 w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
-s AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS at FROM w),
-g AS (SELECT lang, words[at:at + size - 1] AS phrase, count(*) AS c FROM s, range(1, 6) AS sizes(size) WHERE at + size - 1 <= len(words) GROUP BY ALL),
+s AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS pos FROM w),
+g AS (SELECT lang, words[pos:pos + size - 1] AS phrase, count(*) AS c FROM s, range(1, 6) AS sizes(size) WHERE pos + size - 1 <= len(words) GROUP BY ALL),
 t AS (SELECT lang, sum(c)::BIGINT AS n FROM g WHERE len(phrase) = 1 GROUP BY lang),
 f AS (SELECT * FROM g WHERE c >= 100),
-held AS (SELECT DISTINCT lang, part FROM (SELECT lang, c, unnest([phrase[i:j] FOR i IN range(1, len(phrase) + 1) FOR j IN range(i, len(phrase) + 1) IF j - i + 1 < len(phrase)]) AS part FROM f) x
-         JOIN f y USING (lang) WHERE y.phrase = x.part AND x.c >= y.c),
+h AS (SELECT lang, c, phrase[first:first + size - 1] AS part FROM f, range(1, 5) AS firsts(first), range(1, 5) AS sizes(size)
+      WHERE size < len(phrase) AND first + size - 1 <= len(phrase)),
+held AS (SELECT DISTINCT h.lang, part FROM h JOIN f ON f.lang = h.lang AND f.phrase = h.part WHERE h.c >= f.c),
 k AS (SELECT lang, phrase, c AS a, unnest(range(1, len(phrase))) AS cut FROM f WHERE len(phrase) >= 2),
 v AS (SELECT k.lang, k.phrase, a, cut, l.c AS l, r.c AS r, n, ((1000::HUGEINT * a * n) // (l.c::HUGEINT * r.c))::BIGINT AS score
       FROM k JOIN t USING (lang) JOIN f l ON l.lang = k.lang AND l.phrase = k.phrase[1:cut] JOIN f r ON r.lang = k.lang AND r.phrase = k.phrase[cut + 1:]

@@ -1,6 +1,7 @@
 """Pruning by year, mixed headers, number spellings, and columns that merges have to carry."""
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import parse_sec_date
@@ -8,7 +9,7 @@ from tidemark.functions.numeric import parse_number
 from tidemark.operators import merge, quality, rollups, signals
 from tidemark.plans import fixtures
 from tidemark.sources import bulk, shards
-from tidemark.streaming import jobs
+from tidemark.streaming import jobs, table
 
 from conftest import SMALL
 
@@ -106,8 +107,54 @@ def test_stream_upsert_over_batches_equals_the_batch_upsert(spark, tmp_path):
     assert state(got) == state(want)
     ledger = {r.batch: (r.added, r.undated) for r in spark.read.json(f"{path}/ledger").collect()}
     assert len(ledger) == 4 and ledger[0][0] > 0 and ledger[1] == (0, 0) and ledger[2][1] > 0 and ledger[3] == (5, 0)
-    jobs.merge_batch(parts[3], 3, path)
-    assert state(jobs.merged_trades(spark, path, base)) == state(want)
+    before = table.versions(spark, path)
+    table.merge_batch(parts[3], 3, path)            # a replay of a committed batch
+    assert state(jobs.merged_trades(spark, path, base)) == state(want) and table.versions(spark, path) == before
     assert {r.batch: (r.added, r.undated) for r in spark.read.json(f"{path}/ledger").collect()} == ledger
-    jobs.compact_trades(spark, path, base, f"{tmp_path}/compact")
-    assert state(spark.read.parquet(f"{tmp_path}/compact")) == state(want)
+    # a batch reads the years it touches alone: other folders are not listed, and fy prunes what is
+    touched = table.read(spark, path, base.schema, [1998])
+    assert all("fy=1998" in f for f in touched.inputFiles()) and "PartitionFilters: [isnotnull(fy" in plan(touched) and "fy#" in plan(touched).split("PartitionFilters")[1][:40]
+    # compaction is a version of the same table: the stream goes on from it, old versions stay readable until they expire
+    table.compact(spark, path, base.schema)
+    assert state(jobs.merged_trades(spark, path, base)) == state(want)
+    more = base.limit(4).withColumn("co", F.lit("after"))
+    more.coalesce(1).write.parquet(f"{tmp_path}/in/4")
+    jobs.stream_ingest_trades(stream, path)
+    newer = merge.upsert_shard(want, more)
+    assert state(jobs.merged_trades(spark, path, base)) == state(newer)
+    assert state(table.read(spark, path, base.schema, version=before[-1])) == state(want)
+    assert table.expire(spark, path, keep=1) and state(jobs.merged_trades(spark, path, base)) == state(newer)
+    assert table.versions(spark, path) == [before[-1] + 2]
+    with pytest.raises(RuntimeError):               # a second writer of the same version
+        table.commit(spark, path, table.Manifest(before[-1] + 2, 9, {}))
+
+
+def test_failed_batch_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
+    base = spark.createDataFrame(fixtures.trades(spark, SMALL).limit(10).collect(), fixtures.trades(spark, SMALL).schema)
+    path = str(tmp_path)
+    table.merge_batch(base.limit(5), 0, path)
+    with monkeypatch.context() as m:
+        m.setattr(table, "commit", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            table.merge_batch(base, 1, path)
+    assert jobs.merged_trades(spark, path, base).count() == merge.upsert_shard(base.limit(0), base.limit(5)).count()
+    table.merge_batch(base, 1, path)
+    assert jobs.merged_trades(spark, path, base).count() == merge.upsert_shard(base.limit(0), base).count()
+
+
+def test_append_windows_drop_and_count_late_rows(spark, tmp_path):
+    """Three batches; a row of January arrives when the watermark stands in March."""
+    row = fixtures.trades(spark, SMALL).where("val IS NOT NULL AND der = 0").first().asDict()
+    days = [["2024-01-02", "2024-01-02", "2024-01-05"], ["2024-03-20", "2024-01-05"], ["2024-01-02", "2024-06-01"]]
+    schema = fixtures.trades(spark, SMALL).schema
+    path = f"{tmp_path}/out"
+    for i, part in enumerate(days):
+        spark.createDataFrame([row | {"fd": D(x)} for x in part], schema).coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+        out = jobs.stream_flow_windows(stream).select(F.col("window.start").cast("date").alias("d"), "code", "n", "value")
+        jobs.append_windows(out, path)
+    got = jobs.stored(spark, path, out)
+    assert sorted((str(r.d), r.n) for r in got.collect()) == [("2024-01-02", 2), ("2024-01-05", 2), ("2024-03-20", 1)]
+    arrived = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+    assert jobs.late_rows(arrived, got, path).first().asDict() == {"arrived": 7, "still_open": 1, "emitted": 5, "late": 1}
+    assert sum(r.late_groups for r in spark.read.json(f"{path}/ledger").collect()) == 1

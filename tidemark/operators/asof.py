@@ -17,9 +17,18 @@ def asof_clip(bars: DataFrame, asof: str | None) -> DataFrame:
     return bars.where(F.col("d") <= F.lit(asof).cast("date")) if asof else bars
 
 
+def one_per_session(bars: DataFrame) -> DataFrame:
+    """One bar per (tk, d): of repeats one that can be traded before one that cannot, then the greatest in the order of its columns.
+    The window is partitioned and sorted by (tk, d) first, so windows over a ticker's days need no further exchange or sort."""
+    rest = [F.col(c) for c in bars.columns if c not in ("tk", "d")]
+    usable = [F.coalesce(F.col("o") > 0, F.lit(False))] if "o" in bars.columns else []
+    following = F.lead("d").over(W.partitionBy("tk").orderBy("d", *usable, *rest))
+    return bars.withColumn("_following", following).where("_following IS NULL OR _following <> d").drop("_following")
+
+
 def session_index(bars: DataFrame) -> DataFrame:
-    """0-based position of each bar in its ticker's series."""
-    return bars.withColumn("i", F.row_number().over(W.partitionBy("tk").orderBy("d")) - 1)
+    """0-based position of each session in its ticker's series; repeated bars are one session."""
+    return one_per_session(bars).withColumn("i", F.row_number().over(W.partitionBy("tk").orderBy("d")) - 1)
 
 
 def asof_lookup(left: DataFrame, right: DataFrame, time: str, value: str, *, direction: str = "forward",
@@ -66,7 +75,7 @@ def enrich_bars(bars: DataFrame, asof: str | None = None, horizons=tuple(HORIZON
     lead_days = [(F.col("d") if n == 0 else F.lead("d", n).over(asc)).alias(f"d{n}") for n in steps]
     bar = F.struct((F.row_number().over(asc) - 1).alias("i"), F.col("d").alias("d"), F.col("c").alias("c"),
                    close.alias("k"))
-    staged = asof_clip(bars, asof).select(
+    staged = one_per_session(asof_clip(bars, asof)).select(
         "tk", "d", "o", "c", (F.row_number().over(asc) - 1).alias("i"), F.lag("c").over(asc).alias("prev_c"),
         *leads, *lead_days, F.coalesce(jump, F.lit(False)).alias("jump"), bar.alias("_bar"))
     return (staged
@@ -88,9 +97,10 @@ def with_next_bar(left: DataFrame, candidates: DataFrame, time: str = "fd", valu
     The answer for a day depends on the bars alone: a usable bar is the answer for every calendar day from the
     usable bar before it to the day before its own. So bars are spread over those days (as many rows as the
     calendar has, whatever the number of filings) and ``left`` meets them in one equi-join. Days before a
-    ticker's first usable bar have no lower end; they get that bar, one row per ticker.
+    ticker's first usable bar have no lower end; they get that bar, one row per ticker. Candidates of one day count once
+    (``one_per_session``), so no row of ``left`` is doubled and none is answered on its own day.
     """
-    usable = candidates.where(F.col(value).isNotNull()).select("tk", "d", value)
+    usable = one_per_session(candidates.where(F.col(value).isNotNull()).select("tk", "d", value))
     usable = usable.withColumn("_prev", F.lag("d").over(W.partitionBy("tk").orderBy("d")))
     days = usable.where("_prev IS NOT NULL").select("tk", F.explode(F.sequence("_prev", F.date_sub("d", 1))).alias(time), value)
     first = usable.where("_prev IS NULL").select("tk", F.col("d").alias("_first_d"), F.col(value).alias("_first"))
@@ -110,7 +120,7 @@ def next_session_entry(signals: DataFrame, bars: DataFrame, asof: str | None = N
 
 def close_on_or_before(left: DataFrame, bars: DataFrame, time: str) -> DataFrame:
     """Backward as-of join: the last usable close at or before a day."""
-    right = bars.select("tk", "d", F.when(F.col("c") != 0, F.struct("d", "c")).alias("bar"))
+    right = one_per_session(bars).select("tk", "d", F.when(F.col("c") != 0, F.struct("d", "c")).alias("bar"))
     out = asof_lookup(left, right, time, "bar", direction="backward", strict=False)
     return out.withColumn("close_d", F.col("bar.d")).withColumn("close_px", F.col("bar.c")).drop("bar")
 
@@ -127,7 +137,7 @@ def horizon_close(entries: DataFrame, bars: DataFrame, n: int, asof: str | None
     """Close of the bar ``n`` sessions after ``entry_d``: the offset is precomputed on the bars
     (one ``lead``), so this is one equi-join on (tk, entry_d)."""
     asc = W.partitionBy("tk").orderBy("d")
-    ahead = asof_clip(bars, asof).select(
+    ahead = one_per_session(asof_clip(bars, asof)).select(
         "tk", F.col("d").alias("entry_d"), F.lead("d", n).over(asc).alias("horizon_d"),
         F.lead("c", n).over(asc).alias("horizon_px"))
     out = entries.join(ahead, ["tk", "entry_d"], "left")

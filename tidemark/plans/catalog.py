@@ -8,7 +8,7 @@ from ..operators import (asof, assemble, flags, holdings as hd, merge, positions
 from ..session import scratch_folder
 from ..schemas import RAW_TABLES
 from ..sources import bulk, indexes, ownership, prices, shards
-from ..streaming import jobs
+from ..streaming import jobs, table
 from . import fixtures as fx
 
 QUERIES = {}
@@ -1242,14 +1242,64 @@ def stream_dedupe(s, d):
     return _day(jobs.stored(s, path, out), "td")
 
 
+def _arrivals(s, t, path):
+    """What has been put below ``path`` so far, as a stream."""
+    return s.readStream.schema(t.schema).option("recursiveFileLookup", "true").parquet(f"{path}/in")
+
+
+def _ingested(s, d):
+    """The trades arrive in four portions; the table is compacted after the second and goes on."""
+    path = scratch_folder(s, "stream-ingest")
+    t = fx.trades(s, d)
+    for part in range(4):
+        t.where(F.pmod("pos", F.lit(4)) == part).write.parquet(f"{path}/in/{part}")
+        jobs.stream_ingest_trades(_arrivals(s, t, path), f"{path}/table")
+        if part == 1:
+            table.compact(s, f"{path}/table", t.schema)
+    table.expire(s, f"{path}/table", keep=1)
+    return f"{path}/table", t
+
+
 @query
 def stream_ingest_trades(s, d):
-    path = scratch_folder(s, "stream-ingest")
-    t = _trade_stream(s, d)
-    jobs.stream_ingest_trades(t, path)
+    path, t = _ingested(s, d)
     return jobs.merged_trades(s, path, t).select("acc", "pos", "code", "sh")
 
 
+@query
+def stream_table_years(s, d):
+    """Rows per filing year of the ingested table, for two years that alone are listed and read."""
+    path, t = _ingested(s, d)
+    return table.read(s, path, t.schema, [1995, 1998]).groupBy("fy").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _appended(s, d):
+    """Trades in filing order, in four portions; every 53rd comes with the last one, long after its time."""
+    path = scratch_folder(s, "stream-append")
+    t = fx.trades(s, d)
+    delayed = F.pmod("pos", F.lit(53)) == 0
+    part = F.when(delayed, 3).otherwise(F.floor((F.greatest(F.year("fd"), F.lit(1992)) - 1992) / 2)).cast("int")
+    for k in range(4):
+        t.where(F.least(part, F.lit(3)) == k).write.parquet(f"{path}/in/{k}")
+        windows = jobs.stream_flow_windows(_arrivals(s, t, path))
+        out = windows.select(F.col("window.start").cast("date").alias("d"), "code", "n", "derivative", "value")
+        jobs.append_windows(out, path)
+    return path, t, jobs.stored(s, path, out)
+
+
+@query
+def stream_flow_windows_append(s, d):
+    """Final windows, each emitted once; late rows are not in them."""
+    return _day(_appended(s, d)[2], "d")
+
+
+@query
+def stream_late_rows(s, d):
+    """What became of every row that arrived."""
+    path, t, emitted = _appended(s, d)
+    return jobs.late_rows(t, emitted, path)
+
+
 def _entry_statuses(s, d):
     path = scratch_folder(s, "pending")
     _signals(s, d).write.parquet(f"{path}/signals/signals.parquet")

@@ -629,6 +629,14 @@ add("stream_flow_windows", f"SELECT CAST(fd AS VARCHAR) AS d, code, count(*) AS
 add("stream_sliding_windows", f"""SELECT CAST(fd - CAST(k AS INT) AS VARCHAR) AS d, code, count(*) AS n, {total(V)} AS value FROM trades, range(0, 7) x(k) GROUP BY 1, 2""")
 add("stream_dedupe", f"SELECT DISTINCT acc, der, CAST(td AS VARCHAR) AS td, code, sec, sh, px, ad, pcik FROM trades")
 add("stream_ingest_trades", f"SELECT acc, pos, code, sh FROM trades QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY pos DESC, icik DESC) = 1")
+add("stream_table_years", f"""SELECT CAST(year(fd) AS INT) AS fy, count(*) AS n FROM (SELECT fd FROM trades QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY pos DESC, icik DESC) = 1)
+  WHERE year(fd) IN (1995, 1998) GROUP BY 1""")
+# portions by two filing years; rows in a window that the watermark of the portions before had passed are late
+_ARRIVED = """(SELECT *, CASE WHEN pos % 53 = 0 THEN 3 ELSE least(greatest(year(fd), 1992) - 1992, 7) // 2 END AS part FROM trades WHERE fd IS NOT NULL)"""
+_PASSED = f"""(SELECT a.*, fd + 1 <= (SELECT max(b.fd) - 45 FROM {_ARRIVED} b WHERE b.part < a.part) AS late,
+  fd + 1 > (SELECT max(fd) - 45 FROM trades) AS still_open FROM {_ARRIVED} a)"""
+add("stream_flow_windows_append", f"SELECT CAST(fd AS VARCHAR) AS d, code, count(*) AS n, count(*) FILTER (WHERE der <> 0) AS derivative, {total(V)} AS value FROM {_PASSED} WHERE NOT still_open AND late IS NOT TRUE GROUP BY fd, code")
+add("stream_late_rows", f"SELECT count(*) AS arrived, count(*) FILTER (WHERE still_open) AS still_open, count(*) FILTER (WHERE NOT still_open AND late IS NOT TRUE) AS emitted, count(*) FILTER (WHERE late AND NOT still_open) AS late FROM {_PASSED}")
 add("stream_pending_entries", """SELECT s.id, s.tk, CAST(s.fd AS VARCHAR) AS fd, 'verified' AS entry_rule_status, CAST(min(b.d) AS VARCHAR) AS entry_d, arg_min(b.o, b.d) AS entry_px
   FROM signals s JOIN bars b ON s.tk = b.tk AND b.d > s.fd AND b.d <= s.fd + 10 GROUP BY s.id, s.tk, s.fd""")
 # a window is closed once both streams have passed it by the watermark's delay of a day

@@ -8,7 +8,7 @@ from ..operators import (asof, assemble, flags, holdings as hd, merge, positions
 from ..session import scratch_folder
 from ..schemas import RAW_TABLES
 from ..sources import bulk, indexes, ownership, prices, shards
-from ..streaming import jobs, table
+from ..streaming import jobs, pending, table
 from . import fixtures as fx
 
 QUERIES = {}
@@ -1324,6 +1324,20 @@ def stream_entry_statuses(s, d):
     return _entry_statuses(s, d)
 
 
+@query
+def stream_entry_timers(s, d):
+    """The same statuses from keyed state with timers; signals and bars arrive in four portions of two years."""
+    path = scratch_folder(s, "timers")
+    sources = {"signals": (_signals(s, d).select("id", "tk", "fd"), "fd"), "bars": (fx.bars(s, d).select("tk", "d", "o"), "d")}
+    for k in range(4):
+        for name, (df, day) in sources.items():
+            portion = F.least(F.floor((F.greatest(F.year(day), F.lit(1992)) - 1992) / 2), F.lit(3))
+            df.where(portion == k).write.parquet(f"{path}/{name}/in/{k}")
+        out = pending.entry_changes(*[_arrivals(s, df, f"{path}/{name}") for name, (df, _) in sources.items()])
+        pending.run_changes(out, path)
+    return _day(pending.current_statuses(jobs.stored(s, path, out, batches=True)), "fd", "entry_d")
+
+
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Could a follower have made money? Purchases -> next-session entry -> returns by role, size and year."""
     return st.stats_cuts(_book(spark, folder))

@@ -645,6 +645,8 @@ add("stream_entry_statuses", """SELECT s.id, s.tk, CAST(s.fd AS VARCHAR) AS fd,
     CAST(min(b.d) AS VARCHAR) AS entry_d, arg_min(b.o, b.d) AS entry_px
   FROM signals s LEFT JOIN bars b ON s.tk = b.tk AND b.d > s.fd AND b.d <= s.fd + 10 GROUP BY s.id, s.tk, s.fd""")
 
+SQL["stream_entry_timers"] = SQL["stream_entry_statuses"]
+
 _COUNTS = ["open", "open_split_flagged", "entry_window_missing", "no_bars_after_filing", "awaiting_entry", "no_price"]
 _CAPITAL = ["deployed", "value", "pnl", "roi"]
 

@@ -2,7 +2,8 @@
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: names that operators use inside, as extra columns of an input
-CLASHING = ["row", "doc", "key", "fp", "size", "target", "copies", "fingerprint", "component_id", "n_lines", "score", "starts", "rank", "place"]
+CLASHING = ["row", "doc", "key", "fp", "size", "target", "copies", "fingerprint", "component_id", "n_lines", "score", "starts", "rank", "place",
+            "loser", "loser_mark", "line_keys", "line_dedup_keys", "kept_id", "kept_mark", "text_mark", "text_mark_", "decontaminate_hits", "mark", "node"]
 
 
 def documents(spark, rows, clashing=True):

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,11 +24,36 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+#: Text bytes that a task turns into Python values at once.
+PORTION_BYTES = 8 << 20
+
+
 def byte_list(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """The UTF-8 bytes of a string column; null as empty."""
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]
 
 
+def portions(batch: pa.RecordBatch, place: int, limit: int = PORTION_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in stretches whose texts (column ``place``) take about ``limit`` bytes, one row at least."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(place)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + limit, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def free_names(columns: list[str], *wanted: str) -> list[str]:
+    """The wanted names, each with as many underscores added as no name in ``columns`` (in any case) has."""
+    used, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns an operator reads, under its own names."""
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
@@ -49,13 +75,14 @@ def with_columns(docs: DataFrame, text_col: str, added: str, compute: Callable[[
     place = kept.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = compute(byte_list(batch.column(place)))
-            columns = list(batch.columns)
-            if replaced_text:
-                columns[place] = pa.array(got[text_col], pa.binary()).cast(batch.schema.field(place).type)
-            columns += [pa.array(got[n], t) for n, t in arrow.items()]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *arrow])
+        for whole in batches:
+            for batch in portions(whole, place):
+                got = compute(byte_list(batch.column(place)))
+                columns = list(batch.columns)
+                if replaced_text:
+                    columns[place] = pa.array(got[text_col], pa.binary()).cast(batch.schema.field(place).type)
+                columns += [pa.array(got[n], t) for n, t in arrow.items()]
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *arrow])
 
     return kept.mapInArrow(run, schema)
 
@@ -127,5 +154,5 @@ def smallest_hashes(rows: DataFrame, group: str, key: str, most: dict | int) ->
     return near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= limit).select(rows.columns)
 
 
-__all__ = ["BROADCAST_BYTES", "SPACE_CLASS", "WORD_PATTERN", "byte_list", "checked", "id_and_text", "materialize",
-           "measured_bytes", "sized", "smallest_hashes", "whole_groups", "with_columns"]
+__all__ = ["BROADCAST_BYTES", "SPACE_CLASS", "WORD_PATTERN", "byte_list", "checked", "free_names", "id_and_text", "materialize",
+           "measured_bytes", "portions", "sized", "smallest_hashes", "whole_groups", "with_columns"]

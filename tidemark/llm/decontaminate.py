@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import byte_list, id_and_text, with_columns
+from tidemark.llm.common import byte_list, free_names, id_and_text, with_columns
 
 Q = 16
 #: Edits allowed, as a share of the item's length.
@@ -182,7 +182,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that hold no item."""
-    left, mark = docs, "decontaminate_hits"
+    left, (mark,) = docs, free_names(docs.columns, "decontaminate_hits")
     for block in item_blocks(benchmark, **options):
         left = with_columns(left, text_col, f"{mark} int",
                             lambda texts, block=block: {mark: [len(block.find(normalise(t))) for t in texts]}).where(f"{mark} = 0")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import byte_list, checked, materialize, whole_groups, with_columns
+from tidemark.llm.common import byte_list, checked, free_names, materialize, whole_groups, with_columns
 from tidemark.llm.components import components
 from tidemark.llm.simhash import fold, near_links, shingle_hashes
 
@@ -199,10 +199,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     ids = checked(materialize(classes.join(nodes.select("node", "least"), "node").groupBy("root").agg(F.min("least").alias("component_id")), "component_ids"))
     lookup = checked(materialize(classes.join(ids, "root").select("node", "root", "component_id"), "lookup"))
     first = marks.select("doc_id", "mark", "node").join(lookup, "node").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = materialize(first.groupBy("doc_id", "root").agg(F.count("*").alias("rows"), F.min("mark").alias("kept_mark"))
-                       .select(F.col("doc_id").alias("kept_id"), "kept_mark", "rows"), "kept")
-    marked = docs.withColumn("text_mark_", F.xxhash64(text))
-    on = F.col(f"`{id_col}`").eqNullSafe(F.col("kept_id")) & (F.col("text_mark_") == F.col("kept_mark"))
-    left = marked.join(checked(kept.where("rows = 1")), on, "left_semi")
-    repeated = marked.join(checked(kept.where("rows > 1")), on, "left_semi").dropDuplicates([id_col, "text_mark_"])
+    kept_id, kept_mark, text_mark = free_names(docs.columns, "kept_id", "kept_mark", "text_mark")
+    kept = materialize(first.groupBy("doc_id", "root").agg(F.count("*").alias("rows"), F.min("mark").alias(kept_mark))
+                       .select(F.col("doc_id").alias(kept_id), kept_mark, "rows"), "kept")
+    marked = docs.withColumn(text_mark, F.xxhash64(text))
+    on = F.col(f"`{id_col}`").eqNullSafe(F.col(kept_id)) & (F.col(text_mark) == F.col(kept_mark))
+    left = marked.join(checked(kept.where("rows = 1").drop("rows")), on, "left_semi")
+    repeated = marked.join(checked(kept.where("rows > 1").drop("rows")), on, "left_semi").dropDuplicates([id_col, text_mark])
     return left.unionByName(repeated).select([F.col(f"`{c}`") for c in docs.columns])

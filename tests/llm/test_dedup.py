@@ -67,18 +67,25 @@ def test_quotient_filters_merge_without_loss():
 
 
 def test_line_dedup(spark):
+    common, four = "the same id holds this line again and again", "four rows of one id and one of another are two documents"
     rows = [r for r in ROWS if r[0] is not None and r[0] != 5] + [(None, "shared line " * 5), (None, None)]
-    got = {r.doc_id: r for r in line_dedup.line_dedup(documents(spark, rows)).collect() if r.doc_id is not None}
+    rows += [(200 + i, f"{common}\nrow {i}") for i in range(5)] + [(209, f"{four}\n{i}") for i in range(4)] + [(210, four)]
+    docs = documents(spark, rows)
+    found = line_dedup.line_dedup(docs)
+    assert [c for c in found.columns if c not in ("n_lines", "n_dropped")] == [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    got = {r.doc_id: r for r in found.collect() if r.doc_id is not None and r.doc_id != 209}
+    assert [r.n_dropped for r in found.collect() if r.doc_id == 209] == [0] * 4
     key = lambda x: re.sub(f"^{SPACE}+|{SPACE}+$", "", x).translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
     holders = {}
     for i, t in rows:
         for k in {key(x) for x in (t or "").split("\n")}:
             holders.setdefault(k, []).append(i if i is not None else -1)
+    documents_of = lambda k: len({i for i in holders[k] if i != -1}) + holders[k].count(-1)
     for i, t in rows:
-        if i is None:
+        if i is None or i == 209:
             continue
         lines = (t or "").split("\n")
-        kept = [x for x in lines if not (len(key(x)) >= 40 and len(holders[key(x)]) >= 5 and i != max(holders[key(x)]))]
+        kept = [x for x in lines if not (len(key(x)) >= 40 and documents_of(key(x)) >= 5 and i != max(holders[key(x)]))]
         assert (got[i].text or "", got[i].n_lines, got[i].n_dropped) == ("\n".join(kept), len(lines), len(lines) - len(kept))
         assert got[i].place == "x"  # other columns stay
 
@@ -198,3 +205,30 @@ def test_empty_documents(spark, tmp_path, name):
     spark.createDataFrame([(1, "some benchmark item with enough text")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     assert queries.QUERIES[name](spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("operator", ["substring", "suffix"])
+def test_another_split_of_the_files_changes_no_row(spark, tmp_path, monkeypatch, operator):
+    """Between any two stages the files are split another way, as after an executor came or went."""
+    module = {"substring": substring_dedup, "suffix": suffix_array}[operator]
+    run = {"substring": substring_dedup.substring_dedup, "suffix": suffix_array.suffix_array_dedup}[operator]
+    docs = stored(spark, documents(spark, ROWS).repartition(11), tmp_path / "d")
+    want = sorted(map(tuple, run(docs).collect()), key=str)
+    usual, calls = module.materialize, []
+
+    def changing(df, label):
+        out = usual(df, label)
+        calls.append(label)
+        spark.conf.set("spark.sql.files.minPartitionNum", 2 if len(calls) % 2 else 9)
+        return out
+    monkeypatch.setattr(module, "materialize", changing)
+    try:
+        assert sorted(map(tuple, run(docs).collect()), key=str) == want and len(calls) > 4
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_substring_dedup_by_text_ids(spark):
+    rows = [("b", PASSAGE), ("a", PASSAGE), (None, PASSAGE), ("10", "other words")]
+    got = {r.doc_id: r.n_removed for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {"a": 0, "b": 90, None: 90, "10": 0}

@@ -13,11 +13,12 @@ Whole copies collapse before that: a row whose word sequence a smaller id has as
 several documents of one Arrow batch share is settled in the batch: one occurrence goes to the shuffle by
 hash, the rest skips it, so a passage that a third of all documents hold sends one row per batch to its task.
 
-A row is known by its number in the scan of ``docs`` (files read the same way each time), hence ``docs`` has
-to be a deterministic scan.
+Rows are numbered once, in a stored table of ids and texts that all steps read, so neither a lost executor nor another
+number of cores changes a row's number. Ids that are not whole numbers are ranked by a range-partitioned sort.
 
-Edge cases: a null text has no words; fewer words than a window lose nothing; a null id ranks above all others;
-rows with the same id are never removed against one another; an empty table gives an empty result.
+Edge cases: a null text has no words; fewer words than a window lose nothing; very long texts are taken whole; a null id
+ranks above all others (with the id 2^63 - 1); rows with the same id are never removed against one another, nor are ties
+between them broken; extra columns are ignored whatever their names; an empty table gives an empty result.
 """
 from collections.abc import Iterator
 
@@ -26,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import byte_list, checked, id_and_text, materialize, with_columns
 
@@ -51,8 +53,14 @@ def cover_positions(n: int, period: int, cover: tuple[int, ...], width: int) ->
 
 
 def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return id_and_text(docs, id_col, text_col).select(
-        F.monotonically_increasing_id().alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), "text")
+    """Stored: row, doc_id, doc (a whole number in the order of the ids), text."""
+    texts = id_and_text(docs, id_col, text_col)
+    if isinstance(texts.schema["doc_id"].dataType, T.IntegralType):
+        texts = texts.withColumn("doc", F.col("doc_id").cast("long"))
+    else:  # numbers that increase along the sorted ids, partition by partition
+        ids = materialize(texts.select("doc_id").where("doc_id is not null").distinct().orderBy("doc_id").select("doc_id", F.monotonically_increasing_id().alias("doc")), "ranked_ids")
+        texts = texts.join(checked(ids), "doc_id", "left")
+    return materialize(texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("doc", F.lit(_LAST)).alias("doc"), "text"), "numbered")
 
 
 def _settled(group: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -195,21 +203,21 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if {(a - b) % period for a in cover for b in cover} != set(range(period)) or not period <= window:
         raise ValueError("cover must be a difference cover of a period no longer than the window")
     texts = _numbered(docs, id_col, text_col)
+    text_alone = texts.select("row", "doc", "text")
 
     def sequence(batch: list[bytes]) -> dict[str, list]:
         words = [t.split() for t in batch]
         return {"n": [len(w) for w in words], "digest": [xxhash.xxh3_128_digest(b" ".join(w)) for w in words]}
 
-    rows = materialize(with_columns(texts, "text", "n long, digest binary", sequence).where(F.col("n") >= window).select("row", "doc", "digest"), "sequences")
+    rows = materialize(with_columns(text_alone, "text", "n long, digest binary", sequence).where(F.col("n") >= window).select("row", "doc", "digest"), "sequences")
     least = rows.groupBy("digest").agg(F.min("doc").alias("least"), F.count("*").alias("rows")).where("rows > 1")
     copies = materialize(rows.join(checked(materialize(least, "repeated_sequences")), "digest").where("doc > least").select("row", F.lit(True).alias("whole")), "copies")
-    single = texts.join(checked(copies), "row", "left_anti")
+    single = text_alone.join(checked(copies), "row", "left_anti")
     anchors = materialize(_runs(shared_anchors(single, window, period, cover), "place"), "anchors")
     removed = materialize(_runs(repeated_windows(single.join(checked(anchors), "row"), window, period, cover), "start"), "windows")
     # one table of what to remove, so the texts meet it in one join
     decided = materialize(removed.select("row", "runs", F.lit(False).alias("whole")).unionByName(copies.select("row", F.lit(None).cast("binary").alias("runs"), "whole")), "decided")
-    marked = (id_and_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
-              .join(checked(decided), "row", "left").select("doc_id", "text", "runs", F.coalesce("whole", F.lit(False)).alias("whole")))
+    marked = (texts.join(checked(decided), "row", "left").select("doc_id", "text", "runs", F.coalesce("whole", F.lit(False)).alias("whole")))
     kind = marked.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

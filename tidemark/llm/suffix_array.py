@@ -22,10 +22,12 @@ phrases first, as in prefix-free parsing:
 
 Whole copies collapse before: all of a repeated text is removed, one copy takes part for the others.
 
-Rows are known by their number in the scan of ``docs``, hence ``docs`` has to be a deterministic scan.
+Rows are numbered once, in a stored table of ids and texts that all steps read, so neither a lost executor nor another
+number of cores changes a row's number.
 
-Edge cases: a null text has no bytes; shorter texts than MIN_BYTES lose nothing; repeated rows are copies;
-a cut may split a character, so kept bytes are binary; an empty table gives an empty result.
+Edge cases: a null text has no bytes; shorter texts than MIN_BYTES lose nothing; very long texts are parsed whole; repeated
+rows are copies; ties do not arise (every occurrence goes); a cut may split a character, so kept bytes are binary; extra
+columns are ignored whatever their names; an empty table gives an empty result.
 """
 from collections.abc import Iterator
 
@@ -293,7 +295,7 @@ def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     depth = (min_bytes - GRAM + 1) // gap - 1
     if depth < 1:
         raise ValueError("gap is too long for min_bytes: no whole phrase would be certain")
-    numbered = id_and_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
+    numbered = materialize(id_and_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "numbered")
 
     def digest(batch: list[bytes]) -> dict[str, list]:
         return {"size": [len(t) for t in batch], "digest": [xxhash.xxh3_128_digest(t) for t in batch]}

@@ -61,10 +61,12 @@ def test_odd_sketch_classes(spark):
     assert len(set(label)) < 0.6 * len(label)
 
 
-def test_odd_sketch_keys_in_chunks(spark, monkeypatch):
+@pytest.mark.parametrize("cluster", [2, 1024])
+def test_odd_sketch_keys_in_chunks(spark, monkeypatch, cluster):
     """Keys whose members no leader brings together are searched whole, also where they exceed a chunk."""
     monkeypatch.setattr(odd_sketch, "SKETCH_CHUNK", 8)
     monkeypatch.setattr(odd_sketch, "SET_CHUNK", 4)
+    monkeypatch.setattr(odd_sketch, "CLUSTER", cluster)
     words = [f"w{k}" for k in range(160)]
     same_as_all_pairs(spark, [(i, " ".join(edited(words, 3))) for i in range(70)] + [(100 + i, " ".join(edited(words, 1))) for i in range(4)])
 

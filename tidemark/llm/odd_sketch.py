@@ -3,15 +3,16 @@
 1. A pass over the texts gives each document the number of its shingle set, BANDS x ROWS MinHash samples folded into
    BANDS keys, and an odd sketch: sample i with value v flips the bit at hash(i, v) of a bitmap. Equal sets collapse to one
    node, so thousands of copies are one row from there on.
-2. Candidates are nodes with a common band key. Samples on which two sets differ flip at most two bits each, so the
-   population count of the XOR of two sketches is at most twice their number; a pair beyond ``popcount_bound`` is
-   discarded, and only pairs that pass are compared on whole sets. A pair at 85 % has no key in common with probability
-   (1 - 0.85 ** 4) ** 32 < 1e-10, and differs in more samples than the bound allows with probability < 1e-8.
+2. Candidates are nodes with a common band key. Samples on which two sets differ flip two bits each, so the population
+   count of the XOR of two sketches estimates the similarity; a pair beyond ``popcount_bound`` is discarded, and only pairs
+   that pass are compared on whole sets. A pair at 85 % has no key in common with probability (1 - 0.85 ** 4) ** 32 < 1e-10,
+   and exceeds the bound with probability < 1e-8.
 3. Every member of a key meets the key's leader (another one per key), in as many pairs as there are members. What is
    confirmed on whole sets settles a cluster; components of these links are the classes so far.
-4. Keys whose members are in several classes are searched by sketches alone: members of different classes that pass the
-   bound are marked. Only marked members are fetched with whole sets and compared, two of the same class never.
-   Members of a key's largest class meet the others only, in chunks, so one large class with few others costs its size.
+4. Keys whose members are in several classes are searched by sketches alone, which proposes links between members of
+   different classes. Only nodes met there are fetched with whole sets and compared, two of the same class never: all that
+   proposals connect in one place. Members of a place's largest class meet the others only, in chunks, so one large class
+   with few others costs its size.
 5. Connected components over all confirmed links.
 
 Edge cases: null texts and texts without words have an empty set and are linked with nothing (they are their own
@@ -21,6 +22,8 @@ row without id is a component's id only where no id is known, and is kept there;
 names; an empty table gives an empty result.
 """
 from collections.abc import Iterator
+from functools import cache
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +44,8 @@ SKETCH_BITS = 512
 SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 #: Members of a key that meet in one task: by sketches, and with whole sets.
 SKETCH_CHUNK, SET_CHUNK = 4096, 256
+#: Nodes connected by proposals beyond which they are compared key by key.
+CLUSTER = 1024
 _BLOCK = 1 << 11
 
 
@@ -76,11 +81,20 @@ def estimate(flipped: int) -> float:
     return 1 + SKETCH_BITS / (4 * SAMPLES) * np.log(1 - share)
 
 
-def popcount_bound(percent: int) -> int:
-    """Twice the number of differing samples that a pair at ``percent`` exceeds in less than one of 1e8 cases (seven
-    standard deviations above the mean)."""
-    apart = 1 - percent / 100
-    return min(SKETCH_BITS, 2 * int(SAMPLES * apart + 7 * np.sqrt(SAMPLES * apart * (1 - apart)) + 1))
+@cache
+def popcount_bound(percent: int, loss: float = 1e-8) -> int:
+    """The least XOR population count that a pair at ``percent`` exceeds with a probability below ``loss``. Its samples differ
+    independently, each difference flips two places; the number of odd places is followed flip by flip."""
+    apart, places = 1 - percent / 100, np.arange(SKETCH_BITS + 1)
+    odd, total = np.zeros(SKETCH_BITS + 1), np.zeros(SKETCH_BITS + 1)
+    odd[0] = 1
+    for differing in range(SAMPLES + 1):
+        for _ in range(2 if differing else 0):
+            up, down = odd * (SKETCH_BITS - places) / SKETCH_BITS, odd * places / SKETCH_BITS
+            odd = np.r_[0, up[:-1]] + np.r_[down[1:], 0]
+        total += comb(SAMPLES, differing) * apart ** differing * (1 - apart) ** (SAMPLES - differing) * odd
+    beyond = np.r_[np.cumsum(total[::-1])[::-1][1:], 0]
+    return int(np.argmax(beyond < loss))
 
 
 def _marks(width: int):
@@ -112,18 +126,25 @@ def _keyed(nodes: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(node, shingles), stored, of the nodes in ``wanted``: one document of each is read again."""
+    """(node, shingles), stored, of the nodes in ``wanted``: one document of each is read again. Where rows repeat a
+    document, a node comes once per task at most; its repeats change no answer."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            texts = byte_list(batch.column(1))
-            for at in range(0, len(texts), 256):
-                sets = [np.unique(shingle_hashes(t, width)).tobytes() for t in texts[at:at + 256]]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 256), pa.array(sets, pa.binary())], names=["node", "shingles"])
+            texts, found = batch.column(1).cast(pa.binary()), {}
+            for at, node in enumerate(batch.column(0).to_pylist()):
+                if node not in seen:
+                    seen.add(node)
+                    found[node] = np.unique(shingle_hashes(texts[at].as_py() or b"", width)).tobytes()
+                if len(found) >= 256:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["node", "shingles"])
+                    found = {}
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["node", "shingles"])
 
     rows = materialize(nodes.join(wanted, "node", "left_semi").select("node", "sample.mark", F.col("sample.doc_id").alias("sample_id")), "odd_samples")
     rows = checked(rows)
     texts = docs.join(rows, (docs["mark"] == rows["mark"]) & docs["doc_id"].eqNullSafe(rows["sample_id"])).select("node", "text")
-    return materialize(texts.mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"]), "odd_sets")
+    return materialize(texts.mapInArrow(run, "node long, shingles binary"), "odd_sets")
 
 
 def _reaches(one: int, two: int, both: int, percent: int) -> bool:
@@ -172,27 +193,41 @@ def _possible(at: int, others: np.ndarray, size: np.ndarray, sketch: np.ndarray,
     return others[np.bitwise_count(sketch[others] ^ sketch[at]).sum(axis=1) <= bound]
 
 
-def _marked(percent: int, bound: int):
-    """(key, node) of members that could be linked with a member of another class, by their sketches."""
+def _proposed(percent: int, bound: int):
+    """(key, left, right): members of different classes that could be linked by their sketches, as a spanning forest of each
+    meeting's possible links."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, ["key", "one", "two"]):
             key, node, root, own, size = (rows.column(c).to_numpy() for c in ("key", "node", "root", "own", "n_shingles"))
             sketch = np.stack([rows.column(c).to_numpy() for c in SKETCH], axis=1).view(np.uint64)
-            hit = np.zeros(len(key), bool)
+            left, right = [], []
             for a, b in _meetings(rows):
-                crossing = own[a] != own[b - 1]
+                crossing, label = own[a] != own[b - 1], np.arange(a, b)
                 for at in range(a, b - 1):
-                    others = at + 1 + np.flatnonzero(root[at + 1:b] != root[at])
+                    others = at + 1 + np.flatnonzero((root[at + 1:b] != root[at]) & (label[at + 1 - a:] != label[at - a]))
                     if crossing:
                         others = others[own[others] != own[at]]
                     others = _possible(at, others, size, sketch, percent, bound)
-                    if len(others):
-                        hit[at] = True
-                        hit[others] = True
-            yield pa.RecordBatch.from_arrays([pa.array(key[hit]), pa.array(node[hit])], names=["key", "node"])
+                    for j in others[np.unique(label[others - a], return_index=True)[1]].tolist():
+                        left.append(at)
+                        right.append(j)
+                        label[label == label[j - a]] = label[at - a]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (key[left], node[left], node[right])], names=["key", "left", "right"])
     return run
 
 
+def _meeting_places(members: DataFrame, proposed: DataFrame) -> DataFrame:
+    """(key, node, root) of the members to compare on whole sets. What the proposals connect over all keys meets in one place,
+    so a set travels once however many keys its node has; connected groups beyond CLUSTER nodes meet under each key."""
+    ends = proposed.select("key", F.col("left").alias("node")).unionByName(proposed.select("key", F.col("right").alias("node"))).distinct()
+    clusters = materialize(components(proposed, "left", "right").select("node", F.col("root").alias("cluster")), "odd_clusters")
+    large = clusters.groupBy("cluster").agg(F.count("*").alias("n")).where(F.col("n") > CLUSTER).select("cluster", F.lit(True).alias("large"))
+    placed = ends.join(checked(clusters), "node").join(checked(materialize(large, "odd_large")), "cluster", "left")
+    place = F.when(F.col("large"), F.col("key")).otherwise(F.xxhash64("cluster"))
+    roots = members.select("node", "root").distinct()
+    return materialize(placed.select(place.alias("key"), "node").distinct().join(roots, "node").select("key", "node", "root"), "odd_open")
+
+
 def _searched(percent: int, bound: int):
     """Confirmed links between members of different classes; classes merge as links are found, so a cluster yields a
     spanning forest."""
@@ -255,10 +290,10 @@ def near_classes(docs: DataFrame, nodes: DataFrame, width: int, percent: int) ->
     several = materialize(several.groupBy("n", "members").agg(F.min("key").alias("key")).select("key"), "odd_open_keys")
     members = materialize(classed.join(checked(several), "key"), "odd_members")
     rows = _chunked(members, SKETCH_CHUNK).join(light, "node")
-    marked = materialize(_same_meeting(rows).mapInArrow(_marked(percent, bound), "key long, node long").distinct(), "odd_marked")
-    open_rows = _chunked(materialize(members.join(marked, ["key", "node"], "left_semi"), "odd_open"), SET_CHUNK)
-    sets = _sets(docs, nodes, marked.select("node").distinct(), width)
-    rows = open_rows.join(light, "node").join(sets, "node")
+    proposed = materialize(_same_meeting(rows).mapInArrow(_proposed(percent, bound), "key long, left long, right long"), "odd_proposed")
+    places = _meeting_places(members, proposed)
+    sets = _sets(docs, nodes, places.select("node").distinct(), width)
+    rows = _chunked(places, SET_CHUNK).join(light, "node").join(sets, "node")
     more = _same_meeting(rows).mapInArrow(_searched(percent, bound), "left long, right long")
     return _with_roots(nodes, materialize(links.unionByName(more), "odd_all_links"))
 

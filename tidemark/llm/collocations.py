@@ -36,7 +36,7 @@ MIN_COUNT = 100
 SHARDS = 4
 TOP = 2000
 UNKNOWN = "und"
-#: Each of the two bitmaps has 2 ** FILTER_POWER bits: 8 MB.
+#: Each of the two bitmaps has 64 bits per phrase reached, at most 2 ** FILTER_POWER bits: 8 MB.
 FILTER_POWER = 26
 #: Words that are counted at once in a task, and counts that it holds before it sends them.
 PORTION, HELD = 1 << 19, 1 << 19
@@ -200,7 +200,7 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
             rows, live = parts.agg(F.count("*"), F.count_if(recent)).first()
             if round_ >= shards and not live:
                 break
-            maps = [spark.sparkContext.broadcast(m) for m in _bitmaps(parts, recent, filter_power)]
+            maps = [spark.sparkContext.broadcast(m) for m in _bitmaps(parts, recent, min(filter_power, max(6, (64 * rows).bit_length())))]
         shard = stored.where(F.col("shard") == round_ % shards).select("lang", "text")
         new = shard.mapInArrow(_lazy_scan(longest, portion, round_ < shards, maps), _COUNTS).groupBy(*names).agg(F.sum("c").alias("c"))
         if state is None:
@@ -213,7 +213,7 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
         over = F.col("reach").isNull() & (F.col("len") > 0) & (F.col("begin") + shards - 1 <= round_)
         state = materialize(summed.where(~over), "phrase_state")
         for m in maps:
-            m.unpersist()
+            m.destroy()
         round_ += 1
     phrases = state.where("reach is not null").select(*names, "c")
     return phrases, state.where("len = 0").select("lang", F.col("c").alias("n"))

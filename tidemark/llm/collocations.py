@@ -202,7 +202,8 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
                 break
             maps = [spark.sparkContext.broadcast(m) for m in _bitmaps(parts, recent, min(filter_power, max(6, (64 * rows).bit_length())))]
         shard = stored.where(F.col("shard") == round_ % shards).select("lang", "text")
-        new = shard.mapInArrow(_lazy_scan(longest, portion, round_ < shards, maps), _COUNTS).groupBy(*names).agg(F.sum("c").alias("c"))
+        # counts of a task's portions go on as they are: they meet the state in one aggregation and one shuffle
+        new = shard.mapInArrow(_lazy_scan(longest, portion, round_ < shards, maps), _COUNTS)
         if state is None:
             new = new.withColumn("begin", F.lit(0)).withColumn("reach", F.lit(None).cast("int"))
         else:

@@ -1,5 +1,6 @@
 """Pruning by year, mixed headers, number spellings, and columns that merges have to carry."""
 import datetime as dt
+import gzip
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from tidemark.functions.calendar import parse_sec_date
 from tidemark.functions.numeric import parse_number
 from tidemark.operators import merge, quality, rollups, signals
 from tidemark.plans import fixtures
-from tidemark.sources import bulk, shards
+from tidemark.sources import bulk, headers, prices, shards
 from tidemark.streaming import jobs, table
 
 from conftest import SMALL
@@ -40,6 +41,31 @@ def test_files_with_different_headers_below_one_folder(spark, tmp_path):
     assert sorted((r.ACCESSION_NUMBER, r.FILING_DATE) for r in rows) == [("A1", "15-AUG-2025"), ("A2", "16-AUG-2025")]
 
 
+def test_shards_and_bars_read_by_their_own_header(spark, tmp_path):
+    """Two shards (one of them packed) and two bar files whose columns come in another order, or are missing."""
+    (tmp_path / "y1.csv").write_text("acc,fd,sh,px,co\nA1,2024-01-02,10,2.5,One\n")
+    (tmp_path / "y2.csv.gz").write_bytes(gzip.compress(b"px,co,acc,fd\n3.5,Two,A2,2024-01-03\n"))
+    got = {r.acc: (str(r.fd), r.sh, r.px, r.co) for r in shards.read_trade_shards(spark, str(tmp_path)).collect()}
+    assert got == {"A1": ("2024-01-02", 10.0, 2.5, "One"), "A2": ("2024-01-03", None, 3.5, "Two")}
+    bars = tmp_path / "bars"
+    bars.mkdir()
+    (bars / "one.us.csv").write_text("Date,Open,High,Low,Close,Volume\n2024-01-02,1,3,1,2,10\n")
+    (bars / "two.us.csv").write_text("Date,Close,Open,Low,High,Volume\n2024-01-02,5,4,4,6,20\n")
+    assert sorted((r.o, r.c) for r in prices.read_bars_stooq_csv(spark, str(bars)).collect()) == [(1.0, 2.0), (4.0, 5.0)]
+
+
+def test_first_lines_need_no_job(spark, tmp_path):
+    paths = []
+    for i in range(40):
+        (tmp_path / f"f {i}.txt").write_text(f"header {i}\nrow")
+        paths.append(str(tmp_path / f"f {i}.txt"))
+    (tmp_path / "empty.txt").write_text("")
+    jobs_before = len(spark.sparkContext.statusTracker().getJobIdsForGroup())
+    lines = headers.first_lines(spark, [*paths, str(tmp_path / "empty.txt")])
+    assert [lines[p] for p in paths] == [f"header {i}" for i in range(40)] and lines[str(tmp_path / "empty.txt")] == ""
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) == jobs_before
+
+
 def test_number_and_date_spellings(spark):
     texts = ["1d", "5F", "0x1p3", "1e3", "-.5", "+7.", "$1,234.50", "NaN", "Infinity", "", "1 2", "n/a", None]
     got = [r.n for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(parse_number(F.col("t")).alias("n")).collect()]

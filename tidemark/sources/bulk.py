@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import RAW_TABLES, with_missing
+from .headers import file_paths, read_by_header
 
 _ALL_COLUMNS = list(dict.fromkeys(f.name for schema in RAW_TABLES.values() for f in schema.fields))
 _UNZIPPED = StructType([StructField("member", StringType())]
@@ -16,16 +17,10 @@ _UNZIPPED = StructType([StructField("member", StringType())]
 def _member(spark, folder, name):
     """One member of one quarter, columns by its own header; an absent member is an empty table."""
     # a file of that name in any case, or the part files of a folder of that name
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
-             .where(F.col("path").rlike(rf"(?i)/{name}\.tsv(/[^/]+)?$")))
-    by_header: dict[str, list[str]] = {}
-    for r in files.collect():                              # file names and header lines, a few per quarter
-        header = spark.read.text(r.path).first()
-        by_header.setdefault(header.value.rstrip() if header else "", []).append(r.path)
-    if not by_header:
+    paths = file_paths(spark, folder, rf"(?i)/{name}\.tsv(/[^/]+)?$")
+    if not paths:
         return spark.createDataFrame([], RAW_TABLES[name]).withColumn("line_no", F.lit(0).cast("long"))
-    parts = [with_missing(spark.read.csv(paths, sep="\t", header=True, inferSchema=False, encoding="UTF-8", escape='"'), RAW_TABLES[name])
-             for _, paths in sorted(by_header.items())]
+    parts = [with_missing(part, RAW_TABLES[name]) for part in read_by_header(spark, paths, sep="\t", encoding="UTF-8", escape='"')]
     return reduce(DataFrame.unionByName, parts).withColumn("line_no", F.monotonically_increasing_id())
 
 

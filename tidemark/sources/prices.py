@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..fixed_values import PRICE_SOURCES
 from ..functions.numeric import parse_number, r4, r6
 from ..schemas import BARS, with_missing
+from .headers import union_by_header
 
 CHART = """chart STRUCT<result: ARRAY<STRUCT<
   meta: STRUCT<symbol: STRING, gmtoffset: BIGINT>,
@@ -109,7 +110,9 @@ def bars_from_csv_rows(raw: DataFrame, policy: str = "repair") -> DataFrame:
 
 
 def read_bars_stooq_csv(spark: SparkSession, path: str, policy: str = "repair") -> DataFrame:
-    raw = spark.read.csv(path, header=True, inferSchema=False)
+    raw = union_by_header(spark, path)
+    if raw is None:
+        raise ValueError(f"no files at {path}")
     return bars_from_csv_rows(raw.withColumn("file", F.input_file_name()), policy)
 
 

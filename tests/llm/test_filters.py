@@ -92,6 +92,18 @@ def test_url_filter(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+def test_url_aliases_spelled_differently(spark):
+    """Case of scheme and host, dot segments, query-only and fragment-only links: all reach the page that is meant."""
+    pages = [page(1, "http://bad.net/a", canonical="HTTP://Example.ORG/p"), page(2, "http://example.org/p"), page(3, "http://worse.net/", canonical="http://b.org/q/../p"),
+             page(4, "http://b.org/p"), page(5, "http://c.org/list/all?page=2", canonical="?page=1"), page(6, "http://c.org/list/all?page=1"), page(7, "http://c.org/list/?page=1"),
+             page(8, "http://c.org/list/all?page=2", refresh="http://x.net/"), page(9, "http://d.org/x/y/z", canonical="./../w"), page(10, "http://D.org/x/w"), page(11, "http://d.org/x/y/z", refresh="//y.net"),
+             page(12, "http://e.org/k", canonical="#top"), page(13, "http://e.org/k?u=http://x.net/"), page(14, "http://Y.net"), page(15, "http://f.org/../g", canonical="http://z.net"), page(16, "http://f.org/g#part")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in url_filter.url_filter(df).collect()}
+    blocked = {1, 2, 3, 4, 5, 6, 8, 9, 10, 11, 14, 15, 16}
+    assert got == {i: "block" if i in blocked else "allow" for i in range(1, 17)}
+
+
 def test_language_of_held_out_documents(spark):
     labels = dict(duckdb.sql("SELECT doc_id, lang FROM '/root/testdata/sf0.01/documents.parquet'").fetchall())
     got = queries.QUERIES["op7_language_id"](spark, "/root/testdata/sf0.01").collect()

@@ -5,9 +5,11 @@ prefix of its path, the longest wins. URLs tied by redirects (meta refresh), can
 extra links are aliases of one another: their classes are connected components, and a class with a blocked
 member blocks its members that no rule fits. A page with its own allow rule stays allowed.
 
-Edge cases: a null url or one without ``://`` has empty host and path, no rule, and is allowed; equal urls
-are one node; a fragment does not make another resource; of two rules of equal length on one url the
-allowing one wins; an empty table gives an empty result.
+Edge cases: a null url or one without ``://`` has empty host and path, no rule, and is allowed; urls that differ only in the
+case of scheme and host, in dot segments, in a missing root path or in their fragment are one node; links are resolved
+against their page (folder, root, host, query-only, fragment-only); of two rules of equal length on one url the
+allowing one wins; very long pages are searched whole; repeated rows are one node and each gets its verdict; extra
+columns are ignored whatever their names; an empty table gives an empty result.
 """
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,9 +55,20 @@ def own_rule(urls: DataFrame, rules: DataFrame) -> DataFrame:
     return parts.join(fits, "url", "left").select("url", "host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("rule_verdict"))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path that starts with a slash, its ``.`` and ``..`` segments resolved."""
+    steps = F.slice(F.split(path, "/"), 2, F.greatest(F.size(F.split(path, "/")) - 1, F.lit(1)))
+    walked = F.aggregate(steps, F.expr("cast(array() AS array<string>)"), lambda so_far, step: F.when(step == ".", so_far)
+                         .when(step == "..", F.slice(so_far, 1, F.greatest(F.size(so_far) - 1, F.lit(0)))).otherwise(F.concat(so_far, F.array(step))))
+    ends = F.when(F.element_at(steps, -1).isin(".", ".."), F.concat(walked, F.array(F.lit("")))).otherwise(walked)
+    return F.when(F.contains(path, F.lit("/.")), F.concat(F.lit("/"), F.array_join(ends, "/"))).otherwise(path)
+
+
 def resource(url: Column) -> Column:
-    """The url without its fragment."""
-    return F.regexp_replace(url, r"(?s)#.*$", "")
+    """The url as a node: scheme and host in lower case, dots resolved, no fragment. One without ``://`` only loses its fragment."""
+    path = F.when(path_of(url) == "", F.lit("/")).otherwise(path_of(url))
+    whole = F.concat(F.translate(F.regexp_extract(url, _URL, 1), UPPER, LOWER), F.lit("://"), host_of(url), _without_dots(path), F.regexp_extract(url, r"^[^?#]*(\?[^#]*)", 1))
+    return F.when(F.contains(url, F.lit("://")), whole).otherwise(F.regexp_replace(url, r"(?s)#.*$", ""))
 
 
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -66,8 +79,9 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     scheme = F.regexp_extract(base, _URL, 1)
     root = F.concat(scheme, F.lit("://"), F.regexp_extract(base, _URL, 2))
     folder = F.concat(root, F.regexp_extract(F.concat(path_of(base), F.when(path_of(base) == "", "/").otherwise("")), r"(?s)^(.*/)", 1))
-    absolute = (F.when(F.contains(link, F.lit("://")), link).when(F.startswith(link, F.lit("//")), F.concat(scheme, F.lit(":"), link))
-                .when(F.startswith(link, F.lit("/")), F.concat(root, link)).otherwise(F.concat(folder, link)))
+    absolute = (F.when(F.rlike(link, F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*://")), link).when(F.startswith(link, F.lit("//")), F.concat(scheme, F.lit(":"), link))
+                .when(F.startswith(link, F.lit("/")), F.concat(root, link)).when(F.startswith(link, F.lit("?")), F.concat(root, path_of(base), link))
+                .when(F.startswith(link, F.lit("#")), base).otherwise(F.concat(folder, link)))
     return (pages.where(F.col(html_col).isNotNull() & F.contains(base, F.lit("://")))
             .select(base, F.explode(found).alias("link")).where("link <> ''").select(resource(base).alias("url"), resource(absolute).alias("target"))
             .where("url <> target"))

@@ -39,6 +39,41 @@ def view_sort_page(df: DataFrame, key: str, *, descending: bool = True, numeric:
     return df.orderBy(order, *tie).offset(page * size).limit(size)
 
 
+def _beyond(column, value, *, descending: bool = False, nulls_last: bool = False):
+    """Rows that stand after ``value`` in the order of ``column``."""
+    if value is None:
+        return F.lit(False) if nulls_last else column.isNotNull()
+    past = column < F.lit(value) if descending else column > F.lit(value)
+    return past | column.isNull() if nulls_last else past
+
+
+def seek_position(row, key: str, *, numeric: bool = False, tie=()) -> tuple:
+    """The continuation key of a page: sort value and ties of its last row."""
+    value = row[key] if numeric or row[key] is None else str(row[key]).lower() or None
+    return (value, *[row[t] for t in tie])
+
+
+def view_seek_page(df: DataFrame, key: str, after: tuple | None = None, *, descending: bool = True, numeric: bool = False,
+                   size: int = 50, tie=()) -> DataFrame:
+    """The page behind the row whose ``seek_position`` is ``after`` (None: the first page), in the order of ``view_sort_page``.
+
+    What precedes the page is filtered away, by the scan where it can, and a task keeps ``size`` rows whatever the depth. ``tie`` has to make
+    rows distinct: of rows equal in key and ties, those beyond a page's end are stepped over. Missing ties stand first."""
+    c = F.col(key) if numeric else F.nullif(F.lower(F.col(key).cast("string")), F.lit(""))
+    if after is not None:
+        value, *rest = after
+        if len(rest) != len(tie):
+            raise ValueError(f"a continuation key of 1 + {len(tie)} values is needed")
+        beyond = F.lit(False)
+        for name, at in reversed(list(zip(tie, rest))):
+            column = F.col(name)
+            beyond = _beyond(column, at) | (column.eqNullSafe(F.lit(at)) & beyond)
+        beyond = _beyond(c, value, descending=descending, nulls_last=True) | (c.eqNullSafe(F.lit(value)) & beyond)
+        df = df.where(beyond)
+    order = c.desc_nulls_last() if descending else c.asc_nulls_last()
+    return df.orderBy(order, *tie).limit(size)
+
+
 def rank_rows(df: DataFrame, group, levels, tie, targets: DataFrame) -> DataFrame:
     """Rows of ``df`` standing at given 0-based ranks inside their group, without ranking whole groups.
 

@@ -1,9 +1,11 @@
 """Named queries over the test tables: one entry per operator."""
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as fv
 from ..functions import calendar as cal, labels as lb, links as lk, numeric as nm
-from ..operators import (asof, assemble, flags, holdings as hd, merge, positions as ps, quality as ql, rollups as ru,
+from ..operators import (asof, assemble, flags, holdings as hd, intervals as iv, merge, positions as ps, quality as ql, rollups as ru,
                          signals as sg, splits as sp, stats as st, verify as vf, views as vw)
 from ..session import scratch_folder
 from ..schemas import RAW_TABLES
@@ -539,6 +541,26 @@ def next_session_entry(s, d):
     return _day(e.select("acc", "pos", "entry_d", "entry_px", "entry_i"), "entry_d")
 
 
+def _reused_tickers(s, d):
+    """Filings whose ticker went to another issuer on a day that differs by ticker, with a gap of nine days; some file later."""
+    t = fx.trades(s, d).where("tk <> '' AND CAST(icik AS int) % 3 <> 0")
+    cut = F.date_add(F.lit("1994-01-01").cast("date"), (F.col("icik").cast("int") * 37) % 1500)
+    earlier = (F.col("fd") <= cut) | (F.col("pos") % 7 == 0)
+    validity = t.select("tk", "icik", cut.alias("cut")).distinct()
+    old = validity.select("tk", F.concat(F.lit("A"), "icik").alias("icik"), F.lit(None).cast("date").alias("from_d"), F.col("cut").alias("to_d"))
+    new = validity.select("tk", F.concat(F.lit("B"), "icik").alias("icik"), F.date_add("cut", 10).alias("from_d"), F.lit(None).cast("date").alias("to_d"))
+    every = fx.trades(s, d).select("acc", "pos", "tk", "fd", F.when((F.col("tk") == "") | (F.col("icik").cast("int") % 3 == 0), F.col("icik"))
+                                   .otherwise(F.concat(F.when(earlier, F.lit("A")).otherwise(F.lit("B")), "icik")).alias("icik"))
+    return every, old.unionByName(new)
+
+
+@query
+def entries_per_issuer(s, d):
+    left, validity = _reused_tickers(s, d)
+    e = iv.per_issuer(asof.next_session_entry, left, fx.bars(s, d), validity)
+    return _day(e.select("acc", "pos", "tk", "icik", "entry_d", "entry_px", "entry_i"), "entry_d")
+
+
 @query
 def close_on_or_before(s, d):
     e = asof.close_on_or_before(fx.trades(s, d).select("acc", "pos", "tk", "td"), fx.bars(s, d), "td")
@@ -1012,6 +1034,18 @@ def view_sort_page(s, d):
     return a.unionByName(b).select("view", "acc", "pos")
 
 
+@query
+def view_seek_page(s, d):
+    """The second pages of two views, each behind the last row of the page before."""
+    t, out = fx.trades(s, d).select("acc", "pos", "val", "nature"), []
+    for view, key, how in (("value", "val", {"numeric": True}), ("nature", "nature", {"descending": False})):
+        first = vw.view_seek_page(t, key, tie=("acc", "pos"), **how).collect()
+        if first:
+            after = vw.seek_position(first[-1], key, numeric=how.get("numeric", False), tie=("acc", "pos"))
+            out.append(vw.view_seek_page(t, key, after, tie=("acc", "pos"), **how).withColumn("view", F.lit(view)))
+    return reduce(DataFrame.unionByName, out or [t.limit(0).withColumn("view", F.lit(""))]).select("view", "acc", "pos")
+
+
 @query
 def sample_rows(s, d):
     return vw.sample_rows(fx.trades(s, d)).select("m", "pick", "t", "acc", "pos", "val")

@@ -320,6 +320,13 @@ add("view_filter", """SELECT 'trades' AS view, acc || ':' || pos AS key FROM tra
 # ------------------------------------------------------------------ 2.4
 add("next_session_entry", """SELECT t.acc, t.pos, CAST(b.d AS VARCHAR) AS entry_d, b.o AS entry_px, b.i AS entry_i
   FROM trades t ASOF LEFT JOIN (SELECT *, CAST(row_number() OVER (PARTITION BY tk ORDER BY d) - 1 AS INT) AS i FROM bars) b ON t.tk = b.tk AND t.fd < b.d""")
+add("entries_per_issuer", """SELECT t.acc, t.pos, t.tk, t.issuer AS icik, CAST(b.d AS VARCHAR) AS entry_d, b.o AS entry_px, b.i AS entry_i
+  FROM (SELECT *, CASE WHEN tk = '' OR CAST(icik AS INT) % 3 = 0 THEN icik WHEN fd <= DATE '1994-01-01' + (CAST(icik AS INT) * 37) % 1500 OR pos % 7 = 0 THEN 'A' || icik ELSE 'B' || icik END AS issuer,
+      CASE WHEN tk = '' OR CAST(icik AS INT) % 3 = 0 THEN '' ELSE issuer END AS series FROM trades) t
+  ASOF LEFT JOIN (SELECT *, CAST(row_number() OVER (PARTITION BY tk, series ORDER BY d) - 1 AS INT) AS i FROM (
+      SELECT b.*, CASE WHEN v.icik IS NULL THEN '' WHEN d <= v.cut THEN 'A' || v.icik WHEN d >= v.cut + 10 THEN 'B' || v.icik END AS series
+      FROM bars b LEFT JOIN (SELECT DISTINCT tk, icik, DATE '1994-01-01' + (CAST(icik AS INT) * 37) % 1500 AS cut FROM trades WHERE tk <> '' AND CAST(icik AS INT) % 3 <> 0) v ON b.tk = v.tk)
+      WHERE series IS NOT NULL) b ON t.tk = b.tk AND t.series = b.series AND t.fd < b.d""")
 add("close_on_or_before", "SELECT t.acc, t.pos, CAST(b.d AS VARCHAR) AS close_d, b.c AS close_px FROM trades t ASOF LEFT JOIN bars b ON t.tk = b.tk AND t.td >= b.d")
 add("latest_mark", f"SELECT tk, {iso('mark_d')}, mark_px FROM marks")
 add("horizon_close", """SELECT t.id, n, CAST(h.d AS VARCHAR) AS horizon_d, h.c AS horizon_px FROM (SELECT l.*, x.n FROM live l, (VALUES (0), (21)) x(n)) t
@@ -492,6 +499,8 @@ add("best_worst_positions", f"""SELECT * FROM (SELECT 'best' AS side, id, roi, p
   UNION ALL SELECT * FROM (SELECT 'worst', id, roi, pnl FROM {_CLEAN} ORDER BY roi, id LIMIT 25)""")
 add("view_sort_page", """SELECT * FROM (SELECT 'value' AS view, acc, pos FROM trades ORDER BY val DESC NULLS LAST, acc, pos LIMIT 50 OFFSET 150)
   UNION ALL SELECT * FROM (SELECT 'nature', acc, pos FROM trades ORDER BY nullif(lower(nature), '') ASC NULLS LAST, acc, pos LIMIT 50 OFFSET 50)""")
+add("view_seek_page", """SELECT * FROM (SELECT 'value' AS view, acc, pos FROM trades ORDER BY val DESC NULLS LAST, acc, pos LIMIT 50 OFFSET 50)
+  UNION ALL SELECT * FROM (SELECT 'nature', acc, pos FROM trades ORDER BY nullif(lower(nature), '') ASC NULLS LAST, acc, pos LIMIT 50 OFFSET 50)""")
 add("sample_rows", """SELECT m, pick, t, acc, pos, val FROM (SELECT *, strftime(fd, '%Y-%m') AS m, row_number() OVER (PARTITION BY strftime(fd, '%Y-%m') ORDER BY coalesce(val, 0) DESC, fd, tk, acc, pos, td) - 1 AS t,
     count(*) OVER (PARTITION BY strftime(fd, '%Y-%m')) AS n FROM trades) r, (VALUES ('top'), ('stride')) p(pick)
   WHERE (pick = 'top' AND t < 2) OR (pick = 'stride' AND t IN (0, greatest(1, n // 25), 2 * greatest(1, n // 25)))""")

@@ -109,6 +109,47 @@ def read_bulk_tables(s, d):
     return _day(t.select("acc", "der", "fd", "td", "form", "amend", "icik", "co", "tk", "insider", "own_n", "rel", "code", "side", "sec", "sh", "px", "val", "af"), "fd", "td")
 
 
+def _write_archives(s, d, path):
+    """The four tables as zipped quarters: whole filings are dealt to archives of some thousand filings each, one task packs one
+    archive. The folder has to be one that tasks can open, as the shared scratch folder of these tables is."""
+    n = max(4, fx.table(s, d, "orders").count() // 4000)
+    place = path.removeprefix("file://").removeprefix("file:")
+
+    def pack(lines):
+        import io
+        import os
+        import zipfile
+        blob = io.BytesIO()
+        with zipfile.ZipFile(blob, "w", zipfile.ZIP_DEFLATED) as z:
+            for name, part in lines.groupby("member"):
+                head = part["head"].iloc[0]
+                z.writestr(f"{name}.tsv", "\n".join([head, *part.sort_values("line_no")["line"]]) + "\n")
+        number = lines["archive"].iloc[0]
+        os.makedirs(place, exist_ok=True)
+        half = f"{place}/{number}.zip.{os.getpid()}"
+        with open(half, "wb") as f:
+            f.write(blob.getvalue())
+        os.replace(half, f"{place}/{number}.zip")          # an attempt that is repeated replaces the whole file
+        return lines[["archive"]].head(1)
+
+    parts = []
+    for name, df in _raw_tables(s, d).items():
+        columns = [c for c in df.columns if c in {f.name for f in RAW_TABLES[name].fields}]
+        line = F.to_csv(F.struct(*columns), {"sep": "\t", "escape": '"', "nullValue": "", "emptyValue": ""})
+        parts.append(df.select(F.pmod(F.xxhash64("ACCESSION_NUMBER"), F.lit(n)).alias("archive"), F.lit(name).alias("member"),
+                               F.lit("\t".join(columns)).alias("head"), "line_no", line.alias("line")))
+    reduce(DataFrame.unionByName, parts).groupBy("archive").applyInPandas(pack, "archive long").write.format("noop").mode("overwrite").save()
+
+
+@query
+def read_bulk_archives(s, d):
+    """The four tables packed into archives and read by the public reader."""
+    path = scratch_folder(s, "zipped")
+    _write_archives(s, d, path)
+    t = assemble.assemble_trades(bulk.read_bulk_archives(s, path))
+    return _day(t.select("acc", "der", "fd", "td", "form", "amend", "icik", "co", "tk", "insider", "own_n", "rel", "code", "side", "sec", "sh", "px", "val", "af"), "fd", "td")
+
+
 @query
 def assemble_trades(s, d):
     t = assemble.assemble_trades(_raw_tables(s, d))

@@ -228,6 +228,7 @@ add("assemble_trades", f"""SELECT l.acc, {iso('od')[:-5]} AS fd, CAST(td AS VARC
   CASE WHEN kind = 'NO' THEN '2029-12-31' END AS exp, 'L' AS timely, pos
   FROM (SELECT *, CASE WHEN kind NOT IN ('NF', 'RO', 'NO') THEN {r2('l_discount + 3')} END AS px FROM raw_lines) l JOIN raw_owners o ON l.acc = o.acc WHERE o_orderstatus <> 'F'""")
 add("read_bulk_tables", "SELECT acc, der, fd, td, form, amend, icik, co, tk, insider, own_n, rel, code, side, sec, sh, px, val, af FROM (" + SQL["assemble_trades"] + ")")
+SQL["read_bulk_archives"] = SQL["read_bulk_tables"]         # the same rows by another way
 add("orphan_transactions", f"SELECT acc, pos, {iso('td')}, code FROM raw_lines WHERE o_orderstatus = 'F'")
 add("rollup_owners", "SELECT * FROM raw_owners")
 add("union_sources", f"SELECT CASE WHEN kind = 'NO' THEN 1 ELSE 0 END AS der, code, count(*) AS n, {total('sh')} AS shares FROM raw_lines GROUP BY 1, 2")

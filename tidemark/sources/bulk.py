@@ -4,9 +4,10 @@ from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..schemas import RAW_TABLES, with_missing
+from ..session import scratch_folder
 from .headers import file_paths, read_by_header
 
 _ALL_COLUMNS = list(dict.fromkeys(f.name for schema in RAW_TABLES.values() for f in schema.fields))
@@ -50,10 +51,14 @@ def _unzip(batches):
 
 
 def read_bulk_archives(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Zipped quarters: a zip cannot be split, so one archive is one task, streamed out in pieces."""
+    """Zipped quarters. A zip cannot be split, so one archive is one task, streamed out in pieces; each is unzipped once, when this
+    is called, into a stored table with a folder per member. The four tables read their own folder, split as Spark likes;
+    ``line_no`` follows the order of an archive's lines. No archive, or none with a member: an empty table."""
     archives = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]")
                 .option("recursiveFileLookup", "true").load(path).select("content"))
-    rows = archives.mapInPandas(_unzip, _UNZIPPED)
-    return {name: with_missing(rows.where(F.col("member") == name), schema)
-            .withColumn("line_no", F.monotonically_increasing_id())
+    folder = scratch_folder(spark, "archives")
+    rows = archives.mapInPandas(_unzip, _UNZIPPED).withColumn("line_no", F.monotonically_increasing_id())
+    rows.write.partitionBy("member").parquet(folder)
+    stored = spark.read.schema(rows.schema).parquet(folder)
+    return {name: with_missing(stored.where(F.col("member") == name), StructType([*schema.fields, StructField("line_no", LongType())]))
             for name, schema in RAW_TABLES.items()}

@@ -216,11 +216,12 @@ def test_decontamination(spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     docs = documents(spark, rows)
     got = decontaminate.contaminated(docs, bench, block_bytes=900).collect()
-    block = decontaminate.ItemBlock([(i, t.encode()) for i, t in items if t], decontaminate.BUDGET)
+    plain_items = [(i, " ".join(t.lower().split())) for i, t in items if t]
     want = []
     for i, t in rows:
         plain = decontaminate.normalise((t or "").encode())
-        for (name, item), edits in zip(block.items, block.edits):
+        for name, item in plain_items:
+            edits = len(item) // 20
             if item in plain or len(plain) < 2000 and best_edits(item, plain) <= edits:
                 want.append((i, name, best_edits(item, plain) if len(plain) < 2000 else 0))
     assert sorted(((r.doc_id, r.item_id, r.edits) for r in got), key=str) == sorted(want, key=str)
@@ -235,4 +236,23 @@ def test_decontamination(spark):
 def test_weak_regions_are_not_reported():
     block = decontaminate.ItemBlock([(1, b"abcdefghij klmnopqrst uvwxyz 0123456789 abcdefghij klmnopqrst")], 0.05)
     assert block.find("abcdefghij klmnopqrst uvwxyz and then something else altogether") == []
-    assert np.all(block.bound > 0)
+    assert all(np.all(part.bound > 0) for part in block.parts)
+
+
+@pytest.mark.parametrize("length", [8, 15, 16, 19, 20, 24, 31, 32, 39, 40, 47, 48, 59, 60, 63, 64, 79, 80, 99, 100, 200])
+def test_full_budget_at_every_length(length):
+    for _ in range(12):
+        item = "".join(RANDOM.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(length))
+        block = decontaminate.ItemBlock([(5, item.encode())], decontaminate.BUDGET)
+        for edits in range(length // 20 + 2):
+            text = list(item)
+            for at in RANDOM.sample(range(1, length - 1), edits):
+                text[at] = "#"
+            found = block.find("some words before it " + "".join(text) + " and some behind it")
+            assert [f[:1] + f[2:] for f in found] == ([(5, edits, 21, 21 + length)] if edits <= length // 20 else [])
+
+
+def test_too_short_items_match_nothing():
+    block = decontaminate.ItemBlock([(1, b"seven c"), (2, b""), (3, b"  EIGHT\n chr ")], decontaminate.BUDGET)
+    assert [f[0] for f in block.find("seven c and eight chr")] == [3]
+    assert block.find("") == [] and decontaminate.ItemBlock([], decontaminate.BUDGET).find("seven c") == []

@@ -6,12 +6,16 @@ diagonals (text position minus item position) within e of one another. Shared q-
 in overlapping bands of diagonals; a band that meets the bound is verified by banded alignment. So each
 occurrence within the edit budget is found.
 
+The bound is positive for q <= m / (e + 1): q is 16, or 8 for items of 20 to 79 characters whose budget asks for less than 16. Items of
+8 to 15 characters have a budget of no edit.
+
 The benchmark is the query set: it is read in blocks of at most ``BLOCK_BYTES`` of text, each block goes to
 every task, and a task holds one block and one Arrow batch of documents.
 
-Edge cases: a null or empty text holds no item; a null or empty item, and an item shorter than q (no q-gram
-to count), matches nothing; equal items are all reported; repeated rows are reported each; an empty table on
-either side gives an empty result.
+Edge cases: a null or empty text holds no item; a null or empty item, and an item of less than 8 characters (a common
+word says nothing about a benchmark), matches nothing; equal items are all reported; of an item's occurrences in a text the one
+with the fewest edits, then the first, is reported; repeated rows are reported each; texts are searched whole, however long; columns
+are kept whatever their names; an empty table on either side gives an empty result.
 """
 from collections.abc import Iterator
 
@@ -23,7 +27,8 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import byte_list, free_names, id_and_text, with_columns
 
-Q = 16
+#: Lengths of q-grams: the first that leaves an item a positive bound.
+Q = (16, 8)
 #: Edits allowed, as a share of the item's length.
 BUDGET = 0.05
 #: Text of one block of benchmark items.
@@ -39,15 +44,17 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
 
-def gram_codes(text: str) -> np.ndarray:
-    """A 64-bit code of each window of 16 characters. Characters are folded to a byte first; a rare clash of
+def gram_codes(text: str, q: int) -> np.ndarray:
+    """A 64-bit code of each window of ``q`` (16 or 8) characters. Characters are folded to a byte first; a rare clash of
     codes only makes one more region to verify."""
-    if len(text) < Q:
+    if len(text) < q:
         return np.zeros(0, np.uint64)
     points = _points(text)
     data = (points ^ (points >> np.uint32(8)) * np.uint32(37)).astype(np.uint8)
     eight = np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1)).copy().view(np.uint64)[:, 0]
-    mixed = eight[:-8] * np.uint64(0x9E3779B97F4A7C15) + (eight[8:] ^ (eight[8:] >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed = (eight[:-8] if q == 16 else eight) * np.uint64(0x9E3779B97F4A7C15)
+    if q == 16:
+        mixed += (eight[8:] ^ (eight[8:] >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
     return mixed ^ (mixed >> np.uint64(32))
 
 
@@ -83,16 +90,14 @@ def aligned(item: str, region: str, budget: int, low: int, high: int) -> tuple[i
     return (int(cost[best]), int(begin[best]), int(diagonals[best] + len(item))) if cost[best] <= budget else None
 
 
-class ItemBlock:
-    """The q-grams of a block of items, with what the counting needs."""
+class _Grams:
+    """The q-grams of items of one q, with what the counting needs."""
 
-    def __init__(self, items: list[tuple[int, bytes]], budget: float):
-        self.items = [(i, t) for i, t in ((i, normalise(t)) for i, t in items) if len(t) >= Q]
-        lengths = np.array([len(t) for _, t in self.items], np.int64)
-        # the lemma needs a positive bound, which limits the edits of short items
-        self.edits = np.minimum((lengths * budget).astype(np.int64), np.maximum(0, (lengths - Q) // Q))
-        self.bound = lengths - Q + 1 - Q * self.edits
-        codes = [gram_codes(t) for _, t in self.items] or [np.zeros(0, np.uint64)]
+    def __init__(self, items: list[tuple[int, str]], edits: list[int], q: int):
+        self.items, self.q = items, q
+        self.edits = np.array(edits, np.int64)
+        self.bound = np.array([len(t) for _, t in items], np.int64) - q + 1 - q * self.edits
+        codes = [gram_codes(t, q) for _, t in self.items] or [np.zeros(0, np.uint64)]
         item = np.repeat(np.arange(len(self.items)), [len(c) for c in codes][:len(self.items)])
         offset = np.concatenate([np.arange(len(c)) for c in codes])
         every = np.concatenate(codes)
@@ -103,9 +108,9 @@ class ItemBlock:
 
     def find(self, text: str) -> list[tuple[int, int, int, int, int]]:
         """(item id, shared q-grams, edits, start, end) for each item that the normalised text holds."""
-        if len(text) < Q or not len(self.codes):
+        if len(text) < self.q or not len(self.codes):
             return []
-        codes = gram_codes(text)
+        codes = gram_codes(text, self.q)
         at = np.flatnonzero(self.seen[(codes >> np.uint64(64 - _BITS)).astype(np.int64)])
         first = np.searchsorted(self.codes, codes[at], "left")
         number = np.searchsorted(self.codes, codes[at], "right") - first
@@ -140,6 +145,23 @@ class ItemBlock:
         return [found[i] for i in sorted(found)]
 
 
+class ItemBlock:
+    """A block of items, each among the q-grams of the first q that leaves it a positive bound."""
+
+    def __init__(self, items: list[tuple[int, bytes]], budget: float):
+        dealt: dict[int, list] = {}
+        for name, text in ((i, normalise(t)) for i, t in items):
+            edits = int(len(text) * budget)
+            q = next((q for q in Q if q * (edits + 1) <= len(text)), None)
+            if q:
+                dealt.setdefault(q, []).append((name, text, edits))
+        self.parts = [_Grams([(i, t) for i, t, _ in rows], [e for _, _, e in rows], q) for q, rows in dealt.items()]
+
+    def find(self, text: str) -> list[tuple[int, int, int, int, int]]:
+        """(item id, shared q-grams, edits, start, end) for each item that the normalised text holds."""
+        return [hit for part in self.parts for hit in part.find(text)]
+
+
 def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", budget: float = BUDGET, block_bytes: int = BLOCK_BYTES) -> Iterator[ItemBlock]:
     """The benchmark in blocks, streamed to the driver a partition at a time."""
     items, size = [], 0

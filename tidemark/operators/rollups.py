@@ -117,6 +117,20 @@ def by_security(trades: DataFrame, limit: int | None = None) -> DataFrame:
     return cut.orderBy(F.desc("n"), "sec").limit(limit) if limit else cut
 
 
+def trade_cuts(trades: DataFrame) -> DataFrame:
+    """The cuts by code, side, form, security and filing month in one scan and one shuffle: (cut, bucket, n, v). Rows without a
+    filing day have no month. A group of the grouping sets belongs to the one column that it keeps."""
+    keys = {"code": F.coalesce(_blank(F.col("code")), F.lit("?")), "side": F.coalesce(_blank(F.col("side")), F.lit("other")),
+            "form": F.coalesce(_blank(F.col("form")), F.lit("?")), "sec": F.coalesce(_blank(F.col("sec")), F.lit("(unspecified)")),
+            "month": month_key(F.col("fd"))}
+    names = list(keys)
+    rows = trades.select(*[c.alias(n) for n, c in keys.items()], exact(_v()).alias("v"))
+    cut = F.coalesce(*[F.when(F.grouping(n) == 0, F.lit(n)) for n in names])
+    sums = rows.groupingSets([[F.col(n)] for n in names], *[F.col(n) for n in names]).agg(
+        cut.alias("cut"), F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).cast("double").alias("v"))
+    return sums.select("cut", F.coalesce(*names).alias("bucket"), "n", "v").where("bucket IS NOT NULL")
+
+
 def code_share(trades: DataFrame) -> DataFrame:
     """Share of all rows per code: the window runs over the handful of grouped rows."""
     return by_code(trades).withColumn("pct", F.col("n") / F.sum("n").over(W.partitionBy()) * 100.0)

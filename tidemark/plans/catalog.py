@@ -5,9 +5,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as fv
 from ..functions import calendar as cal, labels as lb, links as lk, numeric as nm
-from ..operators import (asof, assemble, flags, holdings as hd, intervals as iv, merge, positions as ps, quality as ql, rollups as ru,
+from ..operators import (asof, assemble, flags, holdings as hd, intervals as iv, merge, positions as ps, quality as ql, rollups as ru, sketches as sk,
                          signals as sg, splits as sp, stats as st, verify as vf, views as vw)
-from ..session import scratch_folder
+from ..session import materialize, scratch_folder
 from ..schemas import RAW_TABLES
 from ..sources import bulk, indexes, ownership, prices, shards
 from ..streaming import jobs, pending, table
@@ -175,6 +175,25 @@ def union_sources(s, d):
     return both.groupBy("der", "code").agg(F.count(F.lit(1)).alias("n"), nm.total(F.col("sh")).alias("shares"))
 
 
+def _write_files(files, path):
+    """One file per row, called as its ``name`` says, with the bytes of ``text``. Tasks write to the folder themselves, so it has to be
+    one that they can open, as the shared scratch folder of these tables is; a repeated attempt replaces whole files."""
+    place = path.removeprefix("file://").removeprefix("file:")
+
+    def put(batches):
+        import os
+        os.makedirs(place, exist_ok=True)
+        for batch in batches:
+            for name, text in zip(batch.column("name").to_pylist(), batch.column("text").to_pylist()):
+                half = f"{place}/.{name}.{os.getpid()}"
+                with open(half, "w", encoding="utf-8") as f:
+                    f.write(text)
+                os.replace(half, f"{place}/{name}")
+            yield batch.select(["name"]).slice(0, 0)
+
+    files.select("name", "text").mapInArrow(put, "name string").write.format("noop").mode("overwrite").save()
+
+
 def _documents(s, d):
     """One ownership document per line item, wrapped in a submission."""
     li = fx.table(s, d, "lineitem")
@@ -202,7 +221,14 @@ def _documents(s, d):
 
 @query
 def read_ownership_xml(s, d):
-    t = ownership.ownership_trades(ownership.parse_documents(_documents(s, d)))
+    """One file per submission, found again by the accession in its name, which the filing list gives form and date to."""
+    path = scratch_folder(s, "submissions")
+    # the tables repeat their line numbers, so an accession of 18 digits is made from the whole submission
+    digits = F.lpad(F.pmod(F.xxhash64("acc", "fd", "value"), F.lit(10 ** 18)).cast("string"), 18, "0")
+    listed = _documents(s, d).withColumn("number", F.regexp_replace(digits, r"^(\d{10})(\d{2})", "$1-$2-"))
+    _write_files(listed.select(F.concat("number", F.lit(".txt")).alias("name"), F.col("value").alias("text")), path)
+    read = ownership.read_ownership_xml(s, path).select(F.col("acc").alias("number"), "doc")
+    t = ownership.ownership_trades(read.join(listed.select("number", "acc", "form", "amend", "fd"), "number"))
     return _day(t.select("acc", "fd", "td", "period", "icik", "co", "tk", "insider", "pcik", "own_n", "rel", "title", "code", "ct", "side", "sec",
                          "sh", "px", "val", "ad", "af", "di", "der"), "fd", "td", "period")
 
@@ -224,12 +250,15 @@ def _listed(s, d):
 
 @query
 def read_daily_index(s, d):
+    """The list of filings written as index files and read by the public reader; the lines of one filing share a file, in order."""
     o = _listed(s, d)
     line = lambda cik, n: o.select(
         cik.cast("string").alias("cik"), F.lit("NAME").alias("name"), F.concat(F.lit(" "), "form").alias("form"), F.date_format("o_orderdate", "yyyyMMdd").alias("filed"),
-        F.concat(F.lit("edgar/data/"), cik.cast("string"), F.lit("/"), "acc", F.lit(".txt")).alias("file"), F.lit(None).cast("string").alias("extra"),
-        (F.col("o_orderkey") * 2 + n).alias("line_no"))
-    return _day(indexes.parse_daily_index(line(F.col("o_custkey"), 0).unionByName(line(F.col("o_custkey") + 5, 1))), "fd")
+        F.concat(F.lit("edgar/data/"), cik.cast("string"), F.lit("/"), "acc", F.lit(".txt")).alias("file"), "acc", (F.col("o_orderkey") * 2 + n).alias("line_no"))
+    path = scratch_folder(s, "index")
+    lines = line(F.col("o_custkey"), 0).unionByName(line(F.col("o_custkey") + 5, 1)).repartition("acc").sortWithinPartitions("line_no")
+    lines.select("cik", "name", "form", "filed", "file").write.csv(path, sep="|", ignoreLeadingWhiteSpace=False)
+    return _day(indexes.read_daily_index(s, path), "fd")
 
 
 @query
@@ -240,8 +269,12 @@ def read_search_hits(s, d):
                    F.when(even, F.date_format("o_orderdate", "yyyyMMdd")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("file_date"),
                    F.array(F.lpad((F.col("o_custkey") + 1).cast("string"), 10, "0")).alias("ciks"))
     hit = F.struct(F.concat_ws(":", "acc", "form").alias("_id"), src.alias("_source"))
-    page = o.select(F.struct(F.array(hit, hit).alias("hits")).alias("hits"), F.col("o_orderkey").alias("line_no"))
-    return _day(indexes.parse_search_hits(page), "fd")
+    page = F.struct(F.struct(F.array(hit, hit).alias("hits")).alias("hits"))
+    path = scratch_folder(s, "hits")
+    # pages of a run of orders make one file, an array
+    files = o.groupBy((F.col("o_orderkey") / 1000).cast("long").alias("run")).agg(F.array_sort(F.collect_list(F.struct(F.col("o_orderkey").alias("n"), page.alias("page")))).alias("x"))
+    _write_files(files.select(F.format_string("%012d.json", "run").alias("name"), F.to_json(F.transform("x", lambda x: x["page"])).alias("text")), path)
+    return _day(indexes.read_search_hits(s, path), "fd")
 
 
 @query
@@ -342,8 +375,9 @@ def read_bars_yahoo_json(s, d):
     res = F.struct(F.struct(F.lit("").alias("symbol"), F.lit(-18000).cast("long").alias("gmtoffset")).alias("meta"), f("t").alias("timestamp"),
                    F.struct(F.array(quote).alias("quote")).alias("indicators"))
     text = F.to_json(F.struct(F.struct(F.array(res).alias("result")).alias("chart")))
-    docs = g.select(F.concat(F.lit("/in/"), "tk", F.lit(".json.gz")).alias("file"), F.from_json(text, prices.CHART).alias("j")).select("file", "j.chart")
-    return _day(prices.bars_from_charts(docs).select("tk", "d", "o", "c", "v", "src"), "d")
+    path = scratch_folder(s, "charts")
+    _write_files(g.select(F.concat("tk", F.lit(".json")).alias("name"), text.alias("text")), path)
+    return _day(prices.read_bars_yahoo_json(s, path).select("tk", "d", "o", "c", "v", "src"), "d")
 
 
 @query
@@ -355,19 +389,23 @@ def read_splits(s, d):
     res = F.struct(F.struct(F.col("tk").alias("symbol"), F.lit(0).cast("long").alias("gmtoffset")).alias("meta"),
                    F.struct(F.create_map(F.lit("0"), ev).alias("splits")).alias("events"))
     text = F.to_json(F.struct(F.struct(F.array(res).alias("result")).alias("chart")))
-    docs = e.select(F.lit("x.json").alias("file"), F.from_json(text, prices.CHART).alias("j")).select("file", "j.chart")
-    out = prices.splits_from_charts(docs)
+    path = scratch_folder(s, "splits")
+    _write_files(e.select(F.concat("tk", F.lit("_"), "d", F.lit(".json")).alias("name"), text.alias("text")), path)
+    out = prices.read_splits(s, path)
     return _day(out.withColumn("ratio", prices.split_ratio(F.col("num"), F.col("den"))), "d")
 
 
 @query
 def read_bars_stooq_csv(s, d):
     b = fx.bars(s, d)
-    bad = F.col("v") == 2
-    raw = b.select(F.concat(F.lit("/in/"), F.lower("tk"), F.lit(".us.csv")).alias("file"), F.col("d").cast("string").alias("Date"),
-                   F.when(bad, F.lit("0")).otherwise(F.col("o").cast("string")).alias("Open"), F.col("c").cast("string").alias("High"),
-                   F.col("o").cast("string").alias("Low"), F.col("c").cast("string").alias("Close"), F.col("v").cast("string").alias("Volume"))
-    both = [prices.bars_from_csv_rows(raw, p).withColumn("policy", F.lit(p)) for p in ("repair", "drop")]
+    opened = F.when(F.col("v") == 2, F.lit("0")).otherwise(F.col("o").cast("string"))
+    row = F.struct("d", F.concat_ws(",", F.col("d").cast("string"), opened, F.col("c").cast("string"), F.col("o").cast("string"), F.col("c").cast("string"),
+                                    F.col("v").cast("string")).alias("row"))
+    g = b.groupBy("tk").agg(F.array_sort(F.collect_list(row)).alias("x"))
+    path = scratch_folder(s, "daily")
+    lines = F.concat(F.array(F.lit("Date,Open,High,Low,Close,Volume")), F.transform("x", lambda x: x["row"]))
+    _write_files(g.select(F.concat(F.lower("tk"), F.lit(".us.csv")).alias("name"), F.array_join(lines, "\n").alias("text")), path)
+    both = [prices.read_bars_stooq_csv(s, path, p).withColumn("policy", F.lit(p)) for p in ("repair", "drop")]
     return _day(both[0].unionByName(both[1]).select("policy", "tk", "d", "o", "c", "v"), "d")
 
 
@@ -378,9 +416,10 @@ def read_bars_nasdaq_json(s, d):
     row = F.struct(F.date_format("d", "MM/dd/yyyy").alias("date"), F.when(F.col("v") == 2, F.lit("--")).otherwise(money(F.col("o"))).alias("open"),
                    money(F.col("c")).alias("high"), money(F.col("o")).alias("low"), money(F.col("c")).alias("close"), F.lit("1").alias("volume"))
     g = b.groupBy("tk").agg(F.collect_list(row).alias("rows"))
-    docs = g.select(F.concat(F.lit("/in/"), "tk", F.lit(".json")).alias("file"),
-                    F.struct(F.lit(None).cast("string").alias("symbol"), F.struct("rows").alias("tradesTable")).alias("data"))
-    return _day(prices.bars_from_quote_tables(docs).select("tk", "d", "o", "c", "src"), "d")
+    path = scratch_folder(s, "quotes")
+    text = F.to_json(F.struct(F.struct(F.struct("rows").alias("tradesTable")).alias("data")))
+    _write_files(g.select(F.concat("tk", F.lit(".json")).alias("name"), text.alias("text")), path)
+    return _day(prices.read_bars_nasdaq_json(s, path).select("tk", "d", "o", "c", "src"), "d")
 
 
 @query
@@ -745,6 +784,27 @@ def global_totals(s, d):
     return _day(ru.global_totals(fx.trades(s, d)), "first_fd", "last_fd")
 
 
+@query
+def trade_cuts(s, d):
+    return ru.trade_cuts(fx.trades(s, d))
+
+
+@query
+def approx_totals(s, d):
+    """Distinct counts per year and over all time from one stored daily table, set beside exact ones: the exact counts, and whether each
+    estimate keeps to its bound."""
+    t = fx.trades(s, d)
+    daily = materialize(sk.daily_sketches(t), "sketches").withColumn("y", F.year("fd").cast("string"))
+    near = sk.approx_totals(daily, ["y"]).unionByName(sk.approx_totals(daily).withColumn("y", F.lit("all")))
+    year, filing = F.year("fd").cast("string"), F.nullif(F.trim("acc"), F.lit(""))
+    keyed = t.where("fd IS NOT NULL").select(year.alias("y"), filing.alias("filing"), lb.owner_key(F.col("pcik"), F.col("insider")).alias("insider"),
+                                             lb.issuer_key(F.col("icik"), F.col("tk"), F.col("co")).alias("issuer"))
+    counts = [F.count_distinct(k).alias(f"true_{c}") for k, c in zip(("filing", "insider", "issuer"), sk.COUNTED)]
+    true = keyed.groupBy("y").agg(*counts).unionByName(keyed.agg(*counts).withColumn("y", F.lit("all")))
+    kept = [(F.abs(F.col(c) - F.col(f"true_{c}")) <= F.col(f"true_{c}") * sk.relative_error() + 1).cast("int").alias(f"{c}_within") for c in sk.COUNTED]
+    return near.join(true, "y").select("y", "n", "v", *[F.col(f"true_{c}").alias(c) for c in sk.COUNTED], *kept)
+
+
 @query
 def by_code(s, d):
     return ru.by_code(fx.trades(s, d))

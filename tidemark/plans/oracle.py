@@ -371,6 +371,10 @@ add("global_totals", f"""SELECT count(*) AS trades, count(DISTINCT acc) AS filin
   count(px) AS with_reported_price, count(*) FILTER (WHERE der <> 0) AS derivative, CAST(min(fd) AS VARCHAR) AS first_fd, CAST(max(fd) AS VARCHAR) AS last_fd FROM trades""")
 for _name, _col in (("by_code", "code"), ("by_side", "side"), ("by_form", "form"), ("by_security", "sec")):
     add(_name, f"SELECT {_col}, count(*) AS n, {total(V)} AS v FROM trades GROUP BY 1")
+add("trade_cuts", " UNION ALL ".join(f"SELECT '{cut}' AS cut, {col} AS bucket, count(*) AS n, {total(V)} AS v FROM trades GROUP BY 2" for cut, col in (
+    ("code", "code"), ("side", "side"), ("form", "form"), ("sec", "sec"), ("month", "strftime(fd, '%Y-%m')"))))
+add("approx_totals", " UNION ALL ".join(f"""SELECT {y} AS y, count(*) AS n, {total(V)} AS v, count(DISTINCT acc) AS filings, count(DISTINCT pcik) AS insiders, count(DISTINCT icik) AS issuers,
+  1 AS filings_within, 1 AS insiders_within, 1 AS issuers_within FROM trades GROUP BY 1""" for y in ("strftime(fd, '%Y')", "'all'")))
 add("by_relationship", "SELECT relationship, count(*) AS n FROM (SELECT unnest(string_split(rel, '/')) AS relationship FROM trades) GROUP BY 1")
 add("code_share", f"SELECT code, count(*) AS n, {r4('count(*) / CAST((SELECT count(*) FROM trades) AS DOUBLE) * 100')} AS pct FROM trades GROUP BY code")
 _FLOW = f"""count(*) AS n, count(*) FILTER (WHERE {BUY}) AS buy_n, count(*) FILTER (WHERE {SELL}) AS sell_n, {total(f"CASE WHEN {BUY} THEN {V} END")} AS buy, {total(f"CASE WHEN {SELL} THEN {V} END")} AS sell"""

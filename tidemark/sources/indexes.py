@@ -25,6 +25,13 @@ def _form_columns(form):
     return roots[form].alias("form"), flags[form].alias("amend")
 
 
+def _in_file_order(rows: DataFrame) -> DataFrame:
+    """``line_no`` by file name and place in the file, however the scan deals files to tasks."""
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                  F.monotonically_increasing_id().alias("n"))
+    return rows.select("*", at.alias("line_no"))
+
+
 def parse_daily_index(lines: DataFrame) -> DataFrame:
     """Five-field lines (cik, name, form, filed, file) with an order column ``line_no``."""
     form, file = F.trim("form"), F.trim("file")
@@ -37,7 +44,7 @@ def parse_daily_index(lines: DataFrame) -> DataFrame:
 def read_daily_index(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.csv(path, sep="|", quote="", encoding="ISO-8859-1",
                            schema="cik STRING, name STRING, form STRING, filed STRING, file STRING, extra STRING")
-    return parse_daily_index(lines.withColumn("line_no", F.monotonically_increasing_id()))
+    return parse_daily_index(_in_file_order(lines))
 
 
 def parse_search_hits(pages: DataFrame) -> DataFrame:
@@ -60,4 +67,4 @@ def parse_search_hits(pages: DataFrame) -> DataFrame:
 
 def read_search_hits(spark: SparkSession, path: str) -> DataFrame:
     pages = spark.read.json(path, schema=_HITS, multiLine=True)
-    return parse_search_hits(pages.withColumn("line_no", F.monotonically_increasing_id()))
+    return parse_search_hits(_in_file_order(pages))

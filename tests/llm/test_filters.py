@@ -146,6 +146,45 @@ def test_levenshtein_automaton_against_distance():
             assert got == sorted((distance(word, t), t) for t in set(terms) if distance(word, t) <= edits)
 
 
+def test_stems_meet_the_beginnings_of_words():
+    stems = ["".join(RANDOM.choices("abc", k=RANDOM.randint(4, 6))) for _ in range(60)]
+    trie = toxicity.trie_of(t + "*" for t in stems)
+    for _ in range(60):
+        word = "".join(RANDOM.choices("abc", k=RANDOM.randint(3, 9)))
+        got = toxicity.intersect(toxicity.LevenshteinAutomaton(word), trie)
+        least = {t: min(distance(word[:n], t) for n in range(len(word) + 1)) for t in stems}
+        assert got == sorted((least[t], t + "*") for t in set(stems) if least[t] <= 1)
+
+
+def test_misspellings_of_words_and_stems():
+    matcher = toxicity.Model({"idiot": 5.0, "stupi*": 5.0, "oaf": 5.0, "grub*": 5.0}).matcher()
+    want = {"idiot": ("idiot", 0), "idoit": ("idiot", 1), "idiott": ("idiot", 1), "idit": None, "stupid": ("stupi*", 0), "stypid": ("stupi*", 1),
+            "sutpidity": ("stupi*", 1), "sstupid": ("stupi*", 1), "tupidity": ("stupi*", 1), "stpuid": ("stupi*", 1), "oaf": ("oaf", 0), "oof": None,
+            "grubs": ("grub*", 0), "grabs": None, "harmless": None, "": None}
+    assert {w: matcher.term(w) for w in want} == want
+    # the filter by halves loses nothing that the automaton finds
+    terms = {"".join(RANDOM.choices("ab", k=RANDOM.randint(4, 7))) + RANDOM.choice(["", "*"]): 1.0 for _ in range(12)}
+    matcher = toxicity.Model(terms).matcher()
+    for _ in range(300):
+        word = "".join(RANDOM.choices("abc", k=RANDOM.randint(5, 9)))
+        if any(f in terms for f in toxicity.forms(word)):
+            continue
+        near = any(min(distance(word[:n], t[:-1]) for n in range(len(word) + 1)) <= 1 if t.endswith("*") else distance(word, t) <= 1
+                   for t in terms if len(t.rstrip("*")) >= (5 if t.endswith("*") else 4))
+        swapped = any(f in terms and len(f.rstrip("*")) >= 5 for w in toxicity.swaps(word) for f in toxicity.forms(w))
+        assert (matcher.term(word) is not None) == (near or swapped), word
+
+
+@pytest.mark.parametrize("text, quoted", [
+    ("they yelled \"idiot\" at him", True), ("sie rief „Idiot“ und ging", True), ("il cria « idiot » puis partit", True), ("er rief »Idiot« laut", True),
+    ("he heard ‘idiot’ again", True), ("l’homme que j’ai vu est un idiot et qu’il s’en va", False), ("don't be an idiot, it's late", False),
+    ("\"yes\" idiot \"no\"", False), ("« oui » idiot « non »", False), ("a 5\" pipe, idiot", False), ("idiot", False), ("you idiot “ open", False),
+    ("„eins“ Idiot „zwei“", False), ("the idiot’s hat isn’t here", False), ("an idiot said so", True)])
+def test_quotation_is_one_pair_of_marks(text, quoted):
+    matcher = toxicity.Model({"idiot": 5.0}).matcher()
+    assert [h[3] for h in matcher.hits(text.encode())] == [quoted]
+
+
 def toxic_tables(spark, clashing=True):
     filler = ["".join(RANDOM.choices("aeiounrst", k=RANDOM.randint(2, 9))) for _ in range(300)]
     rows, labels = [], []

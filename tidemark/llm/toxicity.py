@@ -7,16 +7,19 @@ counted by distinct neighbours, so copies of one toxic text do not promote all o
 A term is a word, or a stem of four to seven letters (written with a ``*``) when its words as a family are toxic.
 
 Matching (every document, whole text): the words of a text are looked up in the lexicon. A word of five letters or more that
-is no term and has no such stem is run as a Levenshtein automaton against the trie of the lexicon's words, which
-finds terms one edit away. Each hit is judged in a window of words around it: between quotation marks or
-beside a word of attribution it counts as quotation, otherwise as abuse, more so when the reader is addressed.
+is no term and has no such stem is run as a Levenshtein automaton against the trie of the lexicon: words one edit away, and
+stems of five letters or more one edit away from the word's beginning. Two neighbouring letters swapped count as one edit too.
+Shorter words have too many neighbours and must be spelled as learned. Each hit is judged in a window of words around it: inside one pair
+of quotation marks that opens and closes in the window, or beside a word of attribution, it counts as quotation, otherwise as
+abuse, more so when the reader is addressed. Apostrophes inside words are no marks; a mark without its partner quotes nothing.
 
 Scoring: a logistic regression over the summed term weights of abuse, misspelled abuse and quotation,
 fitted on the same labelled rows.
 
 Edge cases: a null or empty text has no hit and gets the score of such texts; rows with a null id or null
 label teach nothing; conflicting labels of an id both count; without a toxic label, score is 0; repeated
-rows get equal scores; an empty table gives an empty result.
+rows get equal scores; an empty table gives an empty result. Of terms equally near a word the one with fewer edits, then the first in
+text order, is taken. Very long texts are read whole, a portion of texts at a time.
 """
 import math
 import re
@@ -37,7 +40,6 @@ MAX_CLEAN = 12000
 THRESHOLD = 0.7
 #: Words on either side of a hit that are its context.
 CONTEXT = 8
-MAX_TERMS = 5000
 #: Least log-odds and log-likelihood ratio of a term.
 MIN_WEIGHT = 3.5
 MIN_EVIDENCE = 16.0
@@ -49,9 +51,11 @@ _CACHE = 200_000
 ATTRIBUTION = frozenset("""said says saying called calls wrote writes quote quoted quotes cited dit écrit disait sagte nannte schrieb zitiert
 dijo llamó escribió citó""".split())
 ADDRESS = frozenset("you your yours u du dich dir dein deine euch tu toi vous votre ton te tú usted vosotros eres".split())
-QUOTES = frozenset("\"“”„«»‹›‘’`")
+# fixed values: quotation marks that open, each with those that close it
+QUOTES = {'"': '"', "“": "”", "„": "“”", "”": "”", "«": "»", "»": "«", "‹": "›", "›": "‹", "‘": "’", "‚": "‘’", "’": "’", "`": "`'"}
 
-_TOKEN = re.compile(r"[^\W\d_]+|[\"“”„«»‹›‘’`]")
+#: A word, or a mark; marks that serve as apostrophes do not stand between two letters.
+_TOKEN = re.compile(r"[^\W\d_]+|[\"“”„«»‹›]|(?<![^\W\d_])[‘’‚`']|[‘’‚`'](?![^\W\d_])")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -90,12 +94,17 @@ class LevenshteinAutomaton:
                 best[at] = min(cost + 1, best.get(at, cost + 1))
         return self._closed(best)
 
+    def begins(self, state: tuple[tuple[int, int], ...]) -> int | None:
+        """Least edits between what was read up to this state and some beginning of the word, None in a dead state."""
+        return min((cost for _, cost in state), default=None)
+
     def accepts(self, state: tuple[tuple[int, int], ...]) -> int | None:
         """Edits of a word that ends in this state, None when it is not accepted."""
         return next((cost for at, cost in state if at == len(self.word)), None)
 
 
 def trie_of(terms) -> dict:
+    """A trie of words and of stems, whose ends are marked ``*``."""
     root: dict = {}
     for term in terms:
         node = root
@@ -115,6 +124,10 @@ def intersect(automaton: LevenshteinAutomaton, trie: dict) -> list[tuple[int, st
                 edits = automaton.accepts(state)
                 if edits is not None:
                     found.append((edits, below))
+            elif letter == "*":
+                edits = automaton.begins(state)
+                if edits is not None:
+                    found.append((edits, below[""]))
             elif after := automaton.step(state, letter):
                 stack.append((below, after))
     return sorted(found)
@@ -125,6 +138,27 @@ def forms(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in STEMS if len(word) > n)]
 
 
+def swaps(word: str) -> Iterator[str]:
+    """The word with two neighbouring letters changed about."""
+    for i in range(len(word) - 1):
+        if word[i] != word[i + 1]:
+            yield word[:i] + word[i + 1] + word[i] + word[i + 2:]
+
+
+def quotations(tokens: list[str]) -> list[tuple[int, int]]:
+    """(opening, closing) places of paired quotation marks, from left to right. Marks within a pair belong to what is quoted."""
+    last = {token: at for at, token in enumerate(tokens)}
+    pairs, opened, closers = [], -1, ""
+    for at, token in enumerate(tokens):
+        if opened >= 0:
+            if token in closers:
+                pairs.append((opened, at))
+                opened = -1
+        elif token in QUOTES and any(last.get(c, -1) > at for c in QUOTES[token]):
+            opened, closers = at, QUOTES[token]
+    return pairs
+
+
 @dataclass
 class Model:
     weights: dict[str, float] = field(default_factory=dict)
@@ -139,22 +173,38 @@ class Matcher:
     """Finds and weighs the terms of a text."""
 
     def __init__(self, model: Model):
-        words = [t for t in model.weights if not t.endswith("*")]
-        self.model, self.trie, self.known = model, trie_of(words), {}
-        # one edit leaves the first or the second half of a term as it is
-        self.heads = {t[:len(t) // 2] for t in words if len(t) >= FUZZY_LETTERS - 1}
-        self.tails = {t[len(t) // 2:] for t in words if len(t) >= FUZZY_LETTERS - 1}
+        near = [t for t in model.weights if len(t.rstrip("*")) >= FUZZY_LETTERS - (not t.endswith("*"))]
+        self.model, self.trie, self.known = model, trie_of(near), {}
+        # one edit leaves the first or the second half of a term as it is; the second half of a stem may move by one place
+        self.heads, self.tails, self.middles = set(), set(), set()
+        for term in near:
+            letters = term.rstrip("*")
+            half = len(letters) // 2
+            self.heads.add(letters[:half])
+            if term.endswith("*"):
+                self.middles.update((half + shift, letters[half:]) for shift in (-1, 0, 1))
+            else:
+                self.tails.add(letters[half:])
         self.head_sizes, self.tail_sizes = sorted({len(h) for h in self.heads}), sorted({len(t) for t in self.tails})
+        self.middle_places = sorted({(at, len(part)) for at, part in self.middles})
+
+    def _near(self, word: str) -> bool:
+        return (any(word[:n] in self.heads for n in self.head_sizes) or any(word[-n:] in self.tails for n in self.tail_sizes)
+                or any((at, word[at:at + n]) in self.middles for at, n in self.middle_places))
 
     def term(self, word: str) -> tuple[str, int] | None:
         """The lexicon term that a word stands for, and its edits."""
+        weights = self.model.weights
         for form in forms(word):
-            if form in self.model.weights:
+            if form in weights:
                 return form, 0
-        if len(word) < FUZZY_LETTERS or not (any(word[:n] in self.heads for n in self.head_sizes) or any(word[-n:] in self.tails for n in self.tail_sizes)):
+        if len(word) < FUZZY_LETTERS:
             return None
-        found = [(e, t) for e, t in intersect(LevenshteinAutomaton(word), self.trie) if len(t) >= FUZZY_LETTERS - 1]
-        return (found[0][1], found[0][0]) if found else None
+        found = [t for w in swaps(word) for t in forms(w) if t in weights and len(t.rstrip("*")) >= FUZZY_LETTERS]
+        if self._near(word):
+            found += [t for _, t in intersect(LevenshteinAutomaton(word), self.trie)]
+        # whole words before stems
+        return (min(found, key=lambda t: (t.endswith("*"), t)), 1) if found else None
 
     def _lookup(self, words: set[str]) -> bool:
         if len(self.known) > _CACHE:
@@ -172,14 +222,17 @@ class Matcher:
         if not self._lookup(set(_WORD.findall(plain))):
             return []
         tokens = _TOKEN.findall(plain)
+        pairs, pair = quotations(tokens), 0
         found = []
         for at, token in enumerate(tokens):
             got = self.known.get(token)
             if got is None:
                 continue
-            before, after = tokens[max(0, at - CONTEXT):at], tokens[at + 1:at + 1 + CONTEXT]
-            around = {*before, *after}
-            quoted = bool(QUOTES & set(before)) and bool(QUOTES & set(after)) or bool(ATTRIBUTION & around)
+            while pair < len(pairs) and pairs[pair][1] < at:
+                pair += 1
+            inside = pair < len(pairs) and at - CONTEXT <= pairs[pair][0] < at < pairs[pair][1] <= at + CONTEXT
+            around = {*tokens[max(0, at - CONTEXT):at], *tokens[at + 1:at + 1 + CONTEXT]}
+            quoted = inside or bool(ATTRIBUTION & around)
             weight = self.model.weights[got[0]] * (1.0 if quoted or not ADDRESS & around else 1.25)
             found.append((token, *got, quoted, weight))
         return found
@@ -221,7 +274,7 @@ def _sample(labels: DataFrame, id_col: str, label_col: str, max_toxic: int, max_
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> Model:
-    """A model from the labelled documents. What the driver gets is bounded by the sample and ``MAX_TERMS``."""
+    """A model from the labelled documents. What the driver gets is bounded by the sample; every term with enough evidence in it is taken."""
     sample = materialize(_sample(labels, id_col, label_col, max_toxic, max_clean), "labels")
     texts = docs.select(F.col(f"`{id_col}`").alias("label_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     # at most max_toxic + max_clean ids: small by its bound
@@ -277,7 +330,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         evidence = a * math.log(a / ((a + b) * share)) + (b * math.log(b / ((a + b) * (1 - share))) if b else 0.0)
         if weight >= MIN_WEIGHT and evidence >= MIN_EVIDENCE:
             weights[term] = min(weight, 12.0)
-    model = Model(dict(sorted(weights.items(), key=lambda x: (-x[1], x[0]))[:MAX_TERMS]))
+    model = Model(dict(sorted(weights.items())))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = model.matcher()

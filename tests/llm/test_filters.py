@@ -157,9 +157,9 @@ def test_stems_meet_the_beginnings_of_words():
 
 
 def test_misspellings_of_words_and_stems():
-    matcher = toxicity.Model({"idiot": 5.0, "stupi*": 5.0, "oaf": 5.0, "grub*": 5.0}).matcher()
-    want = {"idiot": ("idiot", 0), "idoit": ("idiot", 1), "idiott": ("idiot", 1), "idit": None, "stupid": ("stupi*", 0), "stypid": ("stupi*", 1),
-            "sutpidity": ("stupi*", 1), "sstupid": ("stupi*", 1), "tupidity": ("stupi*", 1), "stpuid": ("stupi*", 1), "oaf": ("oaf", 0), "oof": None,
+    matcher = toxicity.Model({"idiot": 5.0, "stupid*": 5.0, "oaf": 5.0, "grub*": 5.0}).matcher()
+    want = {"idiot": ("idiot", 0), "idoit": ("idiot", 1), "idiott": ("idiot", 1), "idit": None, "stupidly": ("stupid*", 0), "stypidly": ("stupid*", 1), "stypid": ("stupid*", 1),
+            "sutpidity": ("stupid*", 1), "sstupid": ("stupid*", 1), "tupidity": ("stupid*", 1), "oaf": ("oaf", 0), "oof": None,
             "grubs": ("grub*", 0), "grabs": None, "harmless": None, "": None}
     assert {w: matcher.term(w) for w in want} == want
     # the filter by halves loses nothing that the automaton finds
@@ -170,8 +170,8 @@ def test_misspellings_of_words_and_stems():
         if any(f in terms for f in toxicity.forms(word)):
             continue
         near = any(min(distance(word[:n], t[:-1]) for n in range(len(word) + 1)) <= 1 if t.endswith("*") else distance(word, t) <= 1
-                   for t in terms if len(t.rstrip("*")) >= (5 if t.endswith("*") else 4))
-        swapped = any(f in terms and len(f.rstrip("*")) >= 5 for w in toxicity.swaps(word) for f in toxicity.forms(w))
+                   for t in terms if len(t.rstrip("*")) >= (6 if t.endswith("*") else 4))
+        swapped = any(f in terms and len(f) >= (7 if f.endswith("*") else 5) for w in toxicity.swaps(word) for f in toxicity.forms(w))
         assert (matcher.term(word) is not None) == (near or swapped), word
 
 

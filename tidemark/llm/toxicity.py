@@ -8,8 +8,8 @@ A term is a word, or a stem of four to seven letters (written with a ``*``) when
 
 Matching (every document, whole text): the words of a text are looked up in the lexicon. A word of five letters or more that
 is no term and has no such stem is run as a Levenshtein automaton against the trie of the lexicon: words one edit away, and
-stems of five letters or more one edit away from the word's beginning. Two neighbouring letters swapped count as one edit too.
-Shorter words have too many neighbours and must be spelled as learned. Each hit is judged in a window of words around it: inside one pair
+stems of six letters or more one edit away from the word's beginning. Two neighbouring letters swapped count as one edit too.
+Shorter words and stems have too many neighbours and must be spelled as learned. Each hit is judged in a window of words around it: inside one pair
 of quotation marks that opens and closes in the window, or beside a word of attribution, it counts as quotation, otherwise as
 abuse, more so when the reader is addressed. Apostrophes inside words are no marks; a mark without its partner quotes nothing.
 
@@ -44,7 +44,9 @@ CONTEXT = 8
 MIN_WEIGHT = 3.5
 MIN_EVIDENCE = 16.0
 STEMS = (4, 5, 6, 7)
+#: Least letters of a word, and of a stem, for which one edit is allowed.
 FUZZY_LETTERS = 5
+FUZZY_STEM_LETTERS = 6
 _CACHE = 200_000
 
 # fixed values: words that announce a quotation, and words that address the reader
@@ -173,36 +175,37 @@ class Matcher:
     """Finds and weighs the terms of a text."""
 
     def __init__(self, model: Model):
-        near = [t for t in model.weights if len(t.rstrip("*")) >= FUZZY_LETTERS - (not t.endswith("*"))]
-        self.model, self.trie, self.known = model, trie_of(near), {}
+        words = [t for t in model.weights if not t.endswith("*") and len(t) >= FUZZY_LETTERS - 1]
+        stems = [t for t in model.weights if t.endswith("*") and len(t) > FUZZY_STEM_LETTERS]
+        self.model, self.known = model, {}
+        self.words, self.stems = trie_of(words), trie_of(stems)
         # one edit leaves the first or the second half of a term as it is; the second half of a stem may move by one place
-        self.heads, self.tails, self.middles = set(), set(), set()
-        for term in near:
-            letters = term.rstrip("*")
-            half = len(letters) // 2
-            self.heads.add(letters[:half])
-            if term.endswith("*"):
-                self.middles.update((half + shift, letters[half:]) for shift in (-1, 0, 1))
-            else:
-                self.tails.add(letters[half:])
+        self.heads, self.tails = {t[:len(t) // 2] for t in words}, {t[len(t) // 2:] for t in words}
         self.head_sizes, self.tail_sizes = sorted({len(h) for h in self.heads}), sorted({len(t) for t in self.tails})
-        self.middle_places = sorted({(at, len(part)) for at, part in self.middles})
-
-    def _near(self, word: str) -> bool:
-        return (any(word[:n] in self.heads for n in self.head_sizes) or any(word[-n:] in self.tails for n in self.tail_sizes)
-                or any((at, word[at:at + n]) in self.middles for at, n in self.middle_places))
+        self.stem_parts: dict[tuple[int, int], set[str]] = {}
+        for stem in stems:
+            half, end = (len(stem) - 1) // 2, len(stem) - 1
+            for start, stop in ((0, half), (half - 1, end - 1), (half, end), (half + 1, end + 1)):
+                self.stem_parts.setdefault((start, stop), set()).add(stem[:half] if start == 0 else stem[half:end])
+        self.swapped: dict[str, str] = {}
+        for term in sorted((t for t in words if len(t) >= FUZZY_LETTERS), reverse=True):
+            self.swapped.update(dict.fromkeys(swaps(term), term))
+        for stem in sorted(stems, reverse=True):
+            self.swapped.update((form + "*", stem) for form in swaps(stem[:-1]))
 
     def term(self, word: str) -> tuple[str, int] | None:
         """The lexicon term that a word stands for, and its edits."""
-        weights = self.model.weights
-        for form in forms(word):
-            if form in weights:
+        spelled = forms(word)
+        for form in spelled:
+            if form in self.model.weights:
                 return form, 0
         if len(word) < FUZZY_LETTERS:
             return None
-        found = [t for w in swaps(word) for t in forms(w) if t in weights and len(t.rstrip("*")) >= FUZZY_LETTERS]
-        if self._near(word):
-            found += [t for _, t in intersect(LevenshteinAutomaton(word), self.trie)]
+        found = [self.swapped[form] for form in spelled if form in self.swapped]
+        if any(word[:n] in self.heads for n in self.head_sizes) or any(word[-n:] in self.tails for n in self.tail_sizes):
+            found += [t for _, t in intersect(LevenshteinAutomaton(word), self.words)]
+        if any(word[start:stop] in parts for (start, stop), parts in self.stem_parts.items()):
+            found += [t for _, t in intersect(LevenshteinAutomaton(word), self.stems)]
         # whole words before stems
         return (min(found, key=lambda t: (t.endswith("*"), t)), 1) if found else None
 

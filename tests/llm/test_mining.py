@@ -144,6 +144,24 @@ def test_false_hits_of_the_bitmaps_change_nothing(spark):
     assert sorted(map(tuple, collocations.collocations(documents(spark, rows), min_count=8, shards=2, filter_power=6).collect())) == brute_phrases(rows, 8, 5, 2000)
 
 
+def test_rounds_keep_two_states_of_hashes_and_counts(spark, tmp_path):
+    """Scratch space does not grow with the number of rounds, and only numbers are kept between them."""
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        phrases, totals = collocations.frequent_phrases(documents(spark, phrase_rows(60)), min_count=5, shards=3)
+        assert phrases.where("len = 5").count() > 0 and totals.count() > 1
+        states = list(tmp_path.glob("phrase_state-*"))
+        assert len(states) == 2
+        assert all(k in ("bigint", "int") for s in states for _, k in spark.read.parquet(str(s)).dtypes)
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+
+
+def test_last_word_of_a_phrase_hash():
+    prefix, word = np.random.default_rng(4).integers(0, 1 << 64, (2, 1000), dtype=np.uint64)
+    assert (collocations._last(collocations._joined(prefix, word), prefix) == word).all()
+
+
 def test_wide_scores(spark):
     """Products beyond 64 bits stay exact."""
     big = 3_000_000_007

@@ -1,6 +1,7 @@
 """Odd sketches, phrases and spelling variants against brute force, with the odd cases of each."""
 import random
 import re
+import uuid
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -144,17 +145,15 @@ def test_false_hits_of_the_bitmaps_change_nothing(spark):
     assert sorted(map(tuple, collocations.collocations(documents(spark, rows), min_count=8, shards=2, filter_power=6).collect())) == brute_phrases(rows, 8, 5, 2000)
 
 
-def test_rounds_keep_two_states_of_hashes_and_counts(spark, tmp_path):
+def test_rounds_keep_two_states_of_hashes_and_counts(spark, tmp_path, monkeypatch):
     """Scratch space does not grow with the number of rounds, and only numbers are kept between them."""
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        phrases, totals = collocations.frequent_phrases(documents(spark, phrase_rows(60)), min_count=5, shards=3)
-        assert phrases.where("len = 5").count() > 0 and totals.count() > 1
-        states = list(tmp_path.glob("phrase_state-*"))
-        assert len(states) == 2
-        assert all(k in ("bigint", "int") for s in states for _, k in spark.read.parquet(str(s)).dtypes)
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+    monkeypatch.setattr(collocations, "scratch_folder", lambda _, label: f"{tmp_path}/{label}-{uuid.uuid4().hex}")
+    rows = [(i, "alpha beta gamma delta epsilon", lang, "s") for i in range(12) for lang in ("en", "de")]
+    phrases, totals = collocations.frequent_phrases(documents(spark, rows), min_count=10, shards=3)
+    assert phrases.count() == 30 and sorted(totals.collect()) == [("de", 60), ("en", 60)]
+    states = list(tmp_path.glob("phrase_state-*"))
+    assert len(states) == 2
+    assert all(k in ("bigint", "int") for s in states for _, k in spark.read.parquet(str(s)).dtypes)
 
 
 def test_last_word_of_a_phrase_hash():
@@ -214,6 +213,7 @@ def spelled_rows():
             other = RANDOM.choice([w[:at] + w[at + 1:], w[:at] + RANDOM.choice(LETTERS) + w[at:], w[:at] + RANDOM.choice(LETTERS) + w[at + 1:], RANDOM.choice(LETTERS) + w, w + "a"])
             words += [other] * RANDOM.choice([3, 5, 6, 26])
     words += ["chainword"] * 400 + ["chainwerd"] * 40 + ["chainwerdd"] * 6
+    words += ["linkedword"] * 600 + ["linkedwerd"] * 80 + ["linkedwerdd"] * 10
     RANDOM.shuffle(words)
     rows = [(i, RANDOM.choice([" ", "-", "1"]).join(x if RANDOM.random() < 0.8 else x[0].upper() + x[1:] for x in words[i::40])) for i in range(40)]
     return rows + [(50, None), (50, ""), (None, " ".join(words[:30])), (50, "a b c É"), (51, "repeated"), (51, "repeated " * 9)]

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checked, id_and_text, materialize, whole_groups, with_columns
+from tidemark.llm.common import checked, free_names, id_and_text, materialize, whole_groups, with_columns
 from tidemark.llm.components import components
 
 WIDTH = 4
@@ -194,13 +194,14 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` that stay when each class keeps the row with its smallest id (rows without id stay
     only in a class without any id). Of rows that repeat an id within a class one stays."""
-    marked = with_fingerprint(docs, text_col, width, "simhash_value")
-    small = materialize(marked.select(F.col(f"`{id_col}`").alias("doc_id"), "simhash_value"), "simhash")
+    kept_id, value = free_names(docs.columns, "kept_id", "simhash_value")
+    marked = with_fingerprint(docs, text_col, width, value)
+    small = materialize(marked.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(value).alias("simhash_value")), "simhash")
     labelled = with_component(small, "doc_id", "simhash_value", radius)
     first = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    kept = materialize(labelled.where(first).groupBy("doc_id", "component_root").agg(F.count("*").alias("rows"), F.min("simhash_value").alias("simhash_value"))
-                       .select(F.col("doc_id").alias("kept_id"), "simhash_value", "rows"), "kept")
-    on = F.col(f"`{id_col}`").eqNullSafe(F.col("kept_id")) & (marked["simhash_value"] == kept["simhash_value"])
-    left = marked.join(checked(kept.where("rows = 1")), on, "left_semi")
-    repeated = marked.join(checked(kept.where("rows > 1")), on, "left_semi").dropDuplicates([id_col, "simhash_value"])
+    kept = materialize(labelled.where(first).groupBy("doc_id", "component_root").agg(F.count("*").alias("rows"), F.min("simhash_value").alias(value))
+                       .select(F.col("doc_id").alias(kept_id), value, "rows"), "kept")
+    on = F.col(f"`{id_col}`").eqNullSafe(F.col(kept_id)) & (marked[value] == kept[value])
+    left = marked.join(checked(kept.where("rows = 1").drop("rows")), on, "left_semi")
+    repeated = marked.join(checked(kept.where("rows > 1").drop("rows")), on, "left_semi").dropDuplicates([id_col, value])
     return left.unionByName(repeated).select([F.col(f"`{c}`") for c in docs.columns])

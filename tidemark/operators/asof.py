@@ -48,7 +48,8 @@ def asof_keys(keys: DataFrame, right: DataFrame, value: str, *, direction: str =
     kind = right.schema[value].dataType
     passed = [c for c in right.columns if c not in (by, "d", value)]
     both = (right.select(by, "d", F.col(value).alias("_v"), F.lit(True).alias("_fact"), *passed)
-            .unionByName(keys.select(by, "d", F.lit(None).cast(kind).alias("_v"), F.lit(False).alias("_fact"),
+            # dealt like the facts: where those stand by ``by`` already, they are not dealt again
+            .unionByName(keys.repartition(by).select(by, "d", F.lit(None).cast(kind).alias("_v"), F.lit(False).alias("_fact"),
                                      *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in passed])))
     # Scan toward the key and remember the last usable fact. On equal days the fact must come after the key
     # when the comparison is strict, before it when not.

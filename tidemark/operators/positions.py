@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import fixed_values as fv
 from ..functions.links import filing_url, history_url, second_history_url
 from ..functions.numeric import r2, r4
-from .asof import asof_clip, enrich_bars, entry_candidates, with_next_bar
+from .asof import asof_keys, enrich_bars, entry_candidates
 from .plan import settle
 from .splits import classify_splits, event_outlook, position_split_status
 
@@ -34,8 +34,15 @@ def entry_bars(bars: DataFrame, asof: str | None, splits: DataFrame | None = Non
 def with_entry(signals: DataFrame, bars: DataFrame, asof: str | None, splits: DataFrame | None = None) -> DataFrame:
     """``signals`` with ``bar`` (the entry session, NULL if there is none) and ``series`` (last day and close of the
     ticker, NULL without bars)."""
-    series = asof_clip(bars, asof).groupBy("tk").agg(F.max_by(F.struct("d", "c"), "d").alias("series"))
-    return with_next_bar(signals, entry_bars(bars, asof, splits)).join(series, "tk", "left")
+    candidates = entry_bars(bars, asof, splits)
+    keys = signals.select("tk", F.col("fd").alias("d")).where("tk IS NOT NULL").distinct()
+    # a signal without filing day has a series all the same
+    last = F.when(F.col("last").isNotNull(), F.struct(F.col("last.d").alias("d"), F.col("last.c").alias("c")))
+    known = [("series", F.max(last))]
+    answers = asof_keys(keys, candidates, "bar", extra=known)
+    answers = answers.select(F.col("tk").alias("_tk"), F.col("d").alias("_fd"), F.when(F.col("d").isNotNull(), F.col("bar")).alias("bar"), "series")
+    on = (F.col("tk") == F.col("_tk")) & F.col("fd").eqNullSafe(F.col("_fd"))
+    return signals.join(answers, on, "left").drop("_tk", "_fd")
 
 
 def classify_position_status(bar, series, fd):

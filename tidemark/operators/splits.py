@@ -15,8 +15,10 @@ def classify_splits(splits: DataFrame, enriched: DataFrame, test: str = "referen
     ``log`` compares the distances to 1 and to the ratio in log space instead.
     """
     events = splits.where("num <> 0 AND den <> 0").select("tk", "d", split_ratio(F.col("num"), F.col("den")).alias("ratio"))
-    right = enriched.select("tk", "d", F.struct("o", "prev_c", "i").alias("bar"))
-    at = asof_lookup(events.where("ratio > 0"), right, "d", "bar", strict=False)
+    events = events.where("ratio > 0")
+    split = enriched.join(events.select("tk").distinct(), "tk", "left_semi")          # most tickers never split
+    right = split.select("tk", "d", F.struct("o", "prev_c", "i").alias("bar"))
+    at = asof_lookup(events, right, "d", "bar", strict=False)
     usable = at.where("bar.i > 0 AND bar.prev_c <> 0 AND bar.o <> 0")
     jump = usable.withColumn("jump", r4(F.col("bar.o") / F.col("bar.prev_c")))
     j, r = F.col("jump"), F.col("ratio")

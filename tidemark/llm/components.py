@@ -7,7 +7,7 @@ written to the shared scratch folder.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize
+from tidemark.session import materialize, unmeasured
 
 
 def _star(links: DataFrame, larger: bool) -> DataFrame:
@@ -15,7 +15,7 @@ def _star(links: DataFrame, larger: bool) -> DataFrame:
     smallest neighbour or itself; small-star: its smaller ones."""
     least = links.groupBy("node").agg(F.min("other").alias("other")).select("node", F.least("node", "other").alias("least"))
     kept = links.where(F.col("other") > F.col("node") if larger else F.col("other") < F.col("node"))
-    moved = kept.join(least, "node").select(F.col("other").alias("node"), F.col("least").alias("other"))
+    moved = kept.join(unmeasured(least), "node").select(F.col("other").alias("node"), F.col("least").alias("other"))
     if not larger:  # the node itself hangs below its smallest neighbour too
         moved = moved.unionByName(least.select("node", F.col("least").alias("other")))
     return moved.where("node <> other").distinct()

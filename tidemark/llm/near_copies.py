@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import byte_list, checked, free_names, materialize, whole_groups, with_columns
 from tidemark.llm.components import components
 from tidemark.llm.simhash import fold, near_links, shingle_hashes
+from tidemark.session import unmeasured
 
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
@@ -146,12 +147,12 @@ def _searched(similarity: float):
 def _with_roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(node, root) for every node, from the stored table of links."""
     reached = components(links, "left", "right")
-    return nodes.select("node").join(reached, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    return nodes.select("node").join(unmeasured(reached), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(node, shingles), stored, for the distinct nodes in ``wanted``; ``docs`` has doc_id, mark, text."""
-    rows = checked(materialize(nodes.join(wanted, "node", "left_semi").select("node", "sample.mark", F.col("sample.doc_id").alias("sample_id")), "samples"))
+    rows = checked(materialize(nodes.join(unmeasured(wanted), "node", "left_semi").select("node", "sample.mark", F.col("sample.doc_id").alias("sample_id")), "samples"))
     texts = docs.join(rows, (docs["mark"] == rows["mark"]) & docs["doc_id"].eqNullSafe(rows["sample_id"])).select("node", "text")
     return materialize(texts.mapInArrow(_sets(width), "node long, shingles binary").dropDuplicates(["node"]), "sets")
 
@@ -163,10 +164,10 @@ def near_classes(docs: DataFrame, marks: DataFrame, width: int, bits: int, simil
     fps = materialize(nodes.groupBy("fp").agg(F.min("node").alias("node")), "fingerprints")
     keyed = nodes.select("node", "keys").mapInArrow(_explode, "key long, node long").unionByName(nodes.select(F.col("fp").alias("key"), "node"))
     groups = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("leader")).where("n > 1")
-    met = materialize(keyed.join(groups, "key"), "met")
+    met = materialize(keyed.join(unmeasured(groups), "key"), "met")
     close = near_links(fps.select("fp"), bits)
     end = [fps.select(F.col("fp").alias(s), F.col("node").alias(f"{s}_node")) for s in ("left", "right")]
-    close = close.join(end[0], "left").join(end[1], "right").select(F.least("left_node", "right_node").alias("left"), F.greatest("left_node", "right_node").alias("right"))
+    close = close.join(unmeasured(end[0]), "left").join(unmeasured(end[1]), "right").select(F.least("left_node", "right_node").alias("left"), F.greatest("left_node", "right_node").alias("right"))
     pairs = materialize(met.where("node <> leader").select(F.col("leader").alias("left"), F.col("node").alias("right")).unionByName(close).distinct(), "pairs")
     wanted = pairs.select(F.col("left").alias("node")).unionByName(pairs.select(F.col("right").alias("node"))).distinct()
     sets = _sets_of(docs, nodes, wanted, width)
@@ -175,12 +176,12 @@ def near_classes(docs: DataFrame, marks: DataFrame, width: int, bits: int, simil
     links = materialize(both.mapInArrow(_verified(similarity), "left long, right long"), "verified")
     roots = materialize(_with_roots(nodes, links), "roots")
     # keys whose members, without the leader that met them all, are in more than one class
-    open_keys = (met.where("node <> leader").join(roots, "node").groupBy("key")
+    open_keys = (met.where("node <> leader").join(unmeasured(roots), "node").groupBy("key")
                  .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("members"))
                  .where("low <> high").groupBy("n", "members").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")))
     open_keys = materialize(open_keys, "open_keys")
     own = F.pmod(F.xxhash64("node", F.lit("chunk")), F.col("chunks")).cast("int")
-    left = met.where("node <> leader").join(checked(open_keys), "key").join(roots, "node")
+    left = met.where("node <> leader").join(checked(open_keys), "key").join(unmeasured(roots), "node")
     left = left.select("key", "node", "root", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     left = left.select("key", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "node", "root").join(checked(sets), "node")
     more = (left.select("key", "one", "two", "own", "node", "root", "shingles").repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
@@ -196,7 +197,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     small = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
     marks = materialize(with_columns(small, "text", "node long, fp long, keys binary", _marks(width)).drop("text"), "marks")
     classes, nodes = near_classes(small, marks, width, bits, similarity)
-    ids = checked(materialize(classes.join(nodes.select("node", "least"), "node").groupBy("root").agg(F.min("least").alias("component_id")), "component_ids"))
+    ids = checked(materialize(classes.join(unmeasured(nodes.select("node", "least")), "node").groupBy("root").agg(F.min("least").alias("component_id")), "component_ids"))
     lookup = checked(materialize(classes.join(ids, "root").select("node", "root", "component_id"), "lookup"))
     first = marks.select("doc_id", "mark", "node").join(lookup, "node").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept_id, kept_mark, text_mark = free_names(docs.columns, "kept_id", "kept_mark", "text_mark")

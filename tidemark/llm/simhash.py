@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import checked, free_names, id_and_text, materialize, whole_groups, with_columns
 from tidemark.llm.components import components
+from tidemark.session import unmeasured
 
 WIDTH = 4
 RADIUS = 4
@@ -162,7 +163,7 @@ def near_links(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
     keyed = keyed.select("fp", F.xxhash64("place", "part").alias("key"))
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int"))
     own = F.pmod(F.xxhash64("fp", F.lit("chunk")), F.col("chunks")).cast("int")
-    met = keyed.join(sizes, "key").select("key", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    met = keyed.join(unmeasured(sizes), "key").select("key", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     met = met.select("key", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "fp")
     return (met.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
             .mapInArrow(_links(radius, pivots()), "left long, right long").distinct())
@@ -172,7 +173,7 @@ def near_classes(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(fp, root) for each distinct value of the stored long column ``fp``: equal roots are one class."""
     distinct = materialize(fingerprints.select("fp").distinct(), "fingerprints")
     reached = components(near_links(distinct, radius), "left", "right")
-    return distinct.join(reached.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    return distinct.join(unmeasured(reached.withColumnRenamed("node", "fp")), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
 def with_component(marked: DataFrame, id_col: str, fingerprint_col: str, radius: int = RADIUS) -> DataFrame:
@@ -180,7 +181,7 @@ def with_component(marked: DataFrame, id_col: str, fingerprint_col: str, radius:
     small = materialize(marked.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(fingerprint_col).alias("fp"))
                         .groupBy("fp").agg(F.min("doc_id").alias("least")), "least_ids")
     classes = materialize(near_classes(small, radius), "classes")
-    ids = checked(materialize(classes.join(small, "fp").groupBy("root").agg(F.min("least").alias("component_id")), "component_ids"))
+    ids = checked(materialize(classes.join(unmeasured(small), "fp").groupBy("root").agg(F.min("least").alias("component_id")), "component_ids"))
     lookup = materialize(classes.join(ids, "root").select(F.col("fp").alias(fingerprint_col), F.col("root").alias("component_root"), "component_id"), "lookup")
     return marked.join(checked(lookup), fingerprint_col)
 
